@@ -9,6 +9,7 @@ the final aggregate.
 
 from __future__ import annotations
 
+import uuid
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -52,7 +53,7 @@ def classify(raw: DataFrame, now: Column | None = None,
     validated = R.validate(decoded, now=F.col("_now"),
                            threshold_seconds=threshold_seconds, rules=rules)
     decode_ok = F.col("_decode_kind") == D.KIND_OK
-    return validated.select(
+    result = validated.select(
         *[c for c in validated.columns if c not in ("is_valid", "_reasons", "_warnings")],
         (decode_ok & F.col("is_valid")).alias("is_valid"),
         F.when(decode_ok, F.col("_reasons"))
@@ -60,6 +61,23 @@ def classify(raw: DataFrame, now: Column | None = None,
         F.when(decode_ok, F.col("_warnings"))
         .otherwise(F.array().cast("array<string>")).alias("warnings"),
     )
+    return observe_counts(result)
+
+
+def observe_counts(classified: DataFrame, name: str | None = None) -> DataFrame:
+    """Attach record / valid counts as observed metrics (T5 without a pass).
+
+    The metrics node also keeps later filters (``is_valid``, or the one
+    ``explode`` implies) above the classification: pushed below it, a
+    filter would have every rule expression substituted into it, which
+    grows the plan far faster than the rules themselves.
+    """
+    name = name or f"classify_{uuid.uuid4().hex[:12]}"
+    return classified.observe(
+        name,
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("is_valid")).alias("valid"),
+    )
 
 
 def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -79,6 +97,16 @@ def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def _value_text(name: str) -> Column:
+    """A payload field as text: strings as-is, numbers as double text,
+    objects and arrays as JSON; NULL for an absent or null field."""
+    ref = R.FieldRef(name)
+    return (
+        F.when(ref.is_number, F.try_variant_get(ref.value, "$", "double").cast("string"))
+        .otherwise(F.try_variant_get(ref.value, "$", "string"))
+    )
+
+
 def quarantine_rows(classified: DataFrame, data: str = "data",
                     keep: Sequence[str] = ()) -> DataFrame:
     """Quarantine projection (T2, T3): one fixed shape for both paths.
@@ -89,10 +117,7 @@ def quarantine_rows(classified: DataFrame, data: str = "data",
     the same name never overrides them.
     """
     decoded = F.col("_decode_kind") == D.KIND_OK
-    field_text = [
-        F.when(decoded, F.try_variant_get(F.col(f"_f_{f}"), "$", "string")).alias(f)
-        for f in S.TXN_FIELDS
-    ]
+    field_text = [F.when(decoded, _value_text(f)).alias(f) for f in S.TXN_FIELDS]
     return classified.filter(~F.col("is_valid")).select(
         *keep,
         F.when(~decoded, D.raw_b64(F.col(data))).alias("_raw_b64"),
