@@ -24,14 +24,17 @@ from ..functions import rules as R
 def classify(raw: DataFrame, now: Column | None = None,
              request_id: Column | None = None, quarantine_ts: Column | None = None,
              data: str = "data", threshold_seconds: int = S.DRIFT_THRESHOLD_SECONDS,
-             rules: Sequence[R.Rule] | None = None) -> DataFrame:
+             rules: Sequence[R.Rule] | None = None,
+             run_ts: Column | None = None) -> DataFrame:
     """Decode and validate every raw record of one or many runs.
 
-    ``now`` (reference clock, cut to seconds) and ``request_id`` may be
-    literals (one run) or per-row columns (many runs in one frame, each
-    row carrying its run's values).  Adds ``_now``, ``request_id``,
-    ``run_id``, ``_quarantine_ts``, ``is_valid``, ``reasons``,
-    ``warnings`` and the typed ``txn`` struct.
+    ``now`` (reference clock of the freshness rule, cut to seconds),
+    ``run_ts`` (the run's processing time: run id, start time and day
+    partition; defaults to ``now``) and ``request_id`` may be literals
+    (one run) or per-row columns (many runs in one frame, each row
+    carrying its run's values).  Adds ``_now``, ``_run_ts``,
+    ``request_id``, ``run_id``, ``_quarantine_ts``, ``is_valid``,
+    ``reasons``, ``warnings`` and the typed ``txn`` struct.
     """
     if now is None:
         now = F.current_timestamp()
@@ -43,10 +46,13 @@ def classify(raw: DataFrame, now: Column | None = None,
         now.alias("_now"),
         request_id.alias("request_id"),
     )
+    run_ts = (F.col("_now") if run_ts is None
+              else F.date_trunc("second", run_ts.cast("timestamp")))
+    staged = staged.select("*", run_ts.alias("_run_ts"))
     staged = staged.select(
         "*",
-        FM.run_id(F.col("_now"), F.col("request_id")).alias("run_id"),
-        FM.iso_offset(quarantine_ts if quarantine_ts is not None else F.col("_now"))
+        FM.run_id(F.col("_run_ts"), F.col("request_id")).alias("run_id"),
+        FM.iso_offset(quarantine_ts if quarantine_ts is not None else F.col("_run_ts"))
         .alias("_quarantine_ts"),
     )
     decoded = D.decode(staged, data)

@@ -255,3 +255,36 @@ SELECT DISTINCT batch_id, strftime(batch_now, 'year=%Y/month=%m/day=%d') AS part
   strftime(batch_now, 'year=%Y/month=%m/day=%d') || '/' || run_id || '.ndjson' AS object_key
 FROM c"""),
 }
+
+_RUNS = """
+runs AS (
+  SELECT 'txn-realtime-ingestion' AS pipeline_name, run_id,
+    CASE WHEN count(*) - count_if(is_valid) = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS run_status,
+    strftime(batch_now, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_ts,
+    count(*) AS total_records, count_if(is_valid) AS valid_records,
+    count(*) - count_if(is_valid) AS quarantine_records,
+    CASE WHEN count_if(is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS bronze_partition,
+    CASE WHEN count(*) - count_if(is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS quarantine_partition
+  FROM classified GROUP BY run_id, batch_now
+)"""
+
+_DAY = ("strftime(batch_now, '%Y') AS year, strftime(batch_now, '%m') AS month, "
+        "strftime(batch_now, '%d') AS day")
+
+ORACLE_SQL.update({
+    "bronze_roundtrip": with_pipeline(f"""
+SELECT run_id, {_BRONZE_COLS}, {_DAY} FROM classified WHERE is_valid"""),
+    "quarantine_roundtrip": with_pipeline(f"""
+SELECT run_id, CASE WHEN decode_kind <> 'ok' THEN base64(data) END AS _raw_b64,
+  {_QUARANTINE_FIELDS},
+  array_to_string(reasons, '|') AS reasons, quarantine_ts AS _quarantine_ts, {_DAY}
+FROM classified WHERE NOT is_valid"""),
+    "metadata_latest": with_pipeline("," + _RUNS + "\nSELECT * FROM runs").replace(")\n,\nruns", "),\nruns"),
+    "metadata_get": with_pipeline("," + _RUNS + """
+SELECT * FROM runs WHERE run_id = (SELECT arg_min(run_id, batch_id) FROM classified)""").replace(")\n,\nruns", "),\nruns"),
+    "metadata_last_n": with_pipeline("," + _RUNS + """
+SELECT * FROM runs ORDER BY run_id DESC LIMIT 5""").replace(")\n,\nruns", "),\nruns"),
+    "metadata_by_status": with_pipeline("," + _RUNS + """
+SELECT * FROM runs WHERE run_status = 'SUCCESS' AND start_ts >= '2024-01-15T00:00:00+00:00'
+ORDER BY start_ts, run_id""").replace(")\n,\nruns", "),\nruns"),
+})

@@ -14,6 +14,12 @@ QUERIES = {
     "bronze_rows": Q.bronze_rows,
     "quarantine_rows": Q.quarantine_rows,
     "partition_paths": Q.partition_paths,
+    "bronze_roundtrip": Q.bronze_roundtrip,
+    "quarantine_roundtrip": Q.quarantine_roundtrip,
+    "metadata_latest": Q.metadata_latest,
+    "metadata_get": Q.metadata_get,
+    "metadata_last_n": Q.metadata_last_n,
+    "metadata_by_status": Q.metadata_by_status,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
