@@ -31,9 +31,11 @@ def write_ndjson(df: DataFrame, uri: str, partition_by: Sequence[str] = DAY_COLU
     """NDJSON with nulls kept, one object per line.
 
     Callers skip the call when their count is zero: an empty write would
-    still leave a marker file behind.
+    still leave a marker file behind.  ``overwrite`` replaces only the
+    partitions present in ``df`` (dynamic partition overwrite).
     """
     (df.write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic")
        .option("ignoreNullFields", "false")
        .option("compression", "none")
        .partitionBy(*partition_by)

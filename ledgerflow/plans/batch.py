@@ -103,6 +103,8 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                                      saved_at=F.lit(_utc_now()).cast("timestamp")))
 
         layout = [*sinks.DAY_COLUMNS, "run_id"] if run_partition else list(sinks.DAY_COLUMNS)
+        # a run's own folder is replaced on replay; shared day folders append
+        mode = "overwrite" if run_partition else "append"
         keep = ("run_id", *sinks.DAY_COLUMNS)
         def sized(df: DataFrame, rows: int) -> DataFrame:
             # coalesce never widens: a large load keeps its partitions
@@ -110,11 +112,11 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
 
         if n_valid > 0:
             sinks.write_ndjson(sized(route.bronze_rows(classified, keep=keep), n_valid),
-                               settings.bronze, partition_by=layout)
+                               settings.bronze, partition_by=layout, mode=mode)
         if n_quarantined > 0:
             sinks.write_ndjson(
                 sized(route.quarantine_rows(classified, data=data, keep=keep), n_quarantined),
-                settings.quarantine, partition_by=layout)
+                settings.quarantine, partition_by=layout, mode=mode)
 
         def run_path(base: str) -> Column:
             path = F.concat(F.lit(base.rstrip("/") + "/"), F.col("partition_path"))

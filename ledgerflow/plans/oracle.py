@@ -288,3 +288,11 @@ SELECT * FROM runs ORDER BY run_id DESC LIMIT 5""").replace(")\n,\nruns", "),\nr
 SELECT * FROM runs WHERE run_status = 'SUCCESS' AND start_ts >= '2024-01-15T00:00:00+00:00'
 ORDER BY start_ts, run_id""").replace(")\n,\nruns", "),\nruns"),
 })
+
+ORACLE_SQL.update({
+    "shard_audit": with_pipeline("""
+SELECT shard_id, count(*) AS records, min(event_id) AS first_sequence, max(event_id) AS last_sequence
+FROM raw GROUP BY ROLLUP (shard_id)"""),
+    "stream_ingest": with_pipeline(f"""
+SELECT {_BRONZE_COLS} FROM classified WHERE is_valid"""),
+})

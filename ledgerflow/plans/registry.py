@@ -20,6 +20,8 @@ QUERIES = {
     "metadata_get": Q.metadata_get,
     "metadata_last_n": Q.metadata_last_n,
     "metadata_by_status": Q.metadata_by_status,
+    "shard_audit": Q.shard_audit,
+    "stream_ingest": Q.stream_ingest,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
