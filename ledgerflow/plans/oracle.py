@@ -296,3 +296,32 @@ FROM raw GROUP BY ROLLUP (shard_id)"""),
     "stream_ingest": with_pipeline(f"""
 SELECT {_BRONZE_COLS} FROM classified WHERE is_valid"""),
 })
+
+_RECORD_JSON = """'{"transaction_id":"' || txn_id || '","card_id":"' || s_card_id
+  || '","merchant_id":"' || s_merchant_id || '","amount":' || CAST(n_amount AS VARCHAR)
+  || ',"currency":"' || s_currency || '","transaction_ts":"' || ts_text
+  || '","mcc_code":"' || s_mcc_code || '","auth_status":"' || s_auth_status
+  || '","channel":"' || s_channel || '"}'"""
+
+_VALID_ORDERED = """,
+valid AS (
+  SELECT *, row_number() OVER (ORDER BY event_id) - 1 AS row_index FROM classified WHERE is_valid
+)"""
+
+ORACLE_SQL.update({
+    "producer_records": with_pipeline(f"""
+SELECT event_id, s_card_id AS partition_key, {_RECORD_JSON} AS record FROM classified WHERE is_valid"""),
+    "producer_batches": with_pipeline("," + _VALID_ORDERED.lstrip(",") + """
+SELECT CAST(floor(row_index / 500) AS BIGINT) AS batch_no, count(*) AS records FROM valid GROUP BY 1"""),
+    "send_result": with_pipeline("""
+SELECT count(*) AS total, count_if(NOT s_card_id LIKE '%7') AS success_count,
+  count_if(s_card_id LIKE '%7') AS failed_count FROM classified WHERE is_valid"""),
+    "send_failures": with_pipeline("," + _VALID_ORDERED.lstrip(",") + f"""
+SELECT 'ProvisionedThroughputExceededException' AS ErrorCode, 'Rate exceeded for shard' AS ErrorMessage,
+  {_RECORD_JSON} AS record, row_index FROM valid WHERE s_card_id LIKE '%7'"""),
+    "record_preview": with_pipeline("," + _VALID_ORDERED.lstrip(",") + """
+SELECT row_index + 1 AS line_no,
+  printf('[%04d] %s $%9.2f %s %-9s %-10s card=%s… mcc=%s', row_index + 1, txn_id, n_amount,
+         s_currency, s_auth_status, s_channel, substr(s_card_id, 1, 8), s_mcc_code) AS line
+FROM valid"""),
+})

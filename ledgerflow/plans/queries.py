@@ -252,3 +252,49 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
     return read_bronze(spark, lake.bronze).select(*S.TXN_FIELDS)
+
+
+# ---------------------------------------------------------------------------
+# Producer (S6-S10, S14) over the fixture's valid transactions
+# ---------------------------------------------------------------------------
+def fixture_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid fixture transactions in Bronze form, keyed by ``event_id``."""
+    return route.bronze_rows(classified(spark, sf_dir), keep=("event_id",))
+
+
+def reject_cards_ending_in_7(batch):
+    """Deterministic stand-in for a throttled put: cards ending in 7 fail."""
+    return [("ProvisionedThroughputExceededException", "Rate exceeded for shard")
+            if str(key).endswith("7") else None for key in batch["partition_key"]]
+
+
+def producer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.producer import to_stream_records
+    recs = to_stream_records(fixture_transactions(spark, sf_dir))
+    return recs.select("event_id", "partition_key", F.col("data").cast("string").alias("record"))
+
+
+def producer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.producer import batch_sizes, number_batches, to_stream_records
+    recs = to_stream_records(fixture_transactions(spark, sf_dir))
+    return batch_sizes(number_batches(recs.select("event_id", "data", "partition_key"),
+                                      ["event_id"]))
+
+
+def send_result(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import producer as P
+    recs = P.to_stream_records(fixture_transactions(spark, sf_dir))
+    outcomes = P.send_records(recs, reject_cards_ending_in_7, order=["event_id"])
+    return P.send_result(outcomes)
+
+
+def send_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import producer as P
+    recs = P.to_stream_records(fixture_transactions(spark, sf_dir))
+    outcomes = P.send_records(recs, reject_cards_ending_in_7, order=["event_id"])
+    return P.failed_entries(outcomes)
+
+
+def record_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.producer import preview
+    return preview(fixture_transactions(spark, sf_dir), ["event_id"])

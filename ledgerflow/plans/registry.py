@@ -22,6 +22,11 @@ QUERIES = {
     "metadata_by_status": Q.metadata_by_status,
     "shard_audit": Q.shard_audit,
     "stream_ingest": Q.stream_ingest,
+    "producer_records": Q.producer_records,
+    "producer_batches": Q.producer_batches,
+    "send_result": Q.send_result,
+    "send_failures": Q.send_failures,
+    "record_preview": Q.record_preview,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
