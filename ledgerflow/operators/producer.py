@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import formats as FM
 from ..functions.indexing import with_dense_index
 
 OUTCOME_SCHEMA = (
@@ -35,8 +36,17 @@ OUTCOME_SCHEMA = (
 
 
 def to_stream_records(txns: DataFrame) -> DataFrame:
-    """``data`` (JSON bytes, fields in declaration order) and ``partition_key``."""
-    body = F.to_json(F.struct(*[F.col(f) for f in S.TXN_FIELDS]))
+    """``data`` (JSON bytes, fields in declaration order) and ``partition_key``.
+
+    A TIMESTAMP ``transaction_ts`` is written as ISO text ending in ``Z``.
+    """
+    ts_type = dict(txns.dtypes).get("transaction_ts")
+    fields = [
+        FM.iso_z(F.col(f)).alias(f) if f == "transaction_ts" and ts_type == "timestamp"
+        else F.col(f)
+        for f in S.TXN_FIELDS
+    ]
+    body = F.to_json(F.struct(*fields))
     return txns.select("*", body.cast("binary").alias("data"),
                        F.col("card_id").alias("partition_key"))
 

@@ -325,3 +325,42 @@ SELECT row_index + 1 AS line_no,
          s_currency, s_auth_status, s_channel, substr(s_card_id, 1, 8), s_mcc_code) AS line
 FROM valid"""),
 })
+
+
+def _u(salt: str) -> str:
+    return (f"CAST(('0x' || substr(md5('42|{salt}|' || CAST(event_id AS VARCHAR) || ':0'), 1, 13)) "
+            f"AS BIGINT) / 4503599627370496.0")
+
+
+def _pick(u: str, items: tuple[str, ...], weights: tuple[float, ...]) -> str:
+    total = float(sum(weights))
+    parts, cum = [], 0.0
+    for item, w in zip(items[:-1], weights[:-1]):
+        cum += w
+        parts.append(f"WHEN {u} * {total!r} < {cum!r} THEN '{item}'")
+    return "CASE " + " ".join(parts) + f" ELSE '{items[-1]}' END"
+
+
+_GEN = f"""
+WITH g AS (
+  SELECT event_id,
+    CAST(floor({_u('card-pick')} * 1000) AS BIGINT) AS card_slot,
+    CAST(floor({_u('merchant-pick')} * 200) AS BIGINT) AS merchant_slot,
+    round(least(greatest(exp(3.5 + 1.0 * sqrt(-2.0 * ln(1.0 - {_u('amount-1')}))
+        * cos(2 * pi() * {_u('amount-2')})), 0.01), 50000.0), 2) AS amount,
+    {_pick(_u('currency'), ('USD', 'EUR', 'GBP', 'CNY', 'JPY', 'CAD'), (80.0, 8.0, 5.0, 4.0, 2.0, 1.0))} AS currency,
+    {_pick(_u('auth'), ('APPROVED', 'DECLINED', 'PENDING'), (95.0, 4.0, 1.0))} AS auth_status,
+    {_pick(_u('channel'), ('POS', 'ECOM', 'ATM', 'PHONE', 'RECURRING'), (40.0, 50.0, 5.0, 3.0, 2.0))} AS channel
+  FROM events
+), named AS (
+  SELECT *,
+    lpad(CAST(CAST(('0x' || substr(md5('42|card|' || CAST(card_slot AS VARCHAR)), 1, 14)) AS BIGINT)
+      % 10000000000000000 AS VARCHAR), 16, '0') AS card_id,
+    'MERCH-' || upper(substr(md5('42|merchant|' || CAST(merchant_slot AS VARCHAR)), 1, 8)) AS merchant_id
+  FROM g
+)"""
+
+ORACLE_SQL["generated_profile"] = _GEN + """
+SELECT currency, auth_status, channel, count(*) AS records, count_if(amount >= 100) AS records_100_plus,
+  count(DISTINCT card_id) AS cards, count(DISTINCT merchant_id) AS merchants
+FROM named GROUP BY currency, auth_status, channel"""

@@ -298,3 +298,31 @@ def send_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def record_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.producer import preview
     return preview(fixture_transactions(spark, sf_dir), ["event_id"])
+
+
+# ---------------------------------------------------------------------------
+# Generators (G1-G6): one seeded transaction per event, validated
+# ---------------------------------------------------------------------------
+GENERATOR_SEED = 42
+
+
+def generated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import generate as G
+    ids = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"), F.col("ts").cast("timestamp").alias("gen_now"))
+    return G.generate_valid(
+        ids,
+        build=lambda pending, attempt: G.transactions(
+            pending, GENERATOR_SEED, now=F.col("gen_now"), attempt=attempt),
+        validate=lambda txns: G.validate_transactions(txns, now=F.col("gen_now")),
+    )
+
+
+def generated_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = generated_transactions(spark, sf_dir)
+    return g.groupBy("currency", "auth_status", "channel").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_if(F.col("amount") >= 100).alias("records_100_plus"),
+        F.countDistinct("card_id").alias("cards"),
+        F.countDistinct("merchant_id").alias("merchants"),
+    )

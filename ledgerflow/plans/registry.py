@@ -27,6 +27,7 @@ QUERIES = {
     "send_result": Q.send_result,
     "send_failures": Q.send_failures,
     "record_preview": Q.record_preview,
+    "generated_profile": Q.generated_profile,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
