@@ -364,3 +364,36 @@ ORACLE_SQL["generated_profile"] = _GEN + """
 SELECT currency, auth_status, channel, count(*) AS records, count_if(amount >= 100) AS records_100_plus,
   count(DISTINCT card_id) AS cards, count(DISTINCT merchant_id) AS merchants
 FROM named GROUP BY currency, auth_status, channel"""
+
+_SILVER = """,
+silver AS (
+  SELECT txn_id AS transaction_id, run_id, s_card_id AS card_id, s_merchant_id AS merchant_id,
+    n_amount AS amount, s_currency AS currency, ts_text AS transaction_ts, s_mcc_code AS mcc_code,
+    s_auth_status AS auth_status, s_channel AS channel, ts_value, 2 AS copies
+  FROM classified WHERE is_valid
+)"""
+
+ORACLE_SQL.update({
+    "silver_dedup": with_pipeline(_SILVER + """
+SELECT transaction_id, run_id, card_id, merchant_id, amount, currency, transaction_ts, mcc_code,
+  auth_status, channel, copies FROM silver"""),
+    "gold_daily": with_pipeline(_SILVER + """
+SELECT strftime(ts_value, '%Y-%m-%d') AS event_date, currency, channel, auth_status,
+  count(*) AS transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount,
+  min(CAST(amount AS DECIMAL(18,2))) AS min_amount, max(CAST(amount AS DECIMAL(18,2))) AS max_amount
+FROM silver GROUP BY 1, 2, 3, 4"""),
+    "card_rollup": with_pipeline(_SILVER + """
+SELECT card_id, count(*) AS transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount,
+  strftime(min(ts_value), '%Y-%m-%dT%H:%M:%S') AS first_ts,
+  strftime(max(ts_value), '%Y-%m-%dT%H:%M:%S') AS last_ts,
+  count(DISTINCT merchant_id) AS merchants
+FROM silver GROUP BY card_id"""),
+    "warnings_tagged": with_pipeline("""
+SELECT event_id, true AS is_valid, 'TIMESTAMP_DRIFT' AS _quality_warnings FROM classified
+WHERE list_contains(reasons, 'TIMESTAMP_DRIFT')"""),
+    "bronze_day_counts": with_pipeline("""
+SELECT strftime(batch_now, '%Y') AS year, strftime(batch_now, '%m') AS month,
+  strftime(batch_now, '%d') AS day, count(*) AS records
+FROM classified WHERE is_valid AND strftime(batch_now, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-20'
+GROUP BY 1, 2, 3"""),
+})

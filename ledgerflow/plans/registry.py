@@ -28,6 +28,11 @@ QUERIES = {
     "send_failures": Q.send_failures,
     "record_preview": Q.record_preview,
     "generated_profile": Q.generated_profile,
+    "silver_dedup": Q.silver_dedup,
+    "gold_daily": Q.gold_daily,
+    "card_rollup": Q.card_rollup,
+    "warnings_tagged": Q.warnings_tagged,
+    "bronze_day_counts": Q.bronze_day_counts,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
