@@ -397,3 +397,6 @@ SELECT strftime(batch_now, '%Y') AS year, strftime(batch_now, '%m') AS month,
 FROM classified WHERE is_valid AND strftime(batch_now, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-20'
 GROUP BY 1, 2, 3"""),
 })
+
+ORACLE_SQL["dead_letter"] = with_pipeline("""
+SELECT event_id, txn_id AS transaction_id FROM classified WHERE is_valid AND txn_id LIKE '00%'""")

@@ -393,3 +393,41 @@ def bronze_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = read_bronze(spark, fixture_lake(spark, sf_dir).bronze)
     return (day_range(bronze, "2024-01-10", "2024-01-20")
             .groupBy("year", "month", "day").agg(F.count(F.lit(1)).alias("records")))
+
+
+# ---------------------------------------------------------------------------
+# Dead letter (S11): a downstream load that rejects some records
+# ---------------------------------------------------------------------------
+POISON_PREFIX = "00"
+
+
+def dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Load valid transactions into a sink that rejects ids starting with
+    ``00``; the rejected records end in the dead-letter table."""
+    import uuid
+
+    from pyspark import StorageLevel
+
+    from ..operators.deadletter import process_with_bisect
+    from ..session import scratch_path
+
+    sink = scratch_path(spark, "downstream")
+    dlq = scratch_path(spark, "dead-letter")
+    txns = fixture_transactions(spark, sf_dir).select("event_id", "transaction_id", "amount") \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+
+    def load(part: DataFrame) -> None:
+        poison = F.col("transaction_id").startswith(POISON_PREFIX)
+        checked = part.select(
+            "event_id", "transaction_id",
+            F.when(poison, F.raise_error(F.lit("downstream rejected record")))
+            .otherwise(F.col("amount")).alias("amount"))
+        # one folder per call: concurrent attempts never share a commit
+        checked.write.mode("append").parquet(f"{sink}/attempt={uuid.uuid4().hex}")
+
+    try:
+        process_with_bisect(txns, load, key="transaction_id", max_retries=1,
+                            parallelism=8, dead_letter_uri=dlq)
+    finally:
+        txns.unpersist()
+    return spark.read.parquet(dlq).select("event_id", "transaction_id")

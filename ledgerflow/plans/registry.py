@@ -33,6 +33,7 @@ QUERIES = {
     "card_rollup": Q.card_rollup,
     "warnings_tagged": Q.warnings_tagged,
     "bronze_day_counts": Q.bronze_day_counts,
+    "dead_letter": Q.dead_letter,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
