@@ -400,3 +400,10 @@ GROUP BY 1, 2, 3"""),
 
 ORACLE_SQL["dead_letter"] = with_pipeline("""
 SELECT event_id, txn_id AS transaction_id FROM classified WHERE is_valid AND txn_id LIKE '00%'""")
+
+ORACLE_SQL.update({
+    "landing_decode_counts": ORACLE_SQL["decode_outcome_counts"],
+    "manifest_check": with_pipeline("""
+SELECT shard_id, 'OK' AS status, count(*) AS expected_rows, count(*) AS actual_rows
+FROM raw GROUP BY shard_id"""),
+})

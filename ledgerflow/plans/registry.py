@@ -34,6 +34,9 @@ QUERIES = {
     "warnings_tagged": Q.warnings_tagged,
     "bronze_day_counts": Q.bronze_day_counts,
     "dead_letter": Q.dead_letter,
+    "landing_decode_counts": Q.landing_decode_counts,
+    "manifest_check": Q.manifest_check,
+    "file_copy_manifest": Q.file_copy_manifest,
 }
 
 ORACLE = {name: sql for name, sql in ORACLE_SQL.items() if name in QUERIES}
