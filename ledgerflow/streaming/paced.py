@@ -1,0 +1,63 @@
+"""Paced producer (S13): ``burst_size`` records every ``interval_seconds``.
+
+The ``rate-micro-batch`` source emits exactly ``rowsPerBatch`` rows per
+micro-batch; each row becomes one seeded transaction (ids are the
+source's running ``value``, so bursts never repeat a record), is
+serialised, routed to a shard by card and appended to the shard log.
+``total_bursts`` stops the query after that many micro-batches; ``None``
+runs until stopped.  A log marked as production is never cleared: this
+producer only appends.
+"""
+
+from __future__ import annotations
+
+import time
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from ..operators import generate as G
+from ..operators.producer import route_by_key, to_stream_records
+from ..sources import shard_log
+
+
+def start_paced_producer(spark: SparkSession, log_uri: str, checkpoint: str, *,
+                         burst_size: int = 10, interval_seconds: float = 1.0,
+                         seed: int = 0, shard_count: int = 4) -> StreamingQuery:
+    if burst_size < 1:
+        raise ValueError("burst_size must be >= 1")
+    rows = (spark.readStream.format("rate-micro-batch")
+            .option("rowsPerBatch", burst_size).load())
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        ids = batch.select(F.col("value").alias("id"), F.col("timestamp").alias("gen_now"))
+        txns = G.transactions(ids, seed, now=F.col("gen_now"))
+        records = route_by_key(to_stream_records(txns), shard_count)
+        shard_log.land(records.select(
+            "shard_id", F.col("id").alias("sequence_number"),
+            F.current_timestamp().alias("arrival_ts"), "partition_key", "data"), log_uri)
+
+    return (rows.writeStream.option("checkpointLocation", checkpoint)
+            .trigger(processingTime=f"{interval_seconds} seconds")
+            .foreachBatch(handle).start())
+
+
+def produce(spark: SparkSession, log_uri: str, checkpoint: str, *, total_bursts: int | None,
+            timeout_seconds: float | None = None, **options) -> int:
+    """Run the paced producer for ``total_bursts`` bursts; return bursts done."""
+    query = start_paced_producer(spark, log_uri, checkpoint, **options)
+    started = time.monotonic()
+    done = 0
+    try:
+        while query.isActive:
+            progress = query.recentProgress
+            done = sum(1 for p in progress if p.get("numInputRows", 0) > 0)
+            if total_bursts is not None and done >= total_bursts:
+                break
+            if timeout_seconds is not None and time.monotonic() - started > timeout_seconds:
+                break
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    return done
