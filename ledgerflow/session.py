@@ -25,6 +25,13 @@ REQUIRED_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Generated methods larger than the JVM's JIT limit (8000 bytes of
+# bytecode) would run interpreted; such stages fall back to per-operator
+# code instead, which stays compiled.
+PERF_CONF = {
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
 ADAPTIVE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,7 +40,7 @@ ADAPTIVE_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    for key, value in {**REQUIRED_CONF, **ADAPTIVE_CONF}.items():
+    for key, value in {**REQUIRED_CONF, **PERF_CONF, **ADAPTIVE_CONF}.items():
         spark.conf.set(key, value)
     return spark
 
@@ -49,7 +56,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
-    for key, value in {**REQUIRED_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
+    for key, value in {**REQUIRED_CONF, **PERF_CONF, **ADAPTIVE_CONF, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
