@@ -58,7 +58,13 @@ EPOCH_MS_THRESHOLD = 2e10
 MIN_EPOCH_SECONDS = -62135596800
 MAX_EPOCH_SECONDS = 253402300799
 
-_NUMERIC_TYPES = r"^(?:BIGINT|INT|SMALLINT|TINYINT|DOUBLE|FLOAT|DECIMAL)"
+_NUMERIC_TYPES = ("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT")
+
+# JSON kind of a field value, decided once per field from its VARIANT type.
+KIND_STRING = "s"
+KIND_NUMBER = "n"
+KIND_BOOL = "b"
+KIND_OTHER = "o"                     # null, array, object
 
 STAGE_SCHEMA = "schema"
 STAGE_POST = "post"
@@ -70,7 +76,7 @@ class FieldRef:
     def __init__(self, name: str):
         self.name = name
         self.value = F.col(f"_f_{name}")          # VARIANT, NULL if absent
-        self.vtype = F.col(f"_t_{name}")          # VARIANT type name
+        self.kind = F.col(f"_t_{name}")           # JSON kind code (KIND_*)
         self.text = F.col(f"_s_{name}")           # value if a JSON string
 
     @property
@@ -79,15 +85,15 @@ class FieldRef:
 
     @property
     def is_string(self) -> Column:
-        return self.vtype == "STRING"
+        return self.kind == KIND_STRING
 
     @property
     def is_number(self) -> Column:
-        return self.vtype.rlike(_NUMERIC_TYPES)
+        return self.kind == KIND_NUMBER
 
     @property
     def is_bool(self) -> Column:
-        return self.vtype == "BOOLEAN"
+        return self.kind == KIND_BOOL
 
     def missing(self) -> Column:
         return F.lit(f"{S.MISSING_FIELD}:{self.name}")
@@ -231,8 +237,8 @@ def with_severity(rules: Sequence[Rule], rule_id: str, severity: str) -> list[Ru
 # ---------------------------------------------------------------------------
 # Field extraction and typed values
 # ---------------------------------------------------------------------------
-def _string_value(v: Column, vtype: Column) -> Column:
-    return F.when(vtype == "STRING", F.try_variant_get(v, "$", "string"))
+def _string_value(v: Column, kind: Column) -> Column:
+    return F.when(kind == KIND_STRING, F.try_variant_get(v, "$", "string"))
 
 
 def _float_value(f: FieldRef) -> Column:
@@ -294,7 +300,8 @@ def extract_fields(df: DataFrame, payload: str = "_payload",
     )
     out = out.select(
         "*",
-        *[F.schema_of_variant(F.col(f"_f_{name}")).alias(f"_t_{name}") for name in fields],
+        *[_kind(F.schema_of_variant(F.col(f"_f_{name}"))).alias(f"_t_{name}")
+          for name in fields],
     )
     return out.select(
         "*",
@@ -302,6 +309,13 @@ def extract_fields(df: DataFrame, payload: str = "_payload",
     )
 
 
+def _kind(vtype: Column) -> Column:
+    return (F.when(vtype == "STRING", F.lit(KIND_STRING))
+            .when(vtype.isin(*_NUMERIC_TYPES) | vtype.startswith("DECIMAL"), F.lit(KIND_NUMBER))
+            .when(vtype == "BOOLEAN", F.lit(KIND_BOOL))
+            .when(vtype.isNotNull(), F.lit(KIND_OTHER)))
+
+
 def _typed_values(df: DataFrame) -> DataFrame:
     amount = FieldRef("amount")
     ts, naive = _timestamp_value(FieldRef("transaction_ts"))
@@ -321,9 +335,12 @@ def canonical_uuid(text: Column) -> Column:
 
 
 def _collect(columns: list[Column]) -> Column:
+    """Non-null reasons in order; ``concat`` of one-element arrays keeps the
+    whole expression inside generated code (a lambda would not be)."""
+    empty = F.array().cast("array<string>")
     if not columns:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*columns), lambda x: x.isNotNull())
+        return empty
+    return F.concat(*[F.when(c.isNotNull(), F.array(c)).otherwise(empty) for c in columns])
 
 
 def validate(df: DataFrame, now: Column | None = None,
