@@ -78,7 +78,11 @@ def drain(log: DataFrame, shard_id: str | None = None,
     elif iterator_type != TRIM_HORIZON:
         raise ValueError(f"unknown iterator type {iterator_type!r}")
     if after is not None:
-        if isinstance(after, Mapping):
+        if isinstance(after, Mapping) and shard_id is not None:
+            # one shard: a plain bound that reaches the Parquet row-group stats
+            if shard_id in after:
+                out = out.filter(F.col("sequence_number") > F.lit(int(after[shard_id])))
+        elif isinstance(after, Mapping):
             cond = F.lit(False)
             for shard, seq in after.items():
                 cond = cond | ((F.col("shard_id") == shard) & (F.col("sequence_number") > seq))
