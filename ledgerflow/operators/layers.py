@@ -24,6 +24,7 @@ from .. import schema as S
 from ..functions import rules as R
 
 MONEY = "decimal(18,2)"
+MONEY_TOTAL = "decimal(38,2)"
 
 
 def silver_dedup(bronze: DataFrame, key: str = "transaction_id",
@@ -60,7 +61,7 @@ def gold_daily(silver: DataFrame) -> DataFrame:
         "currency", "channel", "auth_status",
     ).agg(
         F.count(F.lit(1)).alias("transactions"),
-        F.sum("amount").alias("total_amount"),
+        F.sum("amount").cast(MONEY_TOTAL).alias("total_amount"),
         F.min("amount").alias("min_amount"),
         F.max("amount").alias("max_amount"),
     )
@@ -71,7 +72,7 @@ def card_rollup(silver: DataFrame) -> DataFrame:
     typed = typed_silver(silver)
     return typed.groupBy("card_id").agg(
         F.count(F.lit(1)).alias("transactions"),
-        F.sum("amount").alias("total_amount"),
+        F.sum("amount").cast(MONEY_TOTAL).alias("total_amount"),
         F.date_format(F.min("transaction_ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("first_ts"),
         F.date_format(F.max("transaction_ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("last_ts"),
         F.countDistinct("merchant_id").alias("merchants"),

@@ -222,8 +222,8 @@ _QUARANTINE_FIELDS = ", ".join(
 ORACLE_SQL: dict[str, str] = {
     "batch_run_summary": with_pipeline("""
 SELECT batch_id, run_id, strftime(batch_now, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_ts,
-  count(*) AS total, count_if(is_valid) AS valid, count(*) - count_if(is_valid) AS quarantined,
-  CASE WHEN count(*) - count_if(is_valid) = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS run_status,
+  count(*) AS total, count(*) FILTER (WHERE is_valid) AS valid, count(*) - count(*) FILTER (WHERE is_valid) AS quarantined,
+  CASE WHEN count(*) - count(*) FILTER (WHERE is_valid) = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS run_status,
   strftime(batch_now, 'year=%Y/month=%m/day=%d') AS partition_path
 FROM classified GROUP BY batch_id, run_id, batch_now"""),
     "decode_outcome_counts": with_pipeline("""
@@ -259,12 +259,12 @@ FROM c"""),
 _RUNS = """
 runs AS (
   SELECT 'txn-realtime-ingestion' AS pipeline_name, run_id,
-    CASE WHEN count(*) - count_if(is_valid) = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS run_status,
+    CASE WHEN count(*) - count(*) FILTER (WHERE is_valid) = 0 THEN 'SUCCESS' ELSE 'PARTIAL' END AS run_status,
     strftime(batch_now, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS start_ts,
-    count(*) AS total_records, count_if(is_valid) AS valid_records,
-    count(*) - count_if(is_valid) AS quarantine_records,
-    CASE WHEN count_if(is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS bronze_partition,
-    CASE WHEN count(*) - count_if(is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS quarantine_partition
+    count(*) AS total_records, count(*) FILTER (WHERE is_valid) AS valid_records,
+    count(*) - count(*) FILTER (WHERE is_valid) AS quarantine_records,
+    CASE WHEN count(*) FILTER (WHERE is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS bronze_partition,
+    CASE WHEN count(*) - count(*) FILTER (WHERE is_valid) > 0 THEN strftime(batch_now, 'year=%Y/month=%m/day=%d') ELSE '' END AS quarantine_partition
   FROM classified GROUP BY run_id, batch_now
 )"""
 
@@ -314,8 +314,8 @@ SELECT event_id, s_card_id AS partition_key, {_RECORD_JSON} AS record FROM class
     "producer_batches": with_pipeline("," + _VALID_ORDERED.lstrip(",") + """
 SELECT CAST(floor(row_index / 500) AS BIGINT) AS batch_no, count(*) AS records FROM valid GROUP BY 1"""),
     "send_result": with_pipeline("""
-SELECT count(*) AS total, count_if(NOT s_card_id LIKE '%7') AS success_count,
-  count_if(s_card_id LIKE '%7') AS failed_count FROM classified WHERE is_valid"""),
+SELECT count(*) AS total, count(*) FILTER (WHERE NOT s_card_id LIKE '%7') AS success_count,
+  count(*) FILTER (WHERE s_card_id LIKE '%7') AS failed_count FROM classified WHERE is_valid"""),
     "send_failures": with_pipeline("," + _VALID_ORDERED.lstrip(",") + f"""
 SELECT 'ProvisionedThroughputExceededException' AS ErrorCode, 'Rate exceeded for shard' AS ErrorMessage,
   {_RECORD_JSON} AS record, row_index FROM valid WHERE s_card_id LIKE '%7'"""),
@@ -361,7 +361,7 @@ WITH g AS (
 )"""
 
 ORACLE_SQL["generated_profile"] = _GEN + """
-SELECT currency, auth_status, channel, count(*) AS records, count_if(amount >= 100) AS records_100_plus,
+SELECT currency, auth_status, channel, count(*) AS records, count(*) FILTER (WHERE amount >= 100) AS records_100_plus,
   count(DISTINCT card_id) AS cards, count(DISTINCT merchant_id) AS merchants
 FROM named GROUP BY currency, auth_status, channel"""
 
@@ -369,7 +369,7 @@ _SILVER = """,
 silver AS (
   SELECT txn_id AS transaction_id, run_id, s_card_id AS card_id, s_merchant_id AS merchant_id,
     n_amount AS amount, s_currency AS currency, ts_text AS transaction_ts, s_mcc_code AS mcc_code,
-    s_auth_status AS auth_status, s_channel AS channel, ts_value, 2 AS copies
+    s_auth_status AS auth_status, s_channel AS channel, ts_value, CAST(2 AS BIGINT) AS copies
   FROM classified WHERE is_valid
 )"""
 
@@ -379,11 +379,11 @@ SELECT transaction_id, run_id, card_id, merchant_id, amount, currency, transacti
   auth_status, channel, copies FROM silver"""),
     "gold_daily": with_pipeline(_SILVER + """
 SELECT strftime(ts_value, '%Y-%m-%d') AS event_date, currency, channel, auth_status,
-  count(*) AS transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount,
+  count(*) AS transactions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount,
   min(CAST(amount AS DECIMAL(18,2))) AS min_amount, max(CAST(amount AS DECIMAL(18,2))) AS max_amount
 FROM silver GROUP BY 1, 2, 3, 4"""),
     "card_rollup": with_pipeline(_SILVER + """
-SELECT card_id, count(*) AS transactions, sum(CAST(amount AS DECIMAL(18,2))) AS total_amount,
+SELECT card_id, count(*) AS transactions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount,
   strftime(min(ts_value), '%Y-%m-%dT%H:%M:%S') AS first_ts,
   strftime(max(ts_value), '%Y-%m-%dT%H:%M:%S') AS last_ts,
   count(DISTINCT merchant_id) AS merchants
