@@ -87,3 +87,32 @@ def test_paced_producer_bursts(spark, tmp_root):
     n = log.count()
     assert n >= 10 and n % 5 == 0
     assert log.select("data").distinct().count() == n
+
+
+def test_silver_stream_drops_copies(spark, tmp_root):
+    from ledgerflow.plans.batch import process_batch, raw_from_payloads
+    from ledgerflow.streaming.silver import start_silver
+    lake = S.LakeSettings(root=tmp_root + "/lake")
+    now = datetime.now(timezone.utc).replace(microsecond=0)
+    payloads = [as_bytes(txn(transaction_ts=now.isoformat())) for _ in range(3)]
+    # the same three records arrive twice (a retried batch under a new request id)
+    for request in ("r1", "r1-retry"):
+        process_batch(spark, raw_from_payloads(spark, payloads), request, lake, now=now)
+    assert sinks.read_bronze(spark, lake.bronze).count() == 6
+    q = start_silver(spark, lake, available_now=True)
+    q.awaitTermination()
+    assert q.exception() is None
+    silver = spark.read.parquet(lake.silver)
+    assert silver.count() == 3
+    assert dict(silver.dtypes)["amount"] == "decimal(18,2)"
+
+
+def test_bronze_to_silver_parquet(spark, tmp_root):
+    from ledgerflow.plans.batch import process_batch, raw_from_payloads
+    lake = S.LakeSettings(root=tmp_root + "/lake")
+    process_batch(spark, raw_from_payloads(spark, [as_bytes(txn(transaction_ts=T0.isoformat()))]),
+                  "r", lake, now=T0)
+    sinks.bronze_to_silver_parquet(spark, lake.bronze, lake.silver)
+    [row] = spark.read.parquet(lake.silver).collect()
+    assert row["transaction_ts"] == T0.replace(tzinfo=None) or row["transaction_ts"].year == 2026
+    assert (row["year"], row["month"], row["day"]) == ("2026", "04", "28")
