@@ -86,11 +86,10 @@ def observe_counts(classified: DataFrame, name: str | None = None) -> DataFrame:
     )
 
 
-def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Canonical Bronze projection (T1): nine fields, extras dropped."""
+def bronze_columns() -> list[Column]:
+    """Canonical Bronze fields (T1): nine fields, extras dropped."""
     t = F.col("txn")
-    return classified.filter(F.col("is_valid")).select(
-        *keep,
+    return [
         t["transaction_id"].alias("transaction_id"),
         t["card_id"].alias("card_id"),
         t["merchant_id"].alias("merchant_id"),
@@ -100,7 +99,12 @@ def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         t["mcc_code"].alias("mcc_code"),
         t["auth_status"].alias("auth_status"),
         t["channel"].alias("channel"),
-    )
+    ]
+
+
+def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Canonical Bronze projection (T1) of the valid rows."""
+    return classified.filter(F.col("is_valid")).select(*keep, *bronze_columns())
 
 
 def _value_text(name: str) -> Column:
@@ -113,9 +117,8 @@ def _value_text(name: str) -> Column:
     )
 
 
-def quarantine_rows(classified: DataFrame, data: str = "data",
-                    keep: Sequence[str] = ()) -> DataFrame:
-    """Quarantine projection (T2, T3): one fixed shape for both paths.
+def quarantine_columns(data: str = "data") -> list[Column]:
+    """Quarantine fields (T2, T3): one fixed shape for both failure paths.
 
     Decode failures carry ``_raw_b64``; validation failures carry the
     payload (``payload_json`` plus each known field as text).  Our two
@@ -123,14 +126,31 @@ def quarantine_rows(classified: DataFrame, data: str = "data",
     the same name never overrides them.
     """
     decoded = F.col("_decode_kind") == D.KIND_OK
-    field_text = [F.when(decoded, _value_text(f)).alias(f) for f in S.TXN_FIELDS]
-    return classified.filter(~F.col("is_valid")).select(
-        *keep,
+    return [
         F.when(~decoded, D.raw_b64(F.col(data))).alias("_raw_b64"),
         F.when(decoded, F.to_json(F.col("_payload"))).alias("payload_json"),
-        *field_text,
+        *[F.when(decoded, _value_text(f)).alias(f) for f in S.TXN_FIELDS],
         F.col("reasons").alias("_quarantine_reason"),
         F.col("_quarantine_ts").alias("_quarantine_ts"),
+    ]
+
+
+def quarantine_rows(classified: DataFrame, data: str = "data",
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """Quarantine projection of the rejected rows."""
+    return classified.filter(~F.col("is_valid")).select(*keep, *quarantine_columns(data))
+
+
+def routed(classified: DataFrame, keep: Sequence[str], data: str = "data") -> DataFrame:
+    """The narrow result of a batch: ``keep`` columns, ``is_valid`` and one
+    struct per destination (``_bronze`` for valid rows, ``_quarantine``
+    otherwise).  This is what a handler persists: about the size of the
+    input, without the parse intermediates."""
+    valid = F.col("is_valid")
+    return classified.select(
+        *keep, "is_valid",
+        F.when(valid, F.struct(*bronze_columns())).alias("_bronze"),
+        F.when(~valid, F.struct(*quarantine_columns(data))).alias("_quarantine"),
     )
 
 

@@ -84,7 +84,11 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                                 quarantine_ts=quarantine_ts, data=data,
                                 threshold_seconds=threshold_seconds, rules=rules)
     classified = sinks.with_day_partition(classified, "_run_ts")
-    classified = classified.persist(StorageLevel.MEMORY_AND_DISK)
+    # persist only what the counts and the two writes read, not the parse
+    # intermediates (text copy, payload and field VARIANTs)
+    classified = route.routed(
+        classified, keep=("run_id", "_run_ts", "request_id", *sinks.DAY_COLUMNS), data=data,
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     runs = None
     try:
         runs = route.run_counts(classified, keys=("run_id", "_run_ts", "request_id"))
@@ -111,12 +115,13 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
             return df.coalesce(max(1, -(-rows // rows_per_file)))
 
         if n_valid > 0:
-            sinks.write_ndjson(sized(route.bronze_rows(classified, keep=keep), n_valid),
+            bronze = classified.filter(F.col("is_valid")).select(*keep, "_bronze.*")
+            sinks.write_ndjson(sized(bronze, n_valid),
                                settings.bronze, partition_by=layout, mode=mode)
         if n_quarantined > 0:
-            sinks.write_ndjson(
-                sized(route.quarantine_rows(classified, data=data, keep=keep), n_quarantined),
-                settings.quarantine, partition_by=layout, mode=mode)
+            quarantine = classified.filter(~F.col("is_valid")).select(*keep, "_quarantine.*")
+            sinks.write_ndjson(sized(quarantine, n_quarantined),
+                               settings.quarantine, partition_by=layout, mode=mode)
 
         def run_path(base: str) -> Column:
             path = F.concat(F.lit(base.rstrip("/") + "/"), F.col("partition_path"))

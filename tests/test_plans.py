@@ -66,3 +66,12 @@ def test_filters_stay_above_classification(spark):
     plan = plan_of(Q.quarantine_rows(spark, SF))
     assert "CollectMetrics" in plan
     assert time.time() - start < 60
+
+
+def test_per_shard_limit_is_limited_before_the_shuffle(spark, tmp_root):
+    rows = [(f"shard-{i % 2}", i, None, "k", bytearray(b"{}")) for i in range(20)]
+    df = spark.createDataFrame(rows, "shard_id string, sequence_number long, arrival_ts timestamp, "
+                                     "partition_key string, data binary")
+    shard_log.land(df, tmp_root + "/log")
+    plan = plan_of(shard_log.drain(shard_log.read(spark, tmp_root + "/log"), limit=3))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
