@@ -56,7 +56,7 @@ def python_type_name(text: Column) -> Column:
 
 
 def decode(df: DataFrame, data: str = "data") -> DataFrame:
-    """Add ``_text``, ``_payload`` (VARIANT object), ``_decode_kind`` and
+    """Add ``_payload`` (VARIANT object), ``_decode_kind`` and
     ``_decode_reason`` (NULL when the row decoded to an object)."""
     text = F.col(data).cast("string")
     staged = df.withColumn("_text", text).withColumn(
@@ -85,7 +85,8 @@ def decode(df: DataFrame, data: str = "data") -> DataFrame:
         staged.withColumn("_decode_reason", reason)
         .withColumn("_payload",
                     F.when(F.col("_decode_kind") == KIND_OK, F.col("_value")))
-        .drop("_utf8_ok", "_value")
+        # the text copy is only needed here; later stages read ``_payload``
+        .drop("_utf8_ok", "_value", "_text")
     )
 
 
