@@ -18,6 +18,7 @@ outcome, and the payload VARIANT is parsed once per row.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -93,3 +94,49 @@ def decode(df: DataFrame, data: str = "data") -> DataFrame:
 def raw_b64(data: Column) -> Column:
     """Base64 of the exact bytes on one line (Spark's encoder wraps lines)."""
     return F.regexp_replace(F.base64(data), r"[\r\n]", "")
+
+
+def _python_decode_message(raw: bytes | None) -> str | None:
+    """The reason code Python's decoder gives for ``raw`` (None if it decodes)."""
+    import json
+
+    if raw is None:
+        return None
+    raw = bytes(raw)
+    try:
+        text = raw.decode("utf-8")
+    except UnicodeDecodeError as exc:
+        return f"{S.DECODE_UTF8}:{exc.reason}"
+    try:
+        value = json.loads(text)
+    except json.JSONDecodeError as exc:
+        return f"{S.DECODE_JSON}:{exc.msg}"
+    except RecursionError:
+        return f"{S.DECODE_JSON}:maximum recursion depth exceeded"
+    if not isinstance(value, dict):
+        return f"{S.DECODE_NOT_DICT}:{type(value).__name__}"
+    return None
+
+
+def exact_decode_reason(raw: Column) -> Column:
+    """Arrow-batched UDF giving the parser's own message for a decode failure.
+
+    Apply it only to rows already known to have failed decoding (for
+    example Quarantine rows with ``_raw_b64``): it runs Python per row.
+    """
+    @F.pandas_udf("string")
+    def reason(values: pd.Series) -> pd.Series:
+        return values.map(_python_decode_message)
+
+    return reason(raw)
+
+
+def with_exact_decode_messages(quarantine: DataFrame) -> DataFrame:
+    """Quarantine rows with the fixed decode text replaced by the parser's
+    message (decode failures only; validation reasons are unchanged)."""
+    raw = F.when(F.col("_raw_b64").isNotNull(), F.unbase64(F.col("_raw_b64")))
+    exact = exact_decode_reason(raw)
+    return quarantine.withColumn(
+        "_quarantine_reason",
+        F.when(F.col("_raw_b64").isNotNull(), F.array(exact))
+        .otherwise(F.col("_quarantine_reason")))

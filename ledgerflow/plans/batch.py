@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from ..functions import decode as D
 from ..functions import formats as FM
 from ..functions import rules as R
 from ..operators import route, sinks
@@ -69,12 +70,15 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
            data: str = "data", threshold_seconds: int = S.DRIFT_THRESHOLD_SECONDS,
            rules: Sequence[R.Rule] | None = None,
            pipeline_name: str = S.PIPELINE_NAME,
-           rows_per_file: int = 1_000_000) -> DataFrame:
+           rows_per_file: int = 1_000_000,
+           exact_decode_messages: bool = False) -> DataFrame:
     """Process raw records; return the saved metadata rows (one per run).
 
     Output files are sized from the known counts: the persisted rows are
     coalesced (no shuffle) to about ``rows_per_file`` rows per task, so a
     small micro-batch writes one file and a bulk load keeps its width.
+    ``exact_decode_messages`` puts the parser's own message in decode
+    reasons (a Python step over the quarantined rows only).
     """
     spark = raw.sparkSession
     table = MetadataTable(spark, settings.metadata)
@@ -120,6 +124,8 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                                settings.bronze, partition_by=layout, mode=mode)
         if n_quarantined > 0:
             quarantine = classified.filter(~F.col("is_valid")).select(*keep, "_quarantine.*")
+            if exact_decode_messages:
+                quarantine = D.with_exact_decode_messages(quarantine)
             sinks.write_ndjson(sized(quarantine, n_quarantined),
                                settings.quarantine, partition_by=layout, mode=mode)
 

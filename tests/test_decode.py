@@ -68,3 +68,18 @@ def test_long_payload_base64_has_no_line_breaks(spark):
     [row] = route.quarantine_rows(c).collect()
     assert "\n" not in row["_raw_b64"] and "\r" not in row["_raw_b64"]
     assert base64.b64decode(row["_raw_b64"]) == blob
+
+
+def test_exact_parser_messages_on_quarantine(spark, tmp_root):
+    from ledgerflow import schema as S
+    from ledgerflow.operators import sinks
+    from ledgerflow.plans.batch import process_batch
+    lake = S.LakeSettings(root=tmp_root)
+    payloads = [b"\xff\xfe\xff", b"not json at all", b"{} x", b"[1]", b"\xe2\x82", as_bytes(txn(amount=-1))]
+    process_batch(spark, raw_from_payloads(spark, payloads), "r", lake, now=NOW,
+                  exact_decode_messages=True)
+    got = sorted(r["_quarantine_reason"][0] for r in sinks.read_quarantine(spark, lake.quarantine).collect())
+    assert got == sorted([
+        "DECODE_ERROR:utf8:invalid start byte", "DECODE_ERROR:json:Expecting value",
+        "DECODE_ERROR:json:Extra data", "DECODE_ERROR:not_dict:list",
+        "DECODE_ERROR:utf8:unexpected end of data", "INVALID_FIELD:amount:greater_than_equal"])
