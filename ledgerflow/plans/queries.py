@@ -19,11 +19,12 @@ from ..sources.fixture import raw_records
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One of the given tables, in a session set up for this pipeline."""
+    configure(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
 def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    configure(spark)
     return raw_records(load(spark, sf_dir, "events"))
 
 
