@@ -1,9 +1,6 @@
 """Shard log reads, audit, streaming ingest with restart, paced producer."""
-import time
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import functions as F
-
 from conftest import as_bytes, txn
 from ledgerflow import schema as S
 from ledgerflow.operators import sinks

@@ -1,5 +1,4 @@
 """Plan properties the design relies on, read from the physical plans."""
-from pyspark.sql import functions as F
 
 from conftest import NOW, as_bytes, txn
 from ledgerflow import schema as S
