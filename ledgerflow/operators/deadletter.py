@@ -13,6 +13,14 @@ Each attempt is a job over a filter of the input: persist ``df`` if it
 is costly to recompute.  ``parallelism`` > 1 runs the attempts of one
 level as concurrent jobs; use it only with an ``fn`` that is safe to
 call concurrently (for example one writing to its own folder per call).
+
+Cost grows with the number of failing records (about two jobs per
+failing record per level), so bisection suits rare poison records.
+``max_jobs`` bounds the work: once it is spent, every subset still
+failing goes to the dead-letter table whole, as an exhausted batch goes
+to a dead-letter queue; no row is dropped.  The dead rows are picked
+with one equi-join per hash depth against the (path, error) table, not
+with an expression that grows with the number of dead subsets.
 """
 
 from __future__ import annotations
@@ -48,6 +56,7 @@ def _attempt(fn: Callable[[DataFrame], object], part: DataFrame, tries: int) ->
 
 def process_with_bisect(df: DataFrame, fn: Callable[[DataFrame], object], *, key: str | Column,
                         max_retries: int = 3, parallelism: int = 1,
+                        max_jobs: int | None = None,
                         dead_letter_uri: str | None = None) -> BisectResult:
     """Run ``fn`` over ``df``; isolate and dead-letter what keeps failing."""
     key_col = F.col(key) if isinstance(key, str) else key
@@ -69,7 +78,10 @@ def process_with_bisect(df: DataFrame, fn: Callable[[DataFrame], object], *, key
         depth = 0
         with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
             while failing:
-                if depth >= MAX_DEPTH:     # identical hashes: cannot split further
+                out_of_budget = max_jobs is not None and jobs + 1 + 2 * len(failing) > max_jobs
+                if depth >= MAX_DEPTH or out_of_budget:
+                    # identical hashes cannot split further; a spent budget
+                    # sends what still fails to the dead-letter table whole
                     dead += [(depth, p, e) for p, e in failing.items()]
                     break
                 sizes = (hashed.filter(low_bits(depth).isin(list(failing)))
@@ -98,14 +110,16 @@ def process_with_bisect(df: DataFrame, fn: Callable[[DataFrame], object], *, key
 
     spark = df.sparkSession
     if dead:
-        # one pass over the input picks every dead row and its error text
-        message = None
-        for bits, path, err in dead:
-            cond = low_bits(bits) == path
-            message = F.when(cond, F.lit(err)) if message is None else message.when(cond, F.lit(err))
-        result = (hashed.withColumn("error_message", message)
-                  .filter(F.col("error_message").isNotNull())
-                  .select(*columns, "error_message"))
+        # one equi-join per hash depth picks the dead rows and their error
+        table = spark.createDataFrame(dead, "_bits int, _path long, error_message string")
+        parts = []
+        for bits in sorted({b for b, _, _ in dead}):
+            paths = table.filter(F.col("_bits") == bits).select("_path", "error_message")
+            parts.append(hashed.withColumn("_path", low_bits(bits))
+                         .join(paths, "_path").select(*columns, "error_message"))
+        result = parts[0]
+        for part in parts[1:]:
+            result = result.unionByName(part)
     else:
         result = spark.createDataFrame([], df.schema).withColumn(
             "error_message", F.lit(None).cast("string"))
