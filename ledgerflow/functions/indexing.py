@@ -21,14 +21,19 @@ def with_dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "
                      storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
     """``df`` plus ``name``: 0, 1, 2, ... following ``order`` (a unique key).
 
-    The sorted rows are persisted so the count pass and the numbering pass
-    see the same task layout.
+    The input is persisted while the range sort samples it and sorts it
+    (otherwise both passes would recompute it), and the sorted rows are
+    persisted so the count pass and the numbering pass see the same task
+    layout.  The sort runs once here; the input copy is then released.
     """
-    sorted_rows = df.orderBy(*order).select(
+    source = df.persist(storage)
+    sorted_rows = source.orderBy(*order).select(
         "*",
         F.spark_partition_id().alias("_task"),
         F.monotonically_increasing_id().alias("_mid"),
     ).persist(storage)
+    sorted_rows.count()
+    source.unpersist()
     per_task = sorted_rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
     offsets = per_task.select(
         "_task",
