@@ -196,3 +196,21 @@ def process_batch(spark: SparkSession, raw: DataFrame, request_id: str,
 def raw_from_payloads(spark: SparkSession, payloads: Sequence[bytes]) -> DataFrame:
     """Small raw frame from a list of byte payloads (tests, one event)."""
     return spark.createDataFrame([(bytearray(p),) for p in payloads], "data binary")
+
+
+def ingest_landing(spark: SparkSession, landing_uri: str, settings: S.LakeSettings, *,
+                   now: datetime | None = None, **kwargs) -> DataFrame:
+    """Landed batch files through the same handler (D5): one run per file.
+
+    The run's request id is the file name, the clock is one processing
+    instant for the whole load, and Bronze / Quarantine keep ``run_id`` as
+    a column under the day folders (a folder per file would not scale).
+    """
+    from ..sources import landing
+
+    moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(microsecond=0)
+    raw = landing.read_landing(spark, landing_uri)
+    file_name = F.regexp_extract(F.col("source_file"), r"([^/]+)$", 1)
+    kwargs.setdefault("run_partition", False)
+    return ingest(raw, settings, now=F.lit(moment).cast("timestamp"),
+                  request_id=F.concat(F.lit("landing-"), file_name), **kwargs)

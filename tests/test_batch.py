@@ -120,3 +120,18 @@ def test_metadata_queries(spark, tmp_root):
                    saved_at=datetime.now(timezone.utc) + timedelta(seconds=1))
     assert [r["run_id"] for r in table.by_status("FAILED").collect()] == [
         "2026-04-28T12:00:00+00:00___c"]
+
+
+def test_landing_files_go_through_the_handler(spark, tmp_root):
+    from ledgerflow.plans.batch import ingest_landing
+    from ledgerflow.sources import landing
+    rows = [("shard-0", bytearray(as_bytes(txn()))), ("shard-0", bytearray(b"[1]")),
+            ("shard-1", bytearray(as_bytes(txn())))]
+    raw = spark.createDataFrame(rows, "shard_id string, data binary")
+    landing.land_records(raw, tmp_root + "/landing")
+    lake = S.LakeSettings(root=tmp_root + "/lake")
+    runs = ingest_landing(spark, tmp_root + "/landing", lake, now=NOW).collect()
+    assert sum(r["total_records"] for r in runs) == 3
+    assert sum(r["valid_records"] for r in runs) == 2
+    assert all(r["run_id"].startswith("2026-04-28T14:00:00+00:00___landing-part-") for r in runs)
+    assert sinks.read_bronze(spark, lake.bronze).count() == 2
