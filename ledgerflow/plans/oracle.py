@@ -407,3 +407,22 @@ ORACLE_SQL.update({
 SELECT shard_id, 'OK' AS status, count(*) AS expected_rows, count(*) AS actual_rows
 FROM raw GROUP BY shard_id"""),
 })
+
+ORACLE_SQL["card_sequence"] = with_pipeline(_SILVER + """,
+seq AS (
+  SELECT card_id, transaction_id, ts_value, transaction_ts,
+    row_number() OVER w AS seq_no,
+    lag(ts_value) OVER w AS prev_value,
+    sum(CAST(amount AS DECIMAL(18,2))) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running
+  FROM silver
+  WINDOW w AS (PARTITION BY card_id ORDER BY ts_value, transaction_id)
+)
+SELECT card_id, transaction_id, transaction_ts, seq_no,
+  CASE WHEN prev_value IS NULL THEN NULL ELSE
+    strftime(prev_value, '%Y-%m-%dT%H:%M:%S')
+    || CASE WHEN microsecond(prev_value) % 1000000 = 0 THEN ''
+            ELSE '.' || lpad(CAST(microsecond(prev_value) % 1000000 AS VARCHAR), 6, '0') END
+    || 'Z' END AS prev_ts,
+  epoch_us(ts_value) - epoch_us(prev_value) AS gap_us,
+  CAST(running AS DECIMAL(38,2)) AS running_amount
+FROM seq""")

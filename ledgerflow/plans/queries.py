@@ -500,3 +500,8 @@ def file_copy_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                         == F.regexp_replace("target_file", "^file:", ""), "left")
             .select(F.regexp_extract("source", r"(shard_id=.*)$", 1).alias("relative_path"),
                     "bytes", (F.col("sha256") == F.col("target_sha256")).alias("same_content")))
+
+
+def card_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.layers import card_sequence as sequence
+    return sequence(_silver(spark, sf_dir).drop("copies"))

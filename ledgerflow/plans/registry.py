@@ -31,6 +31,7 @@ QUERIES = {
     "silver_dedup": Q.silver_dedup,
     "gold_daily": Q.gold_daily,
     "card_rollup": Q.card_rollup,
+    "card_sequence": Q.card_sequence,
     "warnings_tagged": Q.warnings_tagged,
     "bronze_day_counts": Q.bronze_day_counts,
     "dead_letter": Q.dead_letter,
