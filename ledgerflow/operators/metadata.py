@@ -115,3 +115,12 @@ class MetadataTable:
         if since is not None:
             runs = runs.filter(F.col("start_ts") >= since)
         return runs.orderBy("start_ts", "run_id")
+
+    def recent(self, status: str = S.STATUS_FAILED, hours: float = 24.0,
+               now: datetime | None = None, pipeline_name: str | None = None) -> DataFrame:
+        """Runs in ``status`` that started in the last ``hours`` (Q3's stated use)."""
+        from datetime import timedelta
+
+        moment = (now or datetime.now(timezone.utc)) - timedelta(hours=hours)
+        return self.by_status(status, since=moment.astimezone(timezone.utc).isoformat(),
+                              pipeline_name=pipeline_name)

@@ -135,3 +135,20 @@ def test_landing_files_go_through_the_handler(spark, tmp_root):
     assert sum(r["valid_records"] for r in runs) == 2
     assert all(r["run_id"].startswith("2026-04-28T14:00:00+00:00___landing-part-") for r in runs)
     assert sinks.read_bronze(spark, lake.bronze).count() == 2
+
+
+def test_failure_records_failed_run_and_reraises(spark, tmp_root):
+    lake = S.LakeSettings(root=tmp_root)
+    import os
+    os.makedirs(os.path.dirname(lake.bronze), exist_ok=True)
+    with open(lake.bronze, "w") as blocker:          # a file where the zone folder should be
+        blocker.write("not a folder")
+    raw = raw_from_payloads(spark, [as_bytes(txn())])
+    with pytest.raises(Exception):
+        process_batch(spark, raw, "req-f", lake, now=NOW)
+    table = MetadataTable(spark, lake.metadata)
+    [row] = table.latest().collect()
+    assert row["run_status"] == "FAILED" and row["error_message"]
+    recent = table.recent(hours=1, now=NOW + timedelta(minutes=5)).collect()
+    assert [r["run_id"] for r in recent] == [row["run_id"]]
+    assert table.recent(hours=1, now=NOW + timedelta(hours=3)).count() == 0
