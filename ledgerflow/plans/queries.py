@@ -24,8 +24,24 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+# Built (analysed) frames per session and folder.  Only the plan object is
+# reused -- every query still reads and computes its data -- so the long
+# classification plan is analysed once per session, not once per query.
+_FRAMES: dict[tuple[int, str, str], DataFrame] = {}
+
+
+def _frame(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    key = (id(spark), sf_dir, name)
+    frame = _FRAMES.get(key)
+    if frame is None or frame.sparkSession is not spark:
+        frame = build()
+        _FRAMES[key] = frame
+    configure(spark)
+    return frame
+
+
 def fixture_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_records(load(spark, sf_dir, "events"))
+    return _frame(spark, sf_dir, "raw", lambda: raw_records(load(spark, sf_dir, "events")))
 
 
 def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,13 +51,12 @@ def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
     id are per-row columns, so the result equals running the batch
     handler once per batch.
     """
-    raw = fixture_raw(spark, sf_dir)
-    return route.classify(
-        raw,
+    return _frame(spark, sf_dir, "classified", lambda: route.classify(
+        fixture_raw(spark, sf_dir),
         now=F.col("batch_now"),
         request_id=F.concat(F.lit("batch-"), F.col("batch_id").cast("string")),
         quarantine_ts=F.col("batch_now"),
-    )
+    ))
 
 
 def _reason_kind(reason):
