@@ -363,11 +363,13 @@ def replayed_lake(spark: SparkSession, sf_dir: str) -> "S.LakeSettings":
         return lake
     lake = S.LakeSettings(root=scratch_path(spark, "replayed-lake"))
     raw = fixture_raw(spark, sf_dir)
-    for suffix in ("", "-retry"):
-        ingest(raw, lake, now=F.col("batch_now"),
-               request_id=F.concat(F.lit("batch-"), F.col("batch_id").cast("string"),
-                                   F.lit(suffix)),
-               quarantine_ts=F.col("batch_now"), run_partition=False)
+    # the original batches and their retries, loaded in one pass
+    copies = raw.withColumn("_copy", F.lit("")).unionByName(
+        raw.withColumn("_copy", F.lit("-retry")))
+    ingest(copies, lake, now=F.col("batch_now"),
+           request_id=F.concat(F.lit("batch-"), F.col("batch_id").cast("string"),
+                               F.col("_copy")),
+           quarantine_ts=F.col("batch_now"), run_partition=False)
     _REPLAYED[key] = lake
     return lake
 
