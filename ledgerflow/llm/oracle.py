@@ -15,3 +15,37 @@ SELECT doc_id,
        text_sha256
 FROM k
 """
+
+ORACLE["op7_url_filter"] = r"""
+WITH c AS (
+  SELECT page_id, url, DATE '2024-01-01' + CAST((page_id * 7919) % 366 AS INTEGER) AS fetch_day,
+         lower(regexp_extract(url, '^[A-Za-z]+://([^/?#:]*)', 1)) AS host,
+         regexp_extract(url, '^[a-z]+://[^/?#]*/([a-z][a-z])/', 1) AS lang
+  FROM pages
+), p AS (
+  SELECT page_id, host AS pattern, 'host' AS category FROM c
+  UNION ALL SELECT page_id, host || '/' || lang, 'section' FROM c
+  UNION ALL SELECT page_id, regexp_replace(host, '^[^.]*[.]', ''), 'parent' FROM c
+), f AS (
+  SELECT pattern, category, min(page_id) AS first FROM p
+  GROUP BY ALL HAVING min(page_id) % 3 <> 1 AND pattern NOT LIKE 'example.%'
+), e AS (
+  SELECT pattern, category, 'add' AS action, DATE '2024-01-01' + CAST((first * 31) % 200 AS INTEGER) AS day FROM f
+  UNION ALL SELECT pattern, category, 'remove', DATE '2024-01-01' + CAST((first * 31) % 200 + 45 AS INTEGER) FROM f WHERE first % 2 = 0
+  UNION ALL SELECT pattern, category, 'add', DATE '2024-01-01' + CAST((first * 31) % 200 + 90 AS INTEGER) FROM f WHERE first % 4 = 0
+), d AS (
+  SELECT pattern, day, bool_and(action = 'add') AS listed, min(category) AS category FROM e GROUP BY ALL
+), v AS (
+  SELECT *, lead(day) OVER (PARTITION BY pattern ORDER BY day) AS valid_to FROM d
+), m AS (
+  SELECT c.page_id, c.host, c.fetch_day, v.pattern, v.category, v.day AS since
+  FROM c LEFT JOIN v ON v.listed AND c.fetch_day >= v.day AND (v.valid_to IS NULL OR c.fetch_day < v.valid_to)
+    AND (v.pattern = c.host OR ends_with(c.host, '.' || v.pattern)
+         OR (contains(v.pattern, '/') AND starts_with(regexp_replace(url, '^[a-z]+://', '') || '/', v.pattern || '/')))
+)
+SELECT page_id, host, fetch_day, count(pattern) > 0 AS blocked, count(pattern) AS n_active,
+       first(pattern ORDER BY length(pattern) DESC NULLS LAST, pattern) AS pattern,
+       first(category ORDER BY length(pattern) DESC NULLS LAST, pattern) AS category,
+       first(since ORDER BY length(pattern) DESC NULLS LAST, pattern) AS listed_since
+FROM m GROUP BY page_id, host, fetch_day
+"""

@@ -3,15 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .url_filter import evaluate_urls, url_host
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``pages`` with a fetch day derived from page_id (the table has none)."""
+    day = F.date_add(F.to_date(F.lit("2024-01-01")), ((F.col("page_id") * 7919) % 366).cast("int"))
+    return table(spark, sf_dir, "pages").select("page_id", "url", day.alias("fetch_day"))
+
+
+def _list_entries(pages: DataFrame) -> DataFrame:
+    """A dated list derived from ``pages``: hosts, parent domains, host + language.
+
+    The first page of a pattern fixes its dates: two thirds of the patterns
+    are added, some removed later, some of those added again.
+    """
+    host = url_host(F.col("url"))
+    language = F.regexp_extract("url", "^[a-z]+://[^/?#]*/([a-z][a-z])/", 1)
+    patterns = pages.select("page_id", host.alias("host"), language.alias("language")).select(
+        "page_id", F.explode(F.array(*[
+            F.struct(pattern.alias("pattern"), F.lit(category).alias("category"))
+            for category, pattern in (
+                ("host", F.col("host")), ("section", F.concat_ws("/", "host", "language")),
+                ("parent", F.regexp_replace("host", "^[^.]*[.]", "")))])).alias("p"))
+    first = patterns.groupBy("p.pattern", "p.category").agg(F.min("page_id").alias("first"))
+    start = F.date_add(F.to_date(F.lit("2024-01-01")), ((F.col("first") * 31) % 200).cast("int"))
+    events = F.array(*[
+        F.when(F.col("first") % every == 0, F.struct(F.lit(action).alias("action"),
+                                                     F.date_add(start, after).alias("day")))
+        for every, action, after in ((1, "add", 0), (2, "remove", 45), (4, "add", 90))])
+    return (first.filter((F.col("first") % 3 != 1) & ~F.col("pattern").like("example.%"))
+            .select("pattern", "category", F.explode(events).alias("e"))
+            .filter("e IS NOT NULL").select("pattern", "category", "e.action", "e.day"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = _captures(spark, sf_dir)
+    return evaluate_urls(captures, _list_entries(captures.select("page_id", "url")))
+
+
 QUERIES = {
+    "op7_url_filter": op7_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
