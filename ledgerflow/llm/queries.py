@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .exact_dedup import exact_dedup
+from .near_dedup import near_duplicates
 from .url_filter import evaluate_urls, url_host
 
 
@@ -50,7 +51,12 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate_urls(captures, _list_entries(captures.select("page_id", "url")))
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
 }
