@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .bpe import digests, encode_texts
 from .common import table
+from .decontam import contaminated
 from .exact_dedup import exact_dedup
+from .license_scan import license_scan
 from .near_dedup import near_duplicates
+from .toxicity import toxicity
 from .url_filter import evaluate_urls, url_host
 
 
@@ -55,7 +59,35 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def _vocabulary() -> tuple[str, str]:
+    """Path of the rank file and the pattern that splits text before merges."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = _vocabulary()
+    return digests(encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
+
+
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op9_toxicity": op9_toxicity,
+    "op6_license_scan": op6_license_scan,
+    "op4_decontaminate": op4_decontaminate,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op10_exact_dedup": op10_exact_dedup,
