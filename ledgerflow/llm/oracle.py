@@ -49,3 +49,24 @@ SELECT page_id, host, fetch_day, count(pattern) > 0 AS blocked, count(pattern) A
        first(since ORDER BY length(pattern) DESC NULLS LAST, pattern) AS listed_since
 FROM m GROUP BY page_id, host, fetch_day
 """
+
+ORACLE["op5_line_dedup"] = r"""
+WITH d AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents
+), l AS (
+  SELECT doc_id, source, unnest(range(1, len(lines) + 1)) AS pos, lines FROM d
+), b AS (
+  SELECT doc_id, source, pos, lines[pos] AS line, trim(lines[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l
+), t AS (
+  SELECT source, count(*) AS total FROM documents GROUP BY source
+), r AS (
+  SELECT b.source, b.bare FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source
+  WHERE b.bare <> '' GROUP BY b.source, b.bare
+  HAVING count(DISTINCT b.doc_id) >= 5 AND count(DISTINCT b.doc_id) > any_value(t.total) * 0.08
+)
+SELECT b.doc_id, count(*) FILTER (b.bare <> '') AS n_lines,
+       count(*) FILTER (r.bare IS NOT NULL) AS n_dropped,
+       sha256(coalesce(string_agg(b.line, chr(10) ORDER BY b.pos) FILTER (r.bare IS NULL), '')) AS kept_sha256
+FROM b LEFT JOIN r ON b.source IS NOT DISTINCT FROM r.source AND b.bare = r.bare
+GROUP BY b.doc_id
+"""

@@ -10,9 +10,11 @@ from .common import table
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .license_scan import license_scan
+from .line_dedup import drop_boilerplate
 from .near_dedup import near_duplicates
 from .toxicity import toxicity
 from .url_filter import evaluate_urls, url_host
+from .warc import roundtrip
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +85,25 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = roundtrip(table(spark, sf_dir, "pages"))
+    sound = F.when(F.col("error").isNull(), F.col("record_id")).otherwise(
+        F.raise_error(F.concat(F.lit("unreadable record: "), F.col("error"))))
+    page = lambda urn: F.regexp_extract(urn, "^<urn:page:(-?[0-9]+)>$", 1)
+    number = lambda urn: F.nullif(page(urn), F.lit("")).cast("bigint")
+    return records.select(number(sound).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                          number(F.col("refers_to")).alias("refers_to"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = drop_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped",
+                          F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
+    "op3_warc": op3_warc,
+    "op5_line_dedup": op5_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
     "op9_toxicity": op9_toxicity,
     "op6_license_scan": op6_license_scan,
