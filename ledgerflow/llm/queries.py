@@ -12,6 +12,7 @@ from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import drop_boilerplate
 from .near_dedup import near_duplicates
+from .substring_dedup import substring_dedup
 from .toxicity import toxicity
 from .url_filter import evaluate_urls, url_host
 from .warc import roundtrip
@@ -101,7 +102,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op8_substring_dedup": op8_substring_dedup,
     "op3_warc": op3_warc,
     "op5_line_dedup": op5_line_dedup,
     "op2_byte_bpe": op2_byte_bpe,
