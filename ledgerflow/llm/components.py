@@ -18,6 +18,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     edges = stage(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
                   .filter("lo < hi").distinct(), "cc-links")
+    before = _digest(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
         smallest = stage(both.groupBy(F.col("lo").alias("node")).agg(F.min("hi").alias("m"))
@@ -30,13 +31,14 @@ def components(links: DataFrame) -> DataFrame:
             F.explode(F.array(*[F.struct(F.col("m").alias("lo"), F.col(c).alias("hi"))
                                 for c in ("lo", "hi")])).alias("e")).select("e.*")
         after = stage(small.filter("lo < hi").distinct(), "cc-links")
-        if _same(edges, after):
+        now = _digest(after)
+        if now == before:
             return (after.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
                     .unionByName(after.select(F.col("lo").alias("node"),
                                               F.col("lo").alias("component")).distinct()))
-        edges = after
+        edges, before = after, now
 
 
-def _same(a: DataFrame, b: DataFrame) -> bool:
-    digest = [F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))]
-    return a.agg(*digest).first() == b.agg(*digest).first()
+def _digest(edges: DataFrame):
+    """Row count and order-free checksum of a link table."""
+    return edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()

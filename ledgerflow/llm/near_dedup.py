@@ -169,13 +169,17 @@ def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
     shared = values.join(df, "h").groupBy("rep", "n", "c").agg(
         F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs"))
     room = prefix - (F.col("n") - F.size("hs"))
+    # left: shingles from this one on, the most that a pair can still share
+    # when this is its first common shingle.
     index = stage(shared.filter(room > 0).select(
-        "rep", "n", "c", F.explode(F.slice("hs", F.lit(1), room.cast("int"))).alias("x"))
-        .select("rep", "n", "c", "x.h"), "near-index")
+        "rep", "n", "c", F.size("hs").alias("later"),
+        F.posexplode(F.slice("hs", F.lit(1), room.cast("int"))).alias("at", "x"))
+        .select("rep", "n", "c", (F.col("later") - F.col("at")).alias("left"), "x.h"), "near-index")
     a, b = index.alias("x"), index.alias("y")
+    enough = (F.least("x.left", "y.left") * (100 + PERCENT)
+              >= (F.col("x.n") + F.col("y.n")) * PERCENT)
     return (a.join(b, F.col("x.h") == F.col("y.h"))
-            .filter((F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c"))
-                    & sizes_pass(F.col("x.n"), F.col("y.n")))
+            .filter((F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & enough)
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
 
 
@@ -193,7 +197,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stage(_verified(_estimated(_star_pairs(lists), classes), sets), "near-links")
     labels = stage(components(links), "near-labels")
     more = stage(_verified(_estimated(_residual_pairs(lists, sets, labels), classes), sets), "near-more")
-    found = stage(components(links.unionByName(more)), "near-components")
+    if more.isEmpty():
+        found = labels
+    else:
+        merged = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+        found = stage(components(merged.unionByName(more)), "near-components")
 
     # A class may be one node with another id of a repeated document.
     label = stage(classes.join(found, classes["rep"] == found["node"], "left").select(
