@@ -207,19 +207,21 @@ def _ids_of(scalar: pa.ListScalar) -> np.ndarray:
     return scalar.values.to_numpy(zero_copy_only=False).astype("<u4")
 
 
-def digests(encoded: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
-    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoded rows, decoding the ids."""
+def digests(encoded: DataFrame, vocabulary: str, pattern: str, with_ids: bool = False) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256[, ids]) of encoded rows, decoding the ids."""
     tokens = encoded.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
+    schema = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
     def run(batches):
         codec = Codec(tokens.value, pattern)
         for batch in batches:
             arrays = [_ids_of(ids) for ids in batch.column(2)]
-            yield pa.RecordBatch.from_arrays(
+            found = pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1),
                  pa.array([hashlib.sha256(a.tobytes()).hexdigest() for a in arrays], pa.string()),
                  pa.array([hashlib.sha256(codec.decode(a)).hexdigest() for a in arrays], pa.string())],
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            yield found.append_column("ids", batch.column(2)) if with_ids else found
 
     return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+        run, schema + ", ids array<int>" if with_ids else schema)

@@ -151,3 +151,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **names: str) -> DataFra
         F.col("b.n_words").cast("bigint").alias("n_words"),
         F.col("b.n_agree").cast("bigint").alias("n_agree"),
         (F.col("b.n_agree") / F.col("b.item_words")).alias("coverage"))
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that overlap a benchmark item, all columns as they are."""
+    found = benchmark_overlaps(docs, benchmark, id_col, text_col)
+    found = stage(found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct(),
+                  "bench-contaminated")
+    return docs.join(_bounded(found, BROADCAST_KEYS), F.col(id_col).eqNullSafe(F.col("found_id"))
+                     & (F.xxhash64(text_or_empty(text_col)) == F.col("found_key")), "left_anti")

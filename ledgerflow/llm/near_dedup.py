@@ -210,3 +210,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return (signed.select("doc_id", "n_shingles", "digest").join(label, "digest", "left")
             .select("doc_id", "n_shingles", component.alias("component_id"),
                     (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")))
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of near duplicates, all columns as they are.
+
+    Of rows that repeat a kept id, one stays.  Rows with a null id stay.
+    """
+    judged = stage(near_duplicates(docs, id_col, text_col).select(
+        F.col("doc_id").alias("judged_id"), "kept"), "near-judged")
+    gone = judged.filter(~F.col("kept")).select("judged_id")
+    again = (judged.filter(F.col("kept") & F.col("judged_id").isNotNull()).groupBy("judged_id").count()
+             .filter("count > 1").select("judged_id"))
+    same = F.col(id_col) == F.col("judged_id")
+    left = docs.join(gone, same, "left_anti")
+    if again.isEmpty():
+        return left
+    again = stage(again, "near-again")
+    one = left.join(again, same, "left_semi").dropDuplicates([id_col])
+    return left.join(again, same, "left_anti").unionByName(one)

@@ -74,7 +74,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-def _vocabulary() -> tuple[str, str]:
+def vocabulary() -> tuple[str, str]:
     """Path of the rank file and the pattern that splits text before merges."""
     import public_tokenizers
 
@@ -82,7 +82,7 @@ def _vocabulary() -> tuple[str, str]:
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, pattern = _vocabulary()
+    path, pattern = vocabulary()
     return digests(encode_texts(table(spark, sf_dir, "documents"), path, pattern), path, pattern)
 
 

@@ -181,5 +181,21 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 
+def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text",
+               threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, that score below the threshold."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text_col)
+    edge = float(np.log(threshold / (1 - threshold)))
+
+    def run(batches):
+        weights, bias = shared.value
+        for batch in batches:
+            clean = [bias + weights[slots(t.as_py())].sum() < edge for t in batch.column(at)]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, fit(docs, labels))
