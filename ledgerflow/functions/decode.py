@@ -9,6 +9,10 @@ All checks are column expressions evaluated in the JVM:
    text becomes a syntax error); text holding a ``]`` is also parsed as
    ``{"r": t}`` which rejects a stray ``]`` that could close the array
    early.
+   Two things Python's parser accepts and the JVM's does not are rewritten
+   first, in rows that hold them: the bare literals NaN and Infinity
+   become numbers beyond every range, and an escape of half a surrogate
+   pair becomes a marker that the text rules report.
 3. Object shape: the first non-blank character of a valid JSON text
    names its type, so no second walk over the value is needed.
 
@@ -30,6 +34,29 @@ KIND_JSON = "json"
 KIND_NOT_DICT = "not_dict"
 
 
+# Two noncharacters stand for an unpaired surrogate, which no text column
+# can hold.
+LONE_SURROGATE = "\ufffe\uffff"
+_LONE_ESCAPE = r"\\ufffe\\uffff"
+_HIGH, _LOW = r"\\u[dD][89aAbB][0-9a-fA-F]{2}", r"\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+_MARK = "\x01"      # never valid in JSON text, so free to mark a literal
+
+
+def parseable(text: Column) -> Column:
+    """``text`` with the literals and escapes only Python's parser accepts rewritten."""
+    # A backslash pair before the escape is a literal backslash, not its start.
+    lead = r"(?<!\\)((?:\\\\)*+)"
+    whole = F.regexp_replace(
+        F.regexp_replace(text, rf"{lead}{_HIGH}(?!{_LOW})", f"$1{_LONE_ESCAPE}"),
+        rf"{lead}(?<!{_HIGH}){_LOW}", f"$1{_LONE_ESCAPE}")
+    text = F.when(text.rlike(r"\\u[dD][89a-fA-F]"), whole).otherwise(text)
+    # Strings are matched whole and kept, so only bare literals are marked.
+    marked = F.regexp_replace(text, r'("(?:[^"\\]++|\\.)*+")|NaN|Infinity', f"$1{_MARK}")
+    numbers = F.replace(F.replace(marked, F.lit(f'"{_MARK}'), F.lit('"')), F.lit(_MARK), F.lit("1e999"))
+    bare = text.rlike("NaN|Infinity") & ~text.rlike(f"{_MARK}|-NaN")
+    return F.when(bare, numbers).otherwise(text)
+
+
 def json_value(text: Column) -> Column:
     """VARIANT holding the single JSON value of ``text``; NULL if invalid."""
     wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
@@ -63,6 +90,7 @@ def decode(df: DataFrame, data: str = "data") -> DataFrame:
     staged = df.withColumn("_text", text).withColumn(
         "_utf8_ok", F.is_valid_utf8(F.col("_text"))
     )
+    staged = staged.withColumn("_text", F.when(F.col("_utf8_ok"), parseable(F.col("_text"))))
     staged = staged.withColumn(
         "_value", F.when(F.col("_utf8_ok"), json_value(F.col("_text")))
     )

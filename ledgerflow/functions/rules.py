@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schema as S
+from .decode import LONE_SURROGATE
 
 # ---------------------------------------------------------------------------
 # Fixed text patterns (accepted input shapes).
@@ -34,24 +35,28 @@ _UUID_HYPHENATED = f"{_HEX}{{8}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{4}}-{_HEX}{{12}
 # 32 hex digits, hyphenated, braced hyphenated, or urn:uuid: hyphenated.
 UUID_PATTERN = (
     f"^(?:{_HEX}{{32}}|{_UUID_HYPHENATED}|\\{{{_UUID_HYPHENATED}\\}}"
-    f"|urn:uuid:{_UUID_HYPHENATED})$"
+    f"|urn:uuid:{_UUID_HYPHENATED})\\z"
 )
 # Decimal text with optional exponent; underscores only between digits;
-# inf / infinity / nan in any case; surrounding white space allowed.
+# inf / infinity / nan in any case; surrounding white space allowed, which
+# is every character Unicode calls white space.
+_WS = r"[\s\u0085\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 _DIGITS = r"\d+(?:_\d+)*"
 FLOAT_TEXT_PATTERN = (
-    rf"^\s*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
-    rf"(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan))\s*$"
+    rf"^{_WS}*[+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})"
+    rf"(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity|nan)){_WS}*\z"
 )
 # Date, optional time (seconds and fraction optional) and offset.
 # Groups: 1 year 2 month 3 day 4 hour 5 minute 6 second 7 fraction
 #         8 Z/z 9 sign 10 offset hours 11 offset minutes
 ISO_TS_PATTERN = (
     r"^(\d{4})-(\d{2})-(\d{2})"
-    r"(?:[Tt _](\d{2}):(\d{2})(?::(\d{2})(?:\.(\d+))?)?"
-    r"(?:([Zz])|([+-])(\d{2}):?(\d{2}))?)?$"
+    r"(?:[Tt _](\d{2}):(\d{2})(?::(\d{2})(?:[.,](\d+))?)?"
+    r"(?:([Zz])|([+\-\u2212])(\d{2}):?(\d{2}))?)?\z"
 )
-EPOCH_TEXT_PATTERN = r"^-?\d+(?:\.\d+)?$"
+EPOCH_TEXT_PATTERN = r"^[+-]?\d+(?:\.\d+)?\z"
+# The calendar has no year 0: a well-formed date in it is its own error.
+YEAR_ZERO_PATTERN = r"^0000-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])(?:[Tt _]|\z)"
 # Epoch values above this magnitude are milliseconds.
 EPOCH_MS_THRESHOLD = 2e10
 # Instants representable as a calendar date in years 1..9999.
@@ -141,6 +146,7 @@ def text_rule(name: str, min_length: int = 1,
         rule = (
             F.when(f.absent, f.missing())
             .when(~f.is_string, f.invalid("string_type"))
+            .when(F.contains(f.text, F.lit(LONE_SURROGATE)), f.invalid("string_unicode"))
             .when(F.char_length(f.text) < min_length, f.invalid("string_too_short"))
         )
         if max_length is not None:
@@ -184,7 +190,8 @@ def datetime_rule(name: str) -> Callable[[RuleContext], Column]:
             F.when(f.absent, f.missing())
             .when(~(f.is_number | f.is_string), f.invalid("datetime_type"))
             .when(ts.isNotNull(), F.lit(None).cast("string"))
-            .when(epoch_like, f.invalid("datetime_parsing"))
+            .when(epoch_like | (f.is_string & f.text.rlike(YEAR_ZERO_PATTERN)),
+                  f.invalid("datetime_parsing"))
             .otherwise(f.invalid("datetime_from_date_parsing"))
         )
     return build
@@ -242,7 +249,7 @@ def _string_value(v: Column, kind: Column) -> Column:
 
 
 def _float_value(f: FieldRef) -> Column:
-    stripped = F.regexp_replace(F.regexp_replace(f.text, r"^\s+|\s+$", ""), "_", "")
+    stripped = F.regexp_replace(F.regexp_replace(f.text, rf"^{_WS}+|{_WS}+\z", ""), "_", "")
     return (
         F.when(f.is_number | f.is_bool, F.try_variant_get(f.value, "$", "double"))
         .when(f.is_string & f.text.rlike(FLOAT_TEXT_PATTERN), stripped.try_cast("double"))
@@ -271,7 +278,7 @@ def _timestamp_value(f: FieldRef) -> tuple[Column, Column]:
     local = F.try_to_timestamp(local_text, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
     has_sign = g[9] != ""
     offset_ok = ~has_sign | ((g[10].cast("int") < 24) & (g[11].cast("int") < 60))
-    sign = F.when(g[9] == "-", F.lit(-1)).otherwise(F.lit(1))
+    sign = F.when(g[9].isin("-", "\u2212"), F.lit(-1)).otherwise(F.lit(1))
     offset_us = F.when(has_sign, sign * (g[10].cast("long") * 3600 + g[11].cast("long") * 60)
                        ).otherwise(F.lit(0)) * F.lit(1_000_000)
     iso_ts = F.when(iso & offset_ok & (g[1] != "0000") & local.isNotNull(),
@@ -397,8 +404,3 @@ def validate(df: DataFrame, now: Column | None = None,
         F.when(F.size("_reasons") == 0, txn).alias("txn"),
     )
 
-
-def drop_work_columns(df: DataFrame) -> DataFrame:
-    """Remove the ``_f_/_t_/_s_/_n_/_ts_/_naive_`` helper columns."""
-    prefixes = ("_f_", "_t_", "_s_", "_n_", "_ts_", "_naive_", "_schema_")
-    return df.drop(*[c for c in df.columns if c.startswith(prefixes)])

@@ -107,29 +107,32 @@ def bronze_rows(classified: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return classified.filter(F.col("is_valid")).select(*keep, *bronze_columns())
 
 
-def _value_text(name: str) -> Column:
-    """A payload field as text: strings as-is, numbers as double text,
-    objects and arrays as JSON; NULL for an absent or null field."""
+def _value_text(name: str, data: str) -> Column:
+    """A payload field as text: strings as they are, numbers as they were
+    written, containers as JSON text; NULL for an absent or null field."""
     ref = R.FieldRef(name)
-    return (
-        F.when(ref.is_number, F.try_variant_get(ref.value, "$", "double").cast("string"))
-        .otherwise(F.try_variant_get(ref.value, "$", "string"))
-    )
+    text = F.replace(F.try_variant_get(ref.value, "$", "string"), F.lit(D.LONE_SURROGATE), F.lit("\ufffd"))
+    # The last number written under this key, if it has the parsed value.
+    written = F.regexp_extract(F.col(data).cast("string"), rf'(?s).*"{name}"\s*:\s*(-?[0-9][0-9.eE+-]*)', 1)
+    same = written.try_cast("double") == F.try_variant_get(ref.value, "$", "double")
+    return F.when(ref.is_number & same, written).otherwise(text)
 
 
 def quarantine_columns(data: str = "data") -> list[Column]:
     """Quarantine fields (T2, T3): one fixed shape for both failure paths.
 
     Decode failures carry ``_raw_b64``; validation failures carry the
-    payload (``payload_json`` plus each known field as text).  Our two
+    payload: ``payload_json`` is the decoded text as it arrived (key order,
+    number text, extra keys), and each known field is repeated as text for
+    filtering.  Our two
     ``_quarantine_*`` columns sit beside the payload, so a payload key of
     the same name never overrides them.
     """
     decoded = F.col("_decode_kind") == D.KIND_OK
     return [
         F.when(~decoded, D.raw_b64(F.col(data))).alias("_raw_b64"),
-        F.when(decoded, F.to_json(F.col("_payload"))).alias("payload_json"),
-        *[F.when(decoded, _value_text(f)).alias(f) for f in S.TXN_FIELDS],
+        F.when(decoded, F.col(data).cast("string")).alias("payload_json"),
+        *[F.when(decoded, _value_text(f, data)).alias(f) for f in S.TXN_FIELDS],
         F.col("reasons").alias("_quarantine_reason"),
         F.col("_quarantine_ts").alias("_quarantine_ts"),
     ]

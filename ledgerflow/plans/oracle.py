@@ -10,7 +10,16 @@ invalid text, so JSON access is guarded by ``CASE`` on ``json_valid``.
 
 from __future__ import annotations
 
-from ..functions.rules import FLOAT_TEXT_PATTERN, ISO_TS_PATTERN, EPOCH_TEXT_PATTERN, UUID_PATTERN
+# Accepted input shapes, written for DuckDB's engine and kept apart from the
+# rules under test.
+UUID_PATTERN = (r"\A(?:[[:xdigit:]]{32}|(?:urn:uuid:)?[[:xdigit:]]{8}(?:-[[:xdigit:]]{4}){3}-[[:xdigit:]]{12}"
+                r"|\{[[:xdigit:]]{8}(?:-[[:xdigit:]]{4}){3}-[[:xdigit:]]{12}\})\z")
+FLOAT_TEXT_PATTERN = (r"(?i)\A[\s\x{85}\p{Z}]*[-+]?(?:inf|infinity|nan"
+                      r"|(?:[0-9]+(?:_[0-9]+)*\.?|(?:[0-9]+(?:_[0-9]+)*)?\.[0-9]+(?:_[0-9]+)*)"
+                      r"(?:e[-+]?[0-9]+(?:_[0-9]+)*)?)[\s\x{85}\p{Z}]*\z")
+ISO_TS_PATTERN = (r"\A([0-9]{4})-([0-9]{2})-([0-9]{2})(?:[Tt _]([0-9]{2}):([0-9]{2})"
+                  r"(?::([0-9]{2})(?:[.,]([0-9]+))?)?(?:([Zz])|([-+\x{2212}])([0-9]{2}):?([0-9]{2}))?)?\z")
+EPOCH_TEXT_PATTERN = r"\A[-+]?[0-9]+(?:\.[0-9]+)?\z"
 
 # FIXTURES.md section 3: raw records from `events`, 100 per batch.
 FIXTURE_CTE = r"""
@@ -215,7 +224,6 @@ _BRONZE_COLS = ("txn_id AS transaction_id, s_card_id AS card_id, s_merchant_id A
 _QUARANTINE_FIELDS = ", ".join(
     f"CASE WHEN decode_kind = 'ok' THEN "
     f"CASE WHEN t_{f} = 'NULL' THEN NULL WHEN t_{f} = 'VARCHAR' THEN s_{f} "
-    f"WHEN t_{f} IN {_NUM_TYPES} THEN CAST(CAST(f_{f} AS DOUBLE) AS VARCHAR) "
     f"ELSE CAST(f_{f} AS VARCHAR) END END AS {f}"
     for f in _FIELDS)
 
@@ -247,6 +255,7 @@ SELECT event_id, batch_id, run_id, {_BRONZE_COLS} FROM classified WHERE is_valid
     "quarantine_rows": with_pipeline(f"""
 SELECT event_id, batch_id, run_id,
   CASE WHEN decode_kind <> 'ok' THEN base64(data) END AS _raw_b64,
+  CASE WHEN decode_kind = 'ok' THEN txt END AS payload_json,
   {_QUARANTINE_FIELDS},
   array_to_string(reasons, '|') AS reasons, quarantine_ts AS _quarantine_ts
 FROM classified WHERE NOT is_valid"""),

@@ -1,8 +1,7 @@
 """Registered queries: each takes ``(spark, sf_dir)`` and returns a DataFrame.
 
 All of them read the given tables (``events`` through the fixture
-records, ``orders`` for the second source) so their work grows with the
-data.  The DuckDB counterparts live in ``plans.oracle_queries``.
+records) so their work grows with the data.  The DuckDB counterparts live in ``plans.oracle``.
 """
 
 from __future__ import annotations
@@ -119,7 +118,7 @@ def bronze_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = route.quarantine_rows(classified(spark, sf_dir), keep=("event_id", "batch_id", "run_id"))
     return q.select(
-        "event_id", "batch_id", "run_id", "_raw_b64", *S.TXN_FIELDS,
+        "event_id", "batch_id", "run_id", "_raw_b64", "payload_json", *S.TXN_FIELDS,
         F.array_join("_quarantine_reason", "|").alias("reasons"), "_quarantine_ts",
     )
 
