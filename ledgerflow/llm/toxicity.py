@@ -36,6 +36,7 @@ ORDERS = (3, 4, 5)
 FIT_ROWS = 3000
 LEAST_DOCS = 5         # training rows a slot must occur in
 LEAST_Z = 3.0          # two-proportion z score of an informative slot
+LEAST_RATIO = 0.5      # its least absolute log-count ratio
 RIDGE = 0.02
 ROUNDS = 200
 THRESHOLD = 0.3
@@ -107,7 +108,8 @@ def log_ratios(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
     ratio = np.log(share[1] / share[0])
     both = (counts.sum(axis=0) + 1) / (rows.sum() + 2)
     z = (share[1] - share[0]) / np.sqrt(both * (1 - both) * (1 / (rows[0] + 2) + 1 / (rows[1] + 2)))
-    return np.where((counts.sum(axis=0) >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z), ratio, 0.0)
+    telling = (counts.sum(axis=0) >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z) & (np.abs(ratio) >= LEAST_RATIO)
+    return np.where(telling, ratio, 0.0)
 
 
 def _fit_sample(training: DataFrame, ratios: np.ndarray) -> pd.DataFrame:
@@ -139,8 +141,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     sample = _fit_sample(training, ratios)
     y = (sample["toxic"].to_numpy() > 0).astype(float)
     sizes = np.array([len(s) for s in sample["slots"]])
-    owner = np.repeat(np.arange(len(y)), sizes)
+    owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
     columns, where = np.unique(np.concatenate([*sample["slots"], np.empty(0, np.int32)]), return_inverse=True)
+    del sample
+    where = where.astype(np.int32)
     value = ratios[columns.astype(np.int64)]
     weight = np.where(y > 0, rows[1] / max(1, y.sum()), rows[0] / max(1, (1 - y).sum()))
     weight /= weight.sum()
