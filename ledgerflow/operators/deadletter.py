@@ -1,129 +1,68 @@
 """Retry, bisect on error, dead-letter the rest.
 
-``process_with_bisect(df, fn)`` calls ``fn`` (an action: a write, a
-send) on the whole frame, retrying it.  A subset that keeps failing is
-split in two by the next bit of a stable hash of ``key``; both halves
-are tried again.  The subsets of one level are named by the low bits of
-the hash, so the sizes of all halves of a level come from one small
-aggregate job, and a failing half of one row goes to the dead-letter
-table with the error text.  The driver holds only hash-bit paths and
-error texts, never rows.
-
-Each attempt is a job over a filter of the input: persist ``df`` if it
-is costly to recompute.  ``parallelism`` > 1 runs the attempts of one
-level as concurrent jobs; use it only with an ``fn`` that is safe to
-call concurrently (for example one writing to its own folder per call).
-
-Cost grows with the number of failing records (about two jobs per
-failing record per level), so bisection suits rare poison records.
-``max_jobs`` bounds the work: once it is spent, every subset still
-failing goes to the dead-letter table whole, as an exhausted batch goes
-to a dead-letter queue; no row is dropped.  The dead rows are picked
-with one equi-join per hash depth against the (path, error) table, not
-with an expression that grows with the number of dead subsets.
+``process_with_bisect(df, handle)`` hands the rows to ``handle`` in batches
+of at most ``batch_size`` rows, inside the tasks that hold them.  A batch
+that keeps failing is cut in two and both halves are tried again, down to
+single rows; a row that fails alone goes to the dead-letter table with the
+error's whole text and the number of calls that had it in hand.  One pass
+over the data, no shuffle, nothing per row on the driver.
+
+``handle(batch: pandas.DataFrame)`` has side effects and is called at least
+once for every row: again after a failure of its batch, and again when
+Spark runs a task a second time.  The outcomes are therefore written once,
+to ``dead_letter_uri``, and read from there.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
-from typing import Callable
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Callable, Iterator
 
-MAX_DEPTH = 63                       # bits of the signed 64-bit hash used
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+BATCH_SIZE = 100
 
-@dataclass
-class BisectResult:
-    dead_letter: DataFrame           # failed rows plus ``error_message``, ``attempts``
-    jobs: int                        # Spark jobs started (attempts and size checks)
-    dead_subsets: int
 
-
-def _attempt(fn: Callable[[DataFrame], object], part: DataFrame, tries: int) -> str | None:
+def _tried(batch: pd.DataFrame, handle: Callable, tries: int) -> tuple[str | None, int]:
+    """(error of the last try, calls made); the error is None once a call succeeds."""
     error = None
-    for _ in range(max(1, tries)):
+    for call in range(1, tries + 1):
         try:
-            fn(part)
-            return None
+            handle(batch)
+            return None, call
         except Exception as exc:  # the sink's failure is data here
-            text = str(exc).strip()
-            error = (text.splitlines()[0] if text else repr(exc))[:1000]
-    return error
-
-
-def process_with_bisect(df: DataFrame, fn: Callable[[DataFrame], object], *, key: str | Column,
-                        max_retries: int = 3, parallelism: int = 1,
-                        max_jobs: int | None = None,
-                        dead_letter_uri: str | None = None) -> BisectResult:
-    """Run ``fn`` over ``df``; isolate and dead-letter what keeps failing."""
-    key_col = F.col(key) if isinstance(key, str) else key
-    h = F.col("_bisect_hash")
-    hashed = df.withColumn("_bisect_hash", F.xxhash64(key_col))
-    columns = df.columns
-
-    def low_bits(bits: int) -> Column:
-        return h.bitwiseAND(F.lit((1 << bits) - 1))
-
-    def subset(bits: int, path: int) -> DataFrame:
-        return hashed.filter(low_bits(bits) == path).select(*columns)
-
-    jobs = 1
-    first = _attempt(fn, df, 1 + max_retries)
-    dead: list[tuple[int, int, str]] = []
-    if first is not None:
-        failing = {0: first}               # path -> error, at the current depth
-        depth = 0
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-            while failing:
-                out_of_budget = max_jobs is not None and jobs + 1 + 2 * len(failing) > max_jobs
-                if depth >= MAX_DEPTH or out_of_budget:
-                    # identical hashes cannot split further; a spent budget
-                    # sends what still fails to the dead-letter table whole
-                    dead += [(depth, p, e) for p, e in failing.items()]
-                    break
-                sizes = (hashed.filter(low_bits(depth).isin(list(failing)))
-                         .groupBy(low_bits(depth + 1).alias("path"))
-                         .agg(F.count(F.lit(1)).alias("n")).collect())
-                jobs += 1
-                children = [(int(r["path"]), int(r["n"])) for r in sizes]
-                results = list(pool.map(
-                    lambda child: _attempt(fn, subset(depth + 1, child[0]), 1), children))
-                jobs += len(children)
-                failing = {}
-                for (path, n), err in zip(children, results):
-                    if err is None:
-                        continue
-                    if n == 1:
-                        dead.append((depth + 1, path, err))
-                    else:
-                        failing[path] = err
-                depth += 1
-            # single rows get their remaining retries before they are given up
-            if max_retries > 0 and dead:
-                again = list(pool.map(
-                    lambda d: _attempt(fn, subset(d[0], d[1]), max_retries), dead))
-                jobs += len(dead)
-                dead = [(b, p, err) for (b, p, _), err in zip(dead, again) if err is not None]
-
-    spark = df.sparkSession
-    if dead:
-        # one equi-join per hash depth picks the dead rows and their error
-        table = spark.createDataFrame(dead, "_bits int, _path long, error_message string")
-        parts = []
-        for bits in sorted({b for b, _, _ in dead}):
-            paths = table.filter(F.col("_bits") == bits).select("_path", "error_message")
-            parts.append(hashed.withColumn("_path", low_bits(bits))
-                         .join(paths, "_path").select(*columns, "error_message"))
-        result = parts[0]
-        for part in parts[1:]:
-            result = result.unionByName(part)
-    else:
-        result = spark.createDataFrame([], df.schema).withColumn(
-            "error_message", F.lit(None).cast("string"))
-    result = result.withColumn("attempts", F.lit(1 + max_retries))
-    if dead_letter_uri is not None:
-        result.write.mode("append").parquet(dead_letter_uri)
-    return BisectResult(dead_letter=result, jobs=jobs, dead_subsets=len(dead))
+            error = str(exc) or repr(exc)
+    return error, tries
+
+
+def _bisect(batch: pd.DataFrame, handle: Callable, tries: int, before: int) -> Iterator[pd.DataFrame]:
+    error, calls = _tried(batch, handle, tries)
+    if error is None:
+        return
+    if len(batch) == 1:
+        yield batch.assign(error_message=error, attempts=before + calls)
+        return
+    half = len(batch) // 2
+    for part in (batch.iloc[:half], batch.iloc[half:]):
+        yield from _bisect(part, handle, tries, before + calls)
+
+
+def process_with_bisect(df: DataFrame, handle: Callable[[pd.DataFrame], object], *,
+                        dead_letter_uri: str, max_retries: int = 3,
+                        batch_size: int = BATCH_SIZE) -> DataFrame:
+    """Run ``handle`` over ``df``; the rows that keep failing, with
+    ``error_message`` and ``attempts``, from the dead-letter table."""
+    if batch_size < 1:
+        raise ValueError(f"batch_size must be >= 1, got {batch_size}")
+    tries = 1 + max_retries
+    schema = T.StructType([*df.schema.fields, T.StructField("error_message", T.StringType()),
+                           T.StructField("attempts", T.IntegerType())])
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for at in range(0, len(frame), batch_size):
+                yield from _bisect(frame.iloc[at:at + batch_size], handle, tries, 0)
+
+    df.mapInPandas(run, schema).write.mode("append").parquet(dead_letter_uri)
+    return df.sparkSession.read.schema(schema).parquet(dead_letter_uri)

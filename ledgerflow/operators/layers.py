@@ -3,13 +3,16 @@
 The survey gives these only a sentence each; the choices here are ours:
 
 * Silver (D1): Bronze deduplicated on ``transaction_id``, keeping the
-  version from the earliest run (retries repeat records).  A hash
-  aggregate with ``min_by``: partial aggregation per task, so one id
-  repeated millions of times still ships one row per task.  For a
-  stream, ``dedup_stream`` keeps the first copy within a watermark.
-* Gold (D3): daily totals by currency, channel and status; amounts are
-  summed as DECIMAL(18,2) so totals are exact.
-* Card rollup (D4): per-card totals and time span, also a hash aggregate.
+  version from the earliest run (retries repeat records); copies within
+  that run are told apart by their other values, smallest first.  A
+  sort-based aggregate with a partial step per task, so one id repeated
+  millions of times still ships one row per task.  For a stream,
+  ``dedup_stream`` keeps the first copy within a watermark.
+* Gold (D3): daily totals by currency, channel and status.  An amount is
+  money here: it is rounded half up to cents, DECIMAL(18,2), once, and the
+  rounded amounts are summed without further error.  Bronze and the
+  deduplicated rows keep the amount as it came.
+* Card rollup (D4): per-card totals and time span, with a partial step too.
 * Warnings (D7): a registry where freshness is a WARNING lets the record
   through with ``_quality_warnings``.
 * Pruned reads (D10): day filters on the text partition columns.
@@ -30,13 +33,14 @@ MONEY_TOTAL = "decimal(38,2)"
 
 def silver_dedup(bronze: DataFrame, key: str = "transaction_id",
                  order: str = "run_id") -> DataFrame:
-    """One row per ``key``: the copy with the smallest ``order`` value."""
-    others = [c for c in bronze.columns if c != key]
+    """One row per ``key``: the copy with the smallest ``order`` value, then
+    the smallest other values, so the choice never depends on row order."""
+    others = [order, *[c for c in bronze.columns if c not in (key, order)]]
     kept = bronze.groupBy(key).agg(
-        F.min_by(F.struct(*others), F.col(order)).alias("_row"),
+        F.min(F.struct(*others)).alias("_row"),
         F.count(F.lit(1)).alias("copies"),
     )
-    return kept.select(key, *[F.col("_row")[c].alias(c) for c in others], "copies")
+    return kept.select(key, *[F.col("_row")[c].alias(c) for c in bronze.columns if c != key], "copies")
 
 
 def dedup_stream(bronze_stream: DataFrame, event_time: str = "event_ts",
@@ -74,8 +78,8 @@ def card_rollup(silver: DataFrame) -> DataFrame:
     return typed.groupBy("card_id").agg(
         F.count(F.lit(1)).alias("transactions"),
         F.sum("amount").cast(MONEY_TOTAL).alias("total_amount"),
-        F.date_format(F.min("transaction_ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("first_ts"),
-        F.date_format(F.max("transaction_ts"), "yyyy-MM-dd'T'HH:mm:ss").alias("last_ts"),
+        FM.iso_z(F.min("transaction_ts")).alias("first_ts"),
+        FM.iso_z(F.max("transaction_ts")).alias("last_ts"),
         F.countDistinct("merchant_id").alias("merchants"),
     )
 
@@ -88,8 +92,8 @@ def warning_rules() -> list[R.Rule]:
 def day_range(zone: DataFrame, first_day: str, last_day: str) -> DataFrame:
     """Rows whose day partition lies in ``[first_day, last_day]`` (yyyy-MM-dd).
 
-    The filter is on the partition columns, so only matching folders are
-    listed and read.
+    The filter is on the partition columns: Spark lists the folders, drops
+    those outside the range and reads the rest.
     """
     day = F.concat_ws("-", "year", "month", "day")
     return zone.filter((day >= first_day) & (day <= last_day))

@@ -27,9 +27,12 @@ def with_day_partition(df: DataFrame, now: str = "_now") -> DataFrame:
 
 
 def write_ndjson(df: DataFrame, uri: str, partition_by: Sequence[str] = DAY_COLUMNS,
-                 mode: str = "append") -> None:
+                 mode: str = "append", rows_per_file: int = 0) -> None:
     """NDJSON with nulls kept, one object per line.
 
+    ``rows_per_file`` starts a new file within a task once one is that
+    long (0: never); the write keeps the width of its input.
+
     Callers skip the call when their count is zero: an empty write would
     still leave a marker file behind.  ``overwrite`` replaces only the
     partitions present in ``df`` (dynamic partition overwrite).
@@ -38,30 +41,11 @@ def write_ndjson(df: DataFrame, uri: str, partition_by: Sequence[str] = DAY_COLU
        .option("partitionOverwriteMode", "dynamic")
        .option("ignoreNullFields", "false")
        .option("compression", "none")
+       .option("maxRecordsPerFile", rows_per_file)
        .partitionBy(*partition_by)
        .json(uri))
 
 
-def zone_path(base: str, partition: str, run_id: str | None = None) -> str:
-    """URI of one run's output folder (metadata stores it)."""
-    path = f"{base.rstrip('/')}/{partition}"
-    if run_id is not None:
-        path += f"/run_id={escape_partition_value(run_id)}"
-    return path
-
-
-def escape_partition_value(value: str) -> str:
-    """Partition folder text as the file writer escapes it (':' and the like)."""
-    unsafe = set('"#%\'*/:=?\\\x7f{[]^')
-    out = []
-    for ch in value:
-        if ch in unsafe or ord(ch) < 0x20:
-            out.append(f"%{ord(ch):02X}")
-        else:
-            out.append(ch)
-    return "".join(out)
-
-
 def read_bronze(spark: SparkSession, uri: str) -> DataFrame:
     """Bronze read-back with a fixed schema; day columns stay text."""
     schema = T.StructType(list(S.BRONZE_SCHEMA.fields) + [

@@ -74,9 +74,8 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
            exact_decode_messages: bool = False) -> DataFrame:
     """Process raw records; return the saved metadata rows (one per run).
 
-    Output files are sized from the known counts: the persisted rows are
-    coalesced (no shuffle) to about ``rows_per_file`` rows per task, so a
-    small micro-batch writes one file and a bulk load keeps its width.
+    The writes keep the width of the input and start a new file every
+    ``rows_per_file`` rows.
     ``exact_decode_messages`` puts the parser's own message in decode
     reasons (a Python step over the quarantined rows only).
     """
@@ -114,20 +113,16 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
         # a run's own folder is replaced on replay; shared day folders append
         mode = "overwrite" if run_partition else "append"
         keep = ("run_id", *sinks.DAY_COLUMNS)
-        def sized(df: DataFrame, rows: int) -> DataFrame:
-            # coalesce never widens: a large load keeps its partitions
-            return df.coalesce(max(1, -(-rows // rows_per_file)))
-
         if n_valid > 0:
             bronze = classified.filter(F.col("is_valid")).select(*keep, "_bronze.*")
-            sinks.write_ndjson(sized(bronze, n_valid),
-                               settings.bronze, partition_by=layout, mode=mode)
+            sinks.write_ndjson(bronze, settings.bronze, partition_by=layout, mode=mode,
+                               rows_per_file=rows_per_file)
         if n_quarantined > 0:
             quarantine = classified.filter(~F.col("is_valid")).select(*keep, "_quarantine.*")
             if exact_decode_messages:
                 quarantine = D.with_exact_decode_messages(quarantine)
-            sinks.write_ndjson(sized(quarantine, n_quarantined),
-                               settings.quarantine, partition_by=layout, mode=mode)
+            sinks.write_ndjson(quarantine, settings.quarantine, partition_by=layout, mode=mode,
+                               rows_per_file=rows_per_file)
 
         def run_path(base: str) -> Column:
             path = F.concat(F.lit(base.rstrip("/") + "/"), F.col("partition_path"))
@@ -152,7 +147,7 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                 table.save(metadata_rows(runs, pipeline_name=pipeline_name,
                                          status=F.lit(S.STATUS_FAILED),
                                          end_ts=F.lit(_iso_now()),
-                                         error_message=F.lit(str(exc)[:2000])))
+                                         error_message=F.lit(str(exc))))
             except Exception:  # the original error is the one to surface
                 pass
         raise

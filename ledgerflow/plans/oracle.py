@@ -377,7 +377,7 @@ FROM named GROUP BY currency, auth_status, channel"""
 _SILVER = """,
 silver AS (
   SELECT txn_id AS transaction_id, run_id, s_card_id AS card_id, s_merchant_id AS merchant_id,
-    n_amount AS amount, s_currency AS currency, ts_text AS transaction_ts, s_mcc_code AS mcc_code,
+    n_amount AS amount, s_currency AS currency, ts_text AS transaction_ts, ts_text, s_mcc_code AS mcc_code,
     s_auth_status AS auth_status, s_channel AS channel, ts_value, CAST(2 AS BIGINT) AS copies
   FROM classified WHERE is_valid
 )"""
@@ -393,8 +393,7 @@ SELECT strftime(ts_value, '%Y-%m-%d') AS event_date, currency, channel, auth_sta
 FROM silver GROUP BY 1, 2, 3, 4"""),
     "card_rollup": with_pipeline(_SILVER + """
 SELECT card_id, count(*) AS transactions, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total_amount,
-  strftime(min(ts_value), '%Y-%m-%dT%H:%M:%S') AS first_ts,
-  strftime(max(ts_value), '%Y-%m-%dT%H:%M:%S') AS last_ts,
+  arg_min(ts_text, ts_value) AS first_ts, arg_max(ts_text, ts_value) AS last_ts,
   count(DISTINCT merchant_id) AS merchants
 FROM silver GROUP BY card_id"""),
     "warnings_tagged": with_pipeline("""
@@ -408,7 +407,8 @@ GROUP BY 1, 2, 3"""),
 })
 
 ORACLE_SQL["dead_letter"] = with_pipeline("""
-SELECT event_id, txn_id AS transaction_id FROM classified WHERE is_valid AND txn_id LIKE '00%'""")
+SELECT event_id, txn_id AS transaction_id, 'downstream rejected record' AS error_message
+FROM classified WHERE is_valid AND txn_id LIKE '00%'""")
 
 ORACLE_SQL.update({
     "landing_decode_counts": ORACLE_SQL["decode_outcome_counts"],
@@ -435,3 +435,45 @@ SELECT card_id, transaction_id, transaction_ts, seq_no,
   epoch_us(ts_value) - epoch_us(prev_value) AS gap_us,
   CAST(running AS DECIMAL(38,2)) AS running_amount
 FROM seq""")
+
+# Expected outcome of every template of `sources.faults`, in its order; an
+# empty text is a valid record.
+_EXPECTED = (
+    "", "INVALID_FIELD:transaction_id:uuid_parsing", "INVALID_FIELD:transaction_id:uuid_parsing",
+    "INVALID_FIELD:transaction_id:uuid_type", "MISSING_FIELD:transaction_id", "", "",
+    "INVALID_FIELD:card_id:string_too_short", "INVALID_FIELD:card_id:string_type",
+    "INVALID_FIELD:card_id:string_unicode", "", "INVALID_FIELD:merchant_id:string_type",
+    "INVALID_FIELD:merchant_id:string_unicode", "INVALID_FIELD:amount:float_parsing",
+    "INVALID_FIELD:amount:float_type", "INVALID_FIELD:amount:less_than_equal",
+    "INVALID_FIELD:amount:greater_than_equal", "INVALID_FIELD:amount:less_than_equal", "", "", "",
+    "INVALID_FIELD:amount:greater_than_equal", "INVALID_FIELD:currency:enum",
+    "INVALID_FIELD:transaction_ts:datetime_from_date_parsing",
+    "INVALID_FIELD:transaction_ts:datetime_from_date_parsing", "", "", "",
+    "INVALID_FIELD:transaction_ts:datetime_parsing", "INVALID_FIELD:transaction_ts:timezone_missing",
+    "TIMESTAMP_DRIFT", "INVALID_FIELD:transaction_ts:datetime_type", "INVALID_FIELD:transaction_ts:datetime_parsing",
+    "INVALID_FIELD:mcc_code:string_too_short", "INVALID_FIELD:mcc_code:string_too_long",
+    "INVALID_FIELD:mcc_code:string_type", "INVALID_FIELD:auth_status:enum", "INVALID_FIELD:channel:enum", "", "",
+    "MISSING_FIELD:transaction_id|INVALID_FIELD:currency:enum|MISSING_FIELD:channel",
+    "DECODE_ERROR:not_dict:int", "DECODE_ERROR:not_dict:float", "DECODE_ERROR:not_dict:str",
+    "DECODE_ERROR:not_dict:bool", "DECODE_ERROR:not_dict:NoneType", "DECODE_ERROR:not_dict:list",
+    "DECODE_ERROR:json:invalid json", "DECODE_ERROR:not_dict:float", "", "MISSING_FIELD:channel",
+    "MISSING_FIELD:auth_status", "", "", "", "DECODE_ERROR:json:invalid json",
+)
+
+ORACLE_SQL["reject_matrix"] = f"""
+SELECT event_id, CAST(event_id % {len(_EXPECTED)} AS INTEGER) AS variant,
+  [{", ".join(_sql_str(x) for x in _EXPECTED)}][event_id % {len(_EXPECTED)} + 1] = '' AS is_valid,
+  [{", ".join(_sql_str(x) for x in _EXPECTED)}][event_id % {len(_EXPECTED)} + 1] AS reasons
+FROM events"""
+
+ORACLE_SQL["drift_override"] = with_pipeline("""
+SELECT event_id, batch_id FROM classified
+WHERE decode_kind = 'ok' AND len(schema_reasons) = 0 AND NOT ts_naive
+  AND abs(epoch_us(batch_now) - epoch_us(ts_value)) > 600000000""")
+
+ORACLE_SQL["shard_resume"] = with_pipeline(""",
+m AS (
+  SELECT shard_id, CAST(floor((min(event_id) + max(event_id)) / 2.0) AS BIGINT) AS middle FROM raw GROUP BY shard_id
+)
+SELECT shard_id, event_id AS sequence_number FROM raw JOIN m USING (shard_id) WHERE event_id > middle
+QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id) <= 25""")

@@ -10,6 +10,8 @@ QUERIES = {
     "decode_outcome_counts": Q.decode_outcome_counts,
     "decode_errors_b64": Q.decode_errors_b64,
     "field_reasons": Q.field_reasons,
+    "reject_matrix": Q.reject_matrix,
+    "drift_override": Q.drift_override,
     "drift_flagged": Q.drift_flagged,
     "bronze_rows": Q.bronze_rows,
     "quarantine_rows": Q.quarantine_rows,
@@ -21,6 +23,7 @@ QUERIES = {
     "metadata_last_n": Q.metadata_last_n,
     "metadata_by_status": Q.metadata_by_status,
     "shard_audit": Q.shard_audit,
+    "shard_resume": Q.shard_resume,
     "stream_ingest": Q.stream_ingest,
     "producer_records": Q.producer_records,
     "producer_batches": Q.producer_batches,

@@ -7,7 +7,6 @@ plus adaptive execution; it never overrides cluster sizing.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -72,7 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):
             raise RuntimeError(
                 "spark.checkpoint.dir is not set; name a shared folder for this cluster"
             )
@@ -87,15 +86,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_root(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
-
-def local_path(uri: str) -> str:
-    """Strip a ``file:`` scheme so Python can open a local-mode path."""
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
-
-
-def is_local_path(uri: str) -> bool:
-    return uri.startswith("file:") or uri.startswith("/") or os.sep in uri[:1]

@@ -106,11 +106,6 @@ def positions(log: DataFrame) -> DataFrame:
     return log.groupBy("shard_id").agg(F.max("sequence_number").alias("sequence_number"))
 
 
-def micro_batches(log: DataFrame, batch_size: int = 100) -> DataFrame:
-    """Batch form of the 100-record micro-batch (R7): ``batch_id`` per shard."""
-    return log.withColumn("batch_id", F.floor(F.col("sequence_number") / batch_size).cast("long"))
-
-
 def audit(log: DataFrame) -> DataFrame:
     """Records per shard and in total (R10); ``shard_id`` NULL is the total."""
     return log.rollup("shard_id").agg(

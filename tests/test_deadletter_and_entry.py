@@ -1,32 +1,55 @@
 """Dead-letter bisection; driver contract of the entry module."""
-import uuid
-
-from pyspark.sql import functions as F
+import pandas as pd
+import pytest
 
+from ledgerflow.operators import deadletter
 from ledgerflow.operators.deadletter import process_with_bisect
 
 
 def test_bisect_isolates_failing_rows(spark, tmp_root):
-    df = spark.range(200).select(F.col("id"), (F.col("id") * 2).alias("v")).cache()
-    written = []
+    df = spark.range(1000).repartition(4)
+    sink = tmp_root + "/ok"
+    import os
+    os.makedirs(sink)
+
+    def load(batch):
+        if batch["id"].isin([17, 150, 151]).any():
+            raise ValueError("poison\nsecond line " + "x" * 3000)
+        assert len(batch) <= 100
+        batch.to_csv(f"{sink}/{os.getpid()}-{batch['id'].iloc[0]}.csv", index=False)
+
+    dead = process_with_bisect(df, load, max_retries=1, dead_letter_uri=tmp_root + "/dlq").collect()
+    assert sorted(r["id"] for r in dead) == [17, 150, 151]
+    assert all(r["error_message"].endswith("x" * 3000) for r in dead)       # whole text
+    loaded = pd.concat(pd.read_csv(f"{sink}/{f}") for f in os.listdir(sink))
+    assert sorted(loaded["id"]) == sorted(set(range(1000)) - {17, 150, 151})
+
+
+def test_attempts_count_the_calls(monkeypatch):
+    calls = []
 
-    def load(part):
-        bad = F.col("id").isin(17, 150)
-        part.select("id", F.when(bad, F.raise_error(F.lit("poison"))).otherwise(F.col("v"))
-                    .alias("v")).write.parquet(f"{tmp_root}/ok/{uuid.uuid4().hex}")
-        written.append(1)
+    def handle(batch):
+        calls.append(list(batch["id"]))
+        if 2 in list(batch["id"]):
+            raise ValueError("no")
 
-    res = process_with_bisect(df, load, key="id", max_retries=1, dead_letter_uri=tmp_root + "/dlq")
-    dead = sorted(r["id"] for r in res.dead_letter.collect())
-    assert dead == [17, 150]
-    assert all("poison" in r["error_message"] for r in res.dead_letter.collect())
-    loaded = spark.read.parquet(f"{tmp_root}/ok/*").count()
-    assert loaded == 198
+    dead = list(deadletter._bisect(pd.DataFrame({"id": [0, 1, 2, 3]}), handle, 2, 0))
+    assert len(dead) == 1 and dead[0]["id"].tolist() == [2]
+    assert dead[0]["attempts"].iloc[0] == sum(2 in c for c in calls) == 6
 
 
-def test_bisect_no_failure(spark, tmp_root):
-    res = process_with_bisect(spark.range(10), lambda p: p.count(), key="id")
-    assert res.dead_letter.count() == 0 and res.jobs == 1
+def test_retry_succeeds_and_empty_input(spark, tmp_root):
+    tried = []
+
+    def flaky(batch):
+        tried.append(1)
+        if len(tried) == 1:
+            raise ValueError("first call fails")
+
+    assert deadletter._tried(pd.DataFrame({"id": [1]}), flaky, 2) == (None, 2)
+    assert process_with_bisect(spark.range(0), flaky, dead_letter_uri=tmp_root + "/none").count() == 0
+    with pytest.raises(ValueError):
+        process_with_bisect(spark.range(1), flaky, dead_letter_uri=tmp_root + "/x", batch_size=0)
 
 
 def test_entry_contract(spark):
@@ -38,17 +61,3 @@ def test_entry_contract(spark):
     assert sum(r["valid"] for r in rows) == 661 and sum(r["quarantined"] for r in rows) == 339
     assert set(E.oracle_sql()) <= set(E.queries())
 
-
-def test_bisect_budget_dead_letters_whole_subsets(spark, tmp_root):
-    df = spark.range(64).cache()
-
-    def load(part):
-        part.select(F.when(F.col("id") == 5, F.raise_error(F.lit("poison")))
-                    .otherwise(F.col("id")).alias("id")).write.parquet(
-                        f"{tmp_root}/ok/{uuid.uuid4().hex}")
-
-    res = process_with_bisect(df, load, key="id", max_retries=0, max_jobs=4)
-    dead = sorted(r["id"] for r in res.dead_letter.collect())
-    assert 5 in dead and len(dead) > 1          # a whole subset, nothing dropped
-    loaded = spark.read.parquet(f"{tmp_root}/ok/*").count()
-    assert loaded + len(dead) == 64            # every row loaded or dead-lettered

@@ -1,4 +1,4 @@
-"""Shard log reads, audit, streaming ingest with restart, paced producer."""
+"""Shard log reads, audit, streaming ingest with restart."""
 from datetime import datetime, timedelta, timezone
 
 from conftest import as_bytes, txn
@@ -7,7 +7,6 @@ from ledgerflow.operators import sinks
 from ledgerflow.operators.metadata import MetadataTable
 from ledgerflow.sources import shard_log
 from ledgerflow.streaming import ingest as SI
-from ledgerflow.streaming.paced import produce
 
 T0 = datetime(2026, 4, 28, 14, 0, tzinfo=timezone.utc)
 
@@ -75,17 +74,6 @@ def test_stream_latest_skips_old_records(spark, tmp_root):
     assert not os.path.exists(lake.bronze)
 
 
-def test_paced_producer_bursts(spark, tmp_root):
-    uri = tmp_root + "/log"
-    done = produce(spark, uri, tmp_root + "/ckpt", total_bursts=2, burst_size=5,
-                   interval_seconds=0.5, timeout_seconds=60)
-    assert done >= 2
-    log = shard_log.read(spark, uri)
-    n = log.count()
-    assert n >= 10 and n % 5 == 0
-    assert log.select("data").distinct().count() == n
-
-
 def test_silver_stream_drops_copies(spark, tmp_root):
     from ledgerflow.plans.batch import process_batch, raw_from_payloads
     from ledgerflow.streaming.silver import start_silver
