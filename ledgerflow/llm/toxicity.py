@@ -112,21 +112,31 @@ def log_ratios(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return np.where(telling, ratio, 0.0)
 
 
-def _fit_sample(training: DataFrame, ratios: np.ndarray) -> pd.DataFrame:
-    """Informative slots of at most FIT_ROWS rows of each class."""
+def _fit_sample(training: DataFrame, ratios: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
+    """Informative slots of at most FIT_ROWS rows of each class.
+
+    A share of the ids' hashes a little over the bound is turned into slots
+    where the rows are; only those compact rows meet the exact bound.
+    """
     useful = training.sparkSession.sparkContext.broadcast(ratios != 0)
 
     def run(batches):
         for batch in batches:
             found = [slots(t.as_py()) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1), pa.array([s[useful.value[s]].astype(np.int32) for s in found],
-                                           pa.list_(pa.int32()))], names=["toxic", "slots"])
+                [batch.column(1), batch.column(2),
+                 pa.array([s[useful.value[s]].astype(np.int32) for s in found], pa.list_(pa.int32()))],
+                names=["toxic", "h", "slots"])
 
-    parts = [training.filter(F.col("toxic") > 0 if c else F.col("toxic") <= 0)
-             .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS) for c in (0, 1)]
-    return (parts[0].unionByName(parts[1]).select("text", "toxic")
-            .mapInArrow(run, "toxic int, slots array<int>").toPandas())
+    toxic = F.col("toxic") > 0
+    near = [int(min(1.0, 1.2 * FIT_ROWS / n) * (1 << 32)) for n in rows]
+    chosen = (training.select("text", "toxic", F.xxhash64("doc_id").alias("h"))
+              .filter(F.pmod("h", F.lit(1 << 32)) < F.when(toxic, near[1]).otherwise(near[0]))
+              .mapInArrow(run, "toxic int, h bigint, slots array<int>"))
+    chosen = stage(chosen, "toxic-sample")
+    order = [F.pmod("h", F.lit(1 << 32)), F.col("h")]
+    parts = [chosen.filter(c).orderBy(*order).limit(FIT_ROWS) for c in (~toxic, toxic)]
+    return parts[0].unionByName(parts[1]).toPandas()
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
@@ -138,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not rows.all():
         return np.zeros(FEATURES), prior
     ratios = log_ratios(counts, rows)
-    sample = _fit_sample(training, ratios)
+    sample = _fit_sample(training, ratios, rows)
     y = (sample["toxic"].to_numpy() > 0).astype(float)
     sizes = np.array([len(s) for s in sample["slots"]])
     owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
