@@ -4,11 +4,14 @@
   the card id as partition key.
 * ``route_by_key`` (S7): shard id from a hash of the key; every record of
   a card goes to the same shard, ordered by time within each task.
-* ``send_records`` (S8-S10): records are numbered in a stable order,
-  cut into batches of at most 500, and each batch is handed to an
-  injected ``put_batch`` function on an executor (``applyInPandas`` over
-  groups that are bounded to 500 rows by construction).  Outcomes come
-  back as rows; nothing is retried (as in the surveyed producer).
+* ``send_records`` (S8-S10): records are range-partitioned on (key, order)
+  and each task hands its records, in that order, in batches of at most
+  500 to an injected ``put_batch`` function.  The outcomes are written once
+  to a table and read from there, so totals and failures come from one
+  send.  Nothing is retried (as in the surveyed producer).  Delivery is at
+  least once: a task that Spark runs again sends its records again.  A
+  card's records go out in order within a task; a card with more records
+  than a task takes spans tasks, which send concurrently.
 * ``send_result`` (S9): totals and failed entries from the outcome rows.
 * ``preview`` (S14): numbered one-line rendering of each record.
 
@@ -29,8 +32,8 @@ from .. import schema as S
 from ..functions import formats as FM
 from ..functions.indexing import with_dense_index
 
-OUTCOME_SCHEMA = (
-    "row_index long, batch_no long, partition_key string, record string, "
+OUTCOME_COLUMNS = (
+    "task int, batch_no long, position int, partition_key string, record string, "
     "error_code string, error_message string"
 )
 
@@ -72,30 +75,50 @@ def number_batches(records: DataFrame, order: Sequence[str],
 
 
 def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
-                 order: Sequence[str], batch_size: int = S.PUT_BATCH_LIMIT) -> DataFrame:
-    """One outcome row per record (S8).  ``records`` holds ``data`` and
-    ``partition_key``; an empty input calls nothing."""
-    numbered = number_batches(records.select("data", "partition_key", *order), order, batch_size)
-
-    def send(batch: pd.DataFrame) -> pd.DataFrame:
-        batch = batch.sort_values("row_index").reset_index(drop=True)
-        results = list(put_batch(batch[["data", "partition_key"]]))
-        if len(results) != len(batch):
-            raise ValueError("put_batch must return one result per record")
-        codes = [r[0] if r else None for r in results]
-        messages = [(r[1] or "") if r else None for r in results]
-        records_text = [bytes(d).decode("utf-8", errors="replace") for d in batch["data"]]
-        return pd.DataFrame({
-            "row_index": batch["row_index"].astype("int64"),
-            "batch_no": batch["batch_no"].astype("int64"),
-            "partition_key": batch["partition_key"],
-            "record": records_text,
-            "error_code": codes,
-            "error_message": messages,
-        })
-
-    return (numbered.select("row_index", "batch_no", "data", "partition_key")
-            .groupBy("batch_no").applyInPandas(send, OUTCOME_SCHEMA))
+                 order: Sequence[str], outcomes_uri: str,
+                 batch_size: int = S.PUT_BATCH_LIMIT) -> DataFrame:
+    """Send now, write one outcome row per record to ``outcomes_uri``
+    and return that table.  ``records`` holds ``data``, ``partition_key`` and
+    the ``order`` columns, which the outcomes repeat; an empty input calls
+    nothing."""
+    if batch_size < 1:
+        raise ValueError(f"batch_size must be >= 1, got {batch_size}")
+    ranged = (records.select("data", "partition_key", *order)
+              .repartitionByRange("partition_key", *order)
+              .sortWithinPartitions("partition_key", *order))
+    order_fields = ", ".join(f"{f.name} {f.dataType.simpleString()}"
+                             for f in records.select(*order).schema.fields)
+    schema = f"{OUTCOME_COLUMNS}, {order_fields}"
+
+    def send(frames):
+        from pyspark import TaskContext
+
+        task, batch_no, held = TaskContext.get().partitionId(), 0, None
+
+        def put(batch: pd.DataFrame) -> pd.DataFrame:
+            batch = batch.reset_index(drop=True)
+            results = list(put_batch(batch[["data", "partition_key"]]))
+            if len(results) != len(batch):
+                raise ValueError("put_batch must return one result per record")
+            return pd.DataFrame({
+                "task": task, "batch_no": batch_no, "position": range(len(batch)),
+                "partition_key": batch["partition_key"],
+                "record": [bytes(d).decode("utf-8", errors="replace") for d in batch["data"]],
+                "error_code": [r[0] if r else None for r in results],
+                "error_message": [(r[1] or "") if r else None for r in results],
+                **{c: batch[c] for c in order},
+            })
+
+        for frame in frames:
+            held = frame if held is None else pd.concat((held, frame))
+            while len(held) >= batch_size:
+                yield put(held.iloc[:batch_size])
+                held, batch_no = held.iloc[batch_size:], batch_no + 1
+        if held is not None and len(held):
+            yield put(held)
+
+    ranged.mapInPandas(send, schema).write.mode("append").parquet(outcomes_uri)
+    return records.sparkSession.read.schema(schema).parquet(outcomes_uri)
 
 
 def send_result(outcomes: DataFrame) -> DataFrame:
@@ -114,11 +137,22 @@ def failed_entries(outcomes: DataFrame) -> DataFrame:
     return outcomes.filter(F.col("error_code").isNotNull()).select(
         F.col("error_code").alias("ErrorCode"),
         F.col("error_message").alias("ErrorMessage"),
-        F.col("record"),
-        "row_index",
+        "record", "task", "batch_no", "position",
     )
 
 
+def sent_out_of_order(outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
+    """Records and those sent after a later record of the same card by the
+    same task; one row.  Window partitions are tasks of the send."""
+    from pyspark.sql import Window
+
+    sent = Window.partitionBy("task").orderBy("batch_no", "position")
+    before = F.lag(F.struct("partition_key", *order)).over(sent)
+    late = before > F.struct("partition_key", *order)
+    return outcomes.select(F.coalesce(late, F.lit(False)).alias("late")).agg(
+        F.count(F.lit(1)).alias("total"), F.count_if("late").alias("out_of_order"))
+
+
 def batch_sizes(numbered: DataFrame) -> DataFrame:
     """Records per put batch."""
     return numbered.groupBy("batch_no").agg(F.count(F.lit(1)).alias("records"))

@@ -167,8 +167,18 @@ def process_batch(spark: SparkSession, raw: DataFrame, request_id: str,
     """
     moment = (now or datetime.now(timezone.utc)).astimezone(timezone.utc).replace(microsecond=0)
     when = F.lit(moment).cast("timestamp")
-    rows = ingest(raw, settings, now=when, request_id=F.lit(request_id), **kwargs)
     run_id = f"{moment.isoformat()}___{request_id}"
+    known = {"pipeline_name": kwargs.get("pipeline_name", S.PIPELINE_NAME), "run_id": run_id,
+             "start_ts": moment.isoformat(), "lambda_request_id": request_id}
+    table = MetadataTable(spark, settings.metadata)
+    if kwargs.pop("record_running", False):
+        table.save_one(run_status=S.STATUS_RUNNING, **known)
+    try:
+        rows = ingest(raw, settings, now=when, request_id=F.lit(request_id), **kwargs)
+    except Exception as exc:
+        # from what the driver knows, whatever part of the run failed
+        table.save_one(run_status=S.STATUS_FAILED, end_ts=_iso_now(), error_message=str(exc), **known)
+        raise
     found = rows.filter(F.col("run_id") == run_id).collect()
     if found:
         r = found[0]
@@ -178,11 +188,8 @@ def process_batch(spark: SparkSession, raw: DataFrame, request_id: str,
                           quarantine_s3_uri=r["s3_quarantine_path"],
                           run_status=r["run_status"])
     # an empty batch has no rows to count: SUCCESS with zero counts
-    table = MetadataTable(spark, settings.metadata)
-    table.save_one(pipeline_name=kwargs.get("pipeline_name", S.PIPELINE_NAME), run_id=run_id,
-                   run_status=S.STATUS_SUCCESS, start_ts=moment.isoformat(),
-                   end_ts=_iso_now(), total_records=0, valid_records=0,
-                   quarantine_records=0, request_id=request_id)
+    table.save_one(run_status=S.STATUS_SUCCESS, end_ts=_iso_now(), total_records=0,
+                   valid_records=0, quarantine_records=0, **known)
     return RunSummary(run_id=run_id, total=0, valid=0, quarantined=0,
                       bronze_s3_uri=None, quarantine_s3_uri=None,
                       run_status=S.STATUS_SUCCESS)

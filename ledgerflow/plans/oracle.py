@@ -327,7 +327,9 @@ SELECT count(*) AS total, count(*) FILTER (WHERE NOT s_card_id LIKE '%7') AS suc
   count(*) FILTER (WHERE s_card_id LIKE '%7') AS failed_count FROM classified WHERE is_valid"""),
     "send_failures": with_pipeline("," + _VALID_ORDERED.lstrip(",") + f"""
 SELECT 'ProvisionedThroughputExceededException' AS ErrorCode, 'Rate exceeded for shard' AS ErrorMessage,
-  {_RECORD_JSON} AS record, row_index FROM valid WHERE s_card_id LIKE '%7'"""),
+  {_RECORD_JSON} AS record FROM valid WHERE s_card_id LIKE '%7'"""),
+    "send_order": with_pipeline("""
+SELECT count(*) AS total, CAST(0 AS BIGINT) AS out_of_order FROM classified WHERE is_valid"""),
     "record_preview": with_pipeline("," + _VALID_ORDERED.lstrip(",") + """
 SELECT row_index + 1 AS line_no,
   printf('[%04d] %s $%9.2f %s %-9s %-10s card=%s… mcc=%s', row_index + 1, txn_id, n_amount,

@@ -330,18 +330,33 @@ def producer_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       ["event_id"]))
 
 
+def fixture_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of one send of the valid transactions, made once per state of the table."""
+    from ..operators import producer as P
+    from ..session import scratch_path
+
+    def build() -> DataFrame:
+        recs = P.to_stream_records(fixture_transactions(spark, sf_dir))
+        return P.send_records(recs, reject_cards_ending_in_7, order=["event_id"],
+                              outcomes_uri=scratch_path(spark, "send-outcomes"))
+
+    return _frame(spark, sf_dir, "outcomes", build)
+
+
 def send_result(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import producer as P
-    recs = P.to_stream_records(fixture_transactions(spark, sf_dir))
-    outcomes = P.send_records(recs, reject_cards_ending_in_7, order=["event_id"])
-    return P.send_result(outcomes)
+    return P.send_result(fixture_outcomes(spark, sf_dir))
 
 
 def send_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators import producer as P
-    recs = P.to_stream_records(fixture_transactions(spark, sf_dir))
-    outcomes = P.send_records(recs, reject_cards_ending_in_7, order=["event_id"])
-    return P.failed_entries(outcomes)
+    outcomes = fixture_outcomes(spark, sf_dir)
+    return P.failed_entries(outcomes).select("ErrorCode", "ErrorMessage", "record")
+
+
+def send_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators import producer as P
+    return P.sent_out_of_order(fixture_outcomes(spark, sf_dir), ["event_id"])
 
 
 def record_preview(spark: SparkSession, sf_dir: str) -> DataFrame:

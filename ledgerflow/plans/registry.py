@@ -29,6 +29,7 @@ QUERIES = {
     "producer_batches": Q.producer_batches,
     "send_result": Q.send_result,
     "send_failures": Q.send_failures,
+    "send_order": Q.send_order,
     "record_preview": Q.record_preview,
     "generated_profile": Q.generated_profile,
     "silver_dedup": Q.silver_dedup,

@@ -117,7 +117,7 @@ METADATA_SCHEMA = T.StructType(
         T.StructField("s3_output_path", T.StringType()),
         T.StructField("s3_quarantine_path", T.StringType()),
         T.StructField("error_message", T.StringType()),
-        T.StructField("request_id", T.StringType()),
+        T.StructField("lambda_request_id", T.StringType()),
         T.StructField("saved_at", T.TimestampType()),
     ]
 )

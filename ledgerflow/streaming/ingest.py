@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schema as S
+from ..operators.metadata import MetadataTable
 from ..plans.batch import ingest
 from ..sources import shard_log
 
@@ -79,10 +80,19 @@ def batch_handler(settings: S.LakeSettings, reader_name: str, clock: str = PROCE
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         now = F.col("arrival_ts") if clock == ARRIVAL else F.col("_batch_ts")
-        ingest(batch, settings,
-               now=now, run_ts=F.col("_batch_ts"),
-               request_id=F.lit(f"{reader_name}-{batch_id}"),
-               run_partition=True, **ingest_options)
+        request_id = f"{reader_name}-{batch_id}"
+        runs = ingest(batch, settings,
+                      now=now, run_ts=F.col("_batch_ts"),
+                      request_id=F.lit(request_id),
+                      run_partition=True, **ingest_options)
+        if runs.isEmpty():
+            # a batch without records is a run too: SUCCESS with zero counts
+            moment = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
+            MetadataTable(batch.sparkSession, settings.metadata).save_one(
+                pipeline_name=ingest_options.get("pipeline_name", S.PIPELINE_NAME),
+                run_id=f"{moment}___{request_id}", run_status=S.STATUS_SUCCESS, start_ts=moment,
+                end_ts=moment, total_records=0, valid_records=0, quarantine_records=0,
+                lambda_request_id=request_id)
 
     return handle
 

@@ -1,4 +1,5 @@
 """Batch handler, sinks, partition paths and run metadata."""
+import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -152,3 +153,68 @@ def test_failure_records_failed_run_and_reraises(spark, tmp_root):
     recent = table.recent(hours=1, now=NOW + timedelta(minutes=5)).collect()
     assert [r["run_id"] for r in recent] == [row["run_id"]]
     assert table.recent(hours=1, now=NOW + timedelta(hours=3)).count() == 0
+
+
+def test_landing_keeps_records_that_hold_line_ends(spark, tmp_root):
+    from ledgerflow.sources import landing
+
+    payloads = [as_bytes(txn()), json.dumps(txn(), indent=1).encode(), b"\xff\xfe\n\x00", b"", b"a\r\nb"]
+    raw = raw_from_payloads(spark, payloads).withColumn("shard_id", F.lit("shard-0"))
+    landing.land_records(raw, tmp_root + "/landing")
+    assert sorted(bytes(r["data"]) for r in landing.read_landing(spark, tmp_root + "/landing").collect()) == sorted(payloads)
+
+
+def test_manifest_statuses(spark, tmp_root):
+    from ledgerflow.sources import landing
+
+    uri = tmp_root + "/landing"
+    raw = spark.range(60).select(F.col("id").cast("string").cast("binary").alias("data"),
+                                 F.concat(F.lit("shard-"), F.col("id") % 6).alias("shard_id"))
+    landing.land_records(raw.coalesce(1), uri)
+    shard = F.regexp_extract("source_file", r"shard_id=shard-(\d)", 1)
+    manifest = landing.build_manifest(spark, uri).withColumn("s", shard).filter("s <> '1'")
+    manifest = manifest.withColumns({
+        "expected_rows": F.when(F.col("s") == "2", 99).otherwise(F.col("expected_rows")),
+        "sha256": F.when(F.col("s") == "3", F.lit("0")).otherwise(F.col("sha256")),
+        "schema_version": F.when(F.col("s") == "4", F.lit("txn-v0")).otherwise(F.col("schema_version")),
+        "source_file": F.when(F.col("s") == "5", F.concat("source_file", F.lit(".gone"))).otherwise(F.col("source_file")),
+    }).drop("s")
+    import os
+    with open(f"{uri}/shard_id=shard-0/late.ndjson", "w") as late:     # another name, not in the manifest
+        late.write("YQ==\nYg==\n")
+    got = sorted((r["status"], r["actual_rows"]) for r in landing.check_manifest(spark, uri, manifest).collect())
+    assert got == [("CHECKSUM", 10), ("MISSING", None), ("OK", 10), ("ROW_COUNT", 10), ("SCHEMA_VERSION", 10),
+                   ("UNLISTED", 2), ("UNLISTED", 10), ("UNLISTED", 10)]
+    assert os.path.exists(uri)
+
+
+def test_metadata_days_compaction_and_newest_runs(spark, tmp_root):
+    table = MetadataTable(spark, tmp_root + "/meta")
+    for day in range(1, 6):
+        for hour in (1, 2):
+            start = f"2026-04-0{day}T0{hour}:00:00+00:00"
+            for status in ("RUNNING", "SUCCESS"):
+                table.save_one(pipeline_name="p", run_id=f"{start}___r", run_status=status, start_ts=start)
+    newest = [r["run_id"][:13] for r in table.last_n("p", 3).collect()]
+    assert newest == ["2026-04-05T02", "2026-04-05T01", "2026-04-04T02"]
+    assert table.last_n("p", 100).count() == 10 and table.last_n("other", 3).count() == 0
+    assert table.versions().count() == 20
+    table.compact("p", before_day="2026-04-05")
+    assert table.versions().count() == 8 + 4
+    assert {r["run_status"] for r in table.latest("p").collect()} == {"SUCCESS"}
+    assert len(table.by_status("SUCCESS", since="2026-04-04T02:00:00+00:00").collect()) == 3
+    plan = table.get("p", "2026-04-03T01:00:00+00:00___r")
+    assert plan.count() == 1
+    assert "start_date" in plan._jdf.queryExecution().executedPlan().toString().split("PartitionFilters:")[1].split("]")[0]
+
+
+def test_failed_run_before_any_count(spark, tmp_root):
+    lake = S.LakeSettings(root=tmp_root)
+    broken = spark.range(3).select(F.raise_error(F.lit("source is gone")).cast("binary").alias("data"))
+    with pytest.raises(Exception):
+        process_batch(spark, broken, "req-9", lake, now=NOW, record_running=True)
+    [row] = MetadataTable(spark, lake.metadata).latest().collect()
+    assert row["run_status"] == "FAILED" and "source is gone" in row["error_message"]
+    assert row["lambda_request_id"] == "req-9"
+    statuses = {r["run_status"] for r in MetadataTable(spark, lake.metadata).versions().collect()}
+    assert statuses == {"RUNNING", "FAILED"}

@@ -33,26 +33,36 @@ def test_batches_of_500(spark):
     assert [r["records"] for r in sizes] == [500, 500, 234]
 
 
-def test_send_outcomes_and_partial_failure(spark):
-    calls = []
+def test_send_once_in_order_with_failures(spark, tmp_root):
+    import glob
+    import uuid
+
+    log = tmp_root + "/calls"
 
     def put(batch):
-        calls.append(len(batch))
+        import os
+        os.makedirs(log, exist_ok=True)
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as out:
+            out.write(str(len(batch)))
         return [("InternalFailure", "boom") if i == 1 else None for i in range(len(batch))]
 
-    recs = P.to_stream_records(txns(spark, 1200))
-    outcomes = P.send_records(recs, put, order=["seq"])
+    recs = P.to_stream_records(txns(spark, 1200)).repartition(5)
+    outcomes = P.send_records(recs, put, ["seq"], tmp_root + "/outcomes")
+    calls = [int(open(f).read()) for f in glob.glob(log + "/*")]
+    assert sum(calls) == 1200 and max(calls) <= 500
     [res] = P.send_result(outcomes).collect()
-    assert (res["total"], res["success_count"], res["failed_count"]) == (1200, 1197, 3)
-    failed = P.failed_entries(outcomes).orderBy("row_index").collect()
-    assert [r["row_index"] for r in failed] == [1, 501, 1001]
-    assert failed[0]["ErrorCode"] == "InternalFailure"
-    assert json.loads(failed[0]["record"])["transaction_id"].endswith("000000000001")
+    failed = P.failed_entries(outcomes).collect()
+    assert (res["total"], res["failed_count"]) == (1200, len(failed)) == (1200, len(calls))
+    assert res["success_count"] == 1200 - len(calls)
+    assert failed[0]["ErrorCode"] == "InternalFailure" and json.loads(failed[0]["record"])["currency"] == "USD"
+    assert len(glob.glob(log + "/*")) == len(calls)            # reading results sends nothing
+    [order] = P.sent_out_of_order(outcomes, ["seq"]).collect()
+    assert (order["total"], order["out_of_order"]) == (1200, 0)
 
 
-def test_empty_send(spark):
+def test_empty_send(spark, tmp_root):
     recs = P.to_stream_records(txns(spark, 0))
-    outcomes = P.send_records(recs, lambda b: [None] * len(b), order=["seq"])
+    outcomes = P.send_records(recs, lambda b: [None] * len(b), ["seq"], tmp_root + "/outcomes")
     [res] = P.send_result(outcomes).collect()
     assert (res["total"], res["success_count"], res["failed_count"]) == (0, 0, 0)
 
