@@ -38,10 +38,10 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
-def alnum_words(text: Column) -> Column:
-    """Words of letters and digits: ASCII lower-cased, every non-ASCII character a letter.
+def alnum_words(text: Column, lower=ascii_lower) -> Column:
+    """Words of letters and digits, lower-cased; every non-ASCII character is a letter.
 
     A null, blank or separator-only text gives an empty array.
     """
     separators = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), separators), "")
+    return F.array_remove(F.split(lower(F.coalesce(text, F.lit(""))), separators), "")

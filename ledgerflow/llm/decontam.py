@@ -14,8 +14,8 @@ Guarantee: an overlap is found when some window of it differs only at
 positions that one of the masks ignores.  Items shorter than the shortest
 mask are seeded whole, with a mask of their own length.
 
-Words are lower-cased (A-Z) runs of ASCII letters, digits and non-ASCII
-characters.
+Words are runs of ASCII letters, digits and non-ASCII characters, all
+lower-cased.
 
 Scale: seeds are made inside the row and only (document, position, seed)
 is exploded.  The benchmark's seeds are broadcast behind a check of their
@@ -43,6 +43,10 @@ BROADCAST_SEEDS = 500_000   # rows of about 40 bytes
 BROADCAST_KEYS = 100_000
 
 
+def _words(text: Column) -> Column:
+    return alnum_words(text, F.lower)
+
+
 def _seed_array(hashes: Column, mask: str) -> Column:
     """Seed of every window under the mask, in order of position."""
     last = F.size(hashes) - len(mask)
@@ -96,7 +100,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     Starts and lengths count words; ``text_key`` is the 64-bit hash of the
     document's text, which tells rows that share an id apart.
     """
-    items = stage(benchmark.select(F.col(item_col).alias("item_id"), alnum_words(
+    items = stage(benchmark.select(F.col(item_col).alias("item_id"), _words(
         F.col(item_text_col)).alias("words")).filter(F.size("words") > 0), "bench-items")
     shortest = min(map(len, MASKS))
     short = sorted(r[0] for r in items.select(F.size("words").alias("n"))
@@ -112,7 +116,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     index = stage(index.withColumnRenamed("at", "item_at"), "bench-seeds")
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("text_key"),
-                       alnum_words(F.col(text_col)).alias("words"))
+                       _words(F.col(text_col)).alias("words"))
     hits = (_exploded_seeds(rows, masks, ["doc_id", "text_key"])
             .join(_bounded(index, BROADCAST_SEEDS), "seed")
             .groupBy("doc_id", "text_key", "item_id").agg(
@@ -125,7 +129,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
                         F.xxhash64(text_or_empty(text_col)).alias("text_key"))
     found = texts.join(keys, F.col("doc_id").eqNullSafe(F.col("k1")) & (F.col("text_key") == F.col("k2")),
                        "left_semi").dropDuplicates(["doc_id", "text_key"])
-    found = stage(found.select("doc_id", "text_key", alnum_words(F.col("text")).alias("doc")), "bench-found")
+    found = stage(found.select("doc_id", "text_key", _words(F.col("text")).alias("doc")), "bench-found")
     pairs = hits.withColumnsRenamed({"doc_id": "d1", "text_key": "d2"}).join(
         found, F.col("d1").eqNullSafe(F.col("doc_id")) & (F.col("d2") == F.col("text_key"))).join(
         items.withColumnsRenamed({"item_id": "i1", "words": "item"}), F.col("item_id").eqNullSafe(F.col("i1")))

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.llm.decontam import MIN_AGREE, benchmark_overlaps, contaminated, drop_contaminated
 
-UPPER = str.maketrans("abcde", "ABCDE")
+UPPER = str.maketrans("abcdeéñ", "ABCDEÉÑ")
 ITEMS = "item_id bigint, text string"
 
 
