@@ -12,28 +12,25 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 
-def with_dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index",
-                     storage: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> DataFrame:
+
+def with_dense_index(df: DataFrame, order: Sequence[str | Column], name: str = "row_index") -> DataFrame:
     """``df`` plus ``name``: 0, 1, 2, ... following ``order`` (a unique key).
 
-    The input is persisted while the range sort samples it and sorts it
-    (otherwise both passes would recompute it), and the sorted rows are
-    persisted so the count pass and the numbering pass see the same task
-    layout.  The sort runs once here; the input copy is then released.
+    The input is staged, as the range sort reads it twice (a sample, then
+    the rows), and so are the sorted rows, so that the count and the
+    numbering see the same task layout.  The sort runs once, here; no
+    copy stays in executor memory.
     """
-    source = df.persist(storage)
-    sorted_rows = source.orderBy(*order).select(
+    sorted_rows = stage(stage(df, "index-input").orderBy(*order).select(
         "*",
         F.spark_partition_id().alias("_task"),
         F.monotonically_increasing_id().alias("_mid"),
-    ).persist(storage)
-    sorted_rows.count()
-    source.unpersist()
+    ), "index-sorted")
     per_task = sorted_rows.groupBy("_task").agg(F.count(F.lit(1)).alias("_n"))
     offsets = per_task.select(
         "_task",

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import formats as FM
 from ..functions import rules as R
+from ..session import stage
 
 MONEY = "decimal(18,2)"
 MONEY_TOTAL = "decimal(38,2)"
@@ -99,8 +100,8 @@ def day_range(zone: DataFrame, first_day: str, last_day: str) -> DataFrame:
     return zone.filter((day >= first_day) & (day <= last_day))
 
 
-def card_sequence(silver: DataFrame, card: str = "card_id", tiebreak: str = "transaction_id",
-                  storage=None) -> DataFrame:
+def card_sequence(silver: DataFrame, card: str = "card_id",
+                  tiebreak: str = "transaction_id") -> DataFrame:
     """Per-card ordered view (D4): sequence number, previous event time,
     gap and running amount of every transaction of a card.
 
@@ -112,15 +113,9 @@ def card_sequence(silver: DataFrame, card: str = "card_id", tiebreak: str = "tra
     summary with one row per (task, card); its window per card is bounded
     by the number of tasks.
     """
-    from pyspark import StorageLevel
-
-    storage = storage or StorageLevel.MEMORY_AND_DISK
-    typed = typed_silver(silver).select(card, tiebreak, "transaction_ts", "amount")
-    source = typed.persist(storage)
-    ordered = source.orderBy(card, "transaction_ts", tiebreak).select(
-        "*", F.spark_partition_id().alias("_task")).persist(storage)
-    ordered.count()
-    source.unpersist()
+    typed = stage(typed_silver(silver).select(card, tiebreak, "transaction_ts", "amount"), "sequence-input")
+    ordered = stage(typed.orderBy(card, "transaction_ts", tiebreak).select(
+        "*", F.spark_partition_id().alias("_task")), "sequence-sorted")
 
     local_w = Window.partitionBy("_task", card).orderBy("transaction_ts", tiebreak)
     local = ordered.select(

@@ -144,15 +144,18 @@ def quarantine_rows(classified: DataFrame, data: str = "data",
     return classified.filter(~F.col("is_valid")).select(*keep, *quarantine_columns(data))
 
 
-def routed(classified: DataFrame, keep: Sequence[str], data: str = "data") -> DataFrame:
+def routed(classified: DataFrame, keep: Sequence[str], data: str = "data",
+           warnings: bool = False) -> DataFrame:
     """The narrow result of a batch: ``keep`` columns, ``is_valid`` and one
     struct per destination (``_bronze`` for valid rows, ``_quarantine``
-    otherwise).  This is what a handler persists: about the size of the
-    input, without the parse intermediates."""
+    otherwise).  This is what a handler stages: about the size of the
+    input, without the parse intermediates.  With ``warnings`` the Bronze
+    struct ends in ``_quality_warnings``, the codes of the rules that warn."""
     valid = F.col("is_valid")
+    tags = [F.col("warnings").alias("_quality_warnings")] if warnings else []
     return classified.select(
         *keep, "is_valid",
-        F.when(valid, F.struct(*bronze_columns())).alias("_bronze"),
+        F.when(valid, F.struct(*bronze_columns(), *tags)).alias("_bronze"),
         F.when(~valid, F.struct(*quarantine_columns(data))).alias("_quarantine"),
     )
 

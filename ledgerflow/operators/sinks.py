@@ -47,9 +47,13 @@ def write_ndjson(df: DataFrame, uri: str, partition_by: Sequence[str] = DAY_COLU
 
 
 def read_bronze(spark: SparkSession, uri: str) -> DataFrame:
-    """Bronze read-back with a fixed schema; day columns stay text."""
+    """Bronze read-back with a fixed schema; day columns stay text.
+
+    ``_quality_warnings`` is null in rows written without warning rules.
+    """
     schema = T.StructType(list(S.BRONZE_SCHEMA.fields) + [
         T.StructField("run_id", T.StringType()),
+        T.StructField("_quality_warnings", T.ArrayType(T.StringType())),
     ])
     return _read_zone(spark, uri, schema)
 

@@ -3,8 +3,10 @@
 ``ingest`` works on any frame of raw records holding one run (a
 micro-batch) or many runs (a bulk load, each row carrying its run's
 clock and request id).  It reads the raw data once: the classified rows
-are persisted, counted per run, written to Bronze and Quarantine, and
-the per-run counts become the metadata rows, written as a DataFrame.
+are staged once in the shared scratch folder, counted per run, written to
+Bronze and Quarantine from there, and the per-run counts become the
+metadata rows, written as a DataFrame.  The staged copy is deleted at the
+end.
 
 Order matches the surveyed handler: files first, metadata last, so a
 crash in between leaves files and no final row; the replay rewrites the
@@ -19,7 +21,6 @@ from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from ..functions import formats as FM
 from ..functions import rules as R
 from ..operators import route, sinks
 from ..operators.metadata import MetadataTable, metadata_rows
+from ..session import discard, stage
 
 _PATH_ESCAPES = [("%", "%25"), ('"', "%22"), ("#", "%23"), ("'", "%27"), ("*", "%2A"),
                  ("/", "%2F"), (":", "%3A"), ("=", "%3D"), ("?", "%3F"), ("\\", "%5C"),
@@ -87,18 +89,18 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                                 quarantine_ts=quarantine_ts, data=data,
                                 threshold_seconds=threshold_seconds, rules=rules)
     classified = sinks.with_day_partition(classified, "_run_ts")
-    # persist only what the counts and the two writes read, not the parse
-    # intermediates (text copy, payload and field VARIANTs)
-    classified = route.routed(
-        classified, keep=("run_id", "_run_ts", "request_id", *sinks.DAY_COLUMNS), data=data,
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    runs = None
+    runs = staged = None
     try:
+        # stage only what the counts and the two writes read, not the parse
+        # intermediates (text copy, payload and field VARIANTs)
+        staged = classified = stage(route.routed(
+            classified, keep=("run_id", "_run_ts", "request_id", *sinks.DAY_COLUMNS), data=data,
+            warnings=any(r.severity == S.SEVERITY_WARNING for r in rules or ())), "routed")
         runs = route.run_counts(classified, keys=("run_id", "_run_ts", "request_id"))
-        runs = runs.select(
+        runs = stage(runs.select(
             "*", FM.iso_offset(F.col("_run_ts")).alias("start_ts"),
             FM.partition_path(F.col("_run_ts")).alias("partition_path"),
-        ).persist(StorageLevel.MEMORY_AND_DISK)
+        ), "runs")
         totals = runs.agg(F.sum("valid").alias("valid"),
                           F.sum("quarantined").alias("quarantined")).first()
         n_valid = int(totals["valid"] or 0)
@@ -152,9 +154,9 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                 pass
         raise
     finally:
-        classified.unpersist()
-        if runs is not None:
-            runs.unpersist()
+        for done in (staged, runs):
+            if done is not None:
+                discard(done)
 
 
 def process_batch(spark: SparkSession, raw: DataFrame, request_id: str,

@@ -479,3 +479,7 @@ m AS (
 )
 SELECT shard_id, event_id AS sequence_number FROM raw JOIN m USING (shard_id) WHERE event_id > middle
 QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id) <= 25""")
+
+ORACLE_SQL["bronze_warnings"] = with_pipeline("""
+SELECT txn_id AS transaction_id, run_id, 'TIMESTAMP_DRIFT' AS warnings FROM classified
+WHERE list_contains(reasons, 'TIMESTAMP_DRIFT')""")

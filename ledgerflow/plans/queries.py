@@ -446,6 +446,25 @@ def warnings_tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", "is_valid", F.array_join("warnings", "|").alias("_quality_warnings"))
 
 
+def bronze_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows that passed with a warning, read back from the zone."""
+    from ..operators.layers import warning_rules
+    from ..operators.sinks import read_bronze
+    from ..plans.batch import ingest
+    from ..session import scratch_path
+
+    def build() -> "S.LakeSettings":
+        lake = S.LakeSettings(root=scratch_path(spark, "warned-lake"))
+        ingest(fixture_raw(spark, sf_dir), lake, now=F.col("batch_now"),
+               request_id=F.concat(F.lit("batch-"), F.col("batch_id").cast("string")),
+               quarantine_ts=F.col("batch_now"), run_partition=False, rules=warning_rules())
+        return lake
+
+    lake = _once(spark, sf_dir, "warned", build, alive=lambda lake: _exists(spark, lake.metadata))
+    tagged = read_bronze(spark, lake.bronze).filter(F.size("_quality_warnings") > 0)
+    return tagged.select("transaction_id", "run_id", F.array_join("_quality_warnings", "|").alias("warnings"))
+
+
 def bronze_day_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.layers import day_range
     from ..operators.sinks import read_bronze

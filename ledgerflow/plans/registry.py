@@ -37,6 +37,7 @@ QUERIES = {
     "card_rollup": Q.card_rollup,
     "card_sequence": Q.card_sequence,
     "warnings_tagged": Q.warnings_tagged,
+    "bronze_warnings": Q.bronze_warnings,
     "bronze_day_counts": Q.bronze_day_counts,
     "dead_letter": Q.dead_letter,
     "landing_decode_counts": Q.landing_decode_counts,

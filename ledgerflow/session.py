@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 REQUIRED_CONF = {
     # Instants are stored and rendered in UTC.
@@ -86,3 +86,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_root(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
+
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back.
+
+    Used where a result is needed more than once: it is computed once,
+    holds no executor memory, and a lost executor costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the files of a staged frame that nothing reads any more."""
+    spark = staged.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in staged.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -41,6 +41,7 @@ def test_query_matches_oracle(spark, duck, name):
     got = sorted(repr(tuple(_norm(x) for x in r)) for r in sdf.collect())
     want = sorted(repr(tuple(_norm(r[i]) for i in order)) for r in rel.fetchall())
     assert got == want
+    assert spark._jsc.getPersistentRDDs().size() == 0          # nothing stays cached
 
 
 def test_rows_only_queries_run(spark):
