@@ -166,5 +166,6 @@ def with_exact_decode_messages(quarantine: DataFrame) -> DataFrame:
     exact = exact_decode_reason(raw)
     return quarantine.withColumn(
         "_quarantine_reason",
-        F.when(F.col("_raw_b64").isNotNull(), F.array(exact))
+        F.when(F.col("_raw_b64").isNotNull(),
+               F.array(F.coalesce(exact, F.get("_quarantine_reason", 0))))
         .otherwise(F.col("_quarantine_reason")))

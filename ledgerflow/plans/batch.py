@@ -73,13 +73,14 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
            rules: Sequence[R.Rule] | None = None,
            pipeline_name: str = S.PIPELINE_NAME,
            rows_per_file: int = 1_000_000,
-           exact_decode_messages: bool = False) -> DataFrame:
+           exact_decode_messages: bool = True) -> DataFrame:
     """Process raw records; return the saved metadata rows (one per run).
 
     The writes keep the width of the input and start a new file every
     ``rows_per_file`` rows.
-    ``exact_decode_messages`` puts the parser's own message in decode
-    reasons (a Python step over the quarantined rows only).
+    ``exact_decode_messages`` puts the parser's own message in the decode
+    reasons of the files (a Python step over the quarantined rows only);
+    without it they hold a fixed text.
     """
     spark = raw.sparkSession
     table = MetadataTable(spark, settings.metadata)

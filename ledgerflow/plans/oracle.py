@@ -286,7 +286,10 @@ SELECT run_id, {_BRONZE_COLS}, {_DAY} FROM classified WHERE is_valid"""),
     "quarantine_roundtrip": with_pipeline(f"""
 SELECT run_id, CASE WHEN decode_kind <> 'ok' THEN base64(data) END AS _raw_b64,
   {_QUARANTINE_FIELDS},
-  array_to_string(reasons, '|') AS reasons, quarantine_ts AS _quarantine_ts, {_DAY}
+  CASE WHEN decode_kind = 'utf8' THEN 'DECODE_ERROR:utf8:invalid start byte'
+       WHEN decode_kind = 'json' AND txt LIKE '{{%' THEN 'DECODE_ERROR:json:Extra data'
+       WHEN decode_kind = 'json' THEN 'DECODE_ERROR:json:Expecting value'
+       ELSE array_to_string(reasons, '|') END AS reasons, quarantine_ts AS _quarantine_ts, {_DAY}
 FROM classified WHERE NOT is_valid"""),
     "metadata_latest": with_pipeline("," + _RUNS + "\nSELECT * FROM runs").replace(")\n,\nruns", "),\nruns"),
     "metadata_get": with_pipeline("," + _RUNS + """

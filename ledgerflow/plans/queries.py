@@ -102,13 +102,10 @@ def decode_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_errors_b64(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = classified(spark, sf_dir)
-    q = route.quarantine_rows(c, keep=("event_id", "batch_id"))
-    return q.filter(F.col("_raw_b64").isNotNull()).select(
-        "event_id", "batch_id", "_raw_b64",
-        F.array_join("_quarantine_reason", "|").alias("reasons"),
-        "_quarantine_ts",
-    )
+    failed = D.decode(fixture_raw(spark, sf_dir)).filter(F.col("_decode_kind") != D.KIND_OK)
+    return failed.select("event_id", "batch_id", D.raw_b64(F.col("data")).alias("_raw_b64"),
+                         F.col("_decode_reason").alias("reasons"),
+                         FM.iso_offset(F.col("batch_now")).alias("_quarantine_ts"))
 
 
 def field_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
