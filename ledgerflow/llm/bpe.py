@@ -32,6 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 PIECE = 1 << 20        # characters
 CACHE = 1 << 18        # pre-tokens remembered by a task
 LONG = 64              # characters beyond which a pre-token is not remembered
@@ -161,6 +163,7 @@ class Codec:
 def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
                  keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns + (n_tokens, ids array<int>), one row per document."""
+    small_batches(docs.sparkSession)
     tokens = docs.sparkSession.sparkContext.broadcast(read_ranks(vocabulary))
     kept = [F.col(c) for c in keep]
     schema = docs.select(*kept).withColumns({"n_tokens": F.lit(0).cast("bigint"),

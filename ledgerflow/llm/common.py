@@ -9,6 +9,7 @@ from ..session import scratch_path
 
 # ASCII white space that separates words: space and U+0009..U+000D.
 SPACES = " \t\n\x0b\x0c\r"
+BATCH_BYTES = 4 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -29,6 +30,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Let batches of texts between Spark and Python hold about 4 MB.
+
+    Spark's default (64 MB a batch, several copies of it a task) takes a
+    large part of a small executor.  A setting made by the user stays as it
+    is; results do not depend on it.
+    """
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key) == default:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(column, UPPER, UPPER.lower())

@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import stage
+from .common import small_batches, stage
 from .components import components
 from .texthash import documents, windows
 
@@ -185,6 +185,7 @@ def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
+    small_batches(docs.sparkSession)
     signed = stage(signatures(docs, id_col, text_col), "near-signatures")
     named = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = stage(named.groupBy("digest", F.col("n_shingles").alias("n")).agg(

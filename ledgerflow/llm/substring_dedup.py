@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, text_or_empty
+from .common import small_batches, stage, text_or_empty
 from .texthash import documents, windows
 
 WINDOW = 20
@@ -296,6 +296,7 @@ def _finish(chunk: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256), one row per document."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text_or_empty(text_col).alias("text"))
     chunks = stage(_chunks(rows), "substring-chunks")
     size = chunks.agg(F.sum("bytes")).first()[0] or 0

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import stage
+from .common import small_batches, stage
 
 FEATURES = 1 << 18
 ORDERS = (3, 4, 5)
@@ -142,6 +142,7 @@ def _fit_sample(training: DataFrame, ratios: np.ndarray, rows: np.ndarray) -> pd
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ) -> tuple[np.ndarray, float]:
     """(weight per slot, intercept) of the classifier."""
+    small_batches(docs.sparkSession)
     training = stage(_training(docs, labels, id_col, text_col), "toxic-training")
     counts, rows = _slot_counts(training)
     prior = float(np.log((rows[1] + 1) / (rows[0] + 1)))
@@ -177,6 +178,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_id",
           text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted), one row per document."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -197,18 +199,20 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
 
 def drop_toxic(docs: DataFrame, model: tuple[np.ndarray, float], text_col: str = "text",
                threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, that score below the threshold."""
+    """The rows of ``docs``, all columns as they are, that score below the threshold.
+
+    Only texts go to Python, and only one boolean each comes back.
+    """
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    at = docs.columns.index(text_col)
     edge = float(np.log(threshold / (1 - threshold)))
 
-    def run(batches):
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
         weights, bias = shared.value
-        for batch in batches:
-            clean = [bias + weights[slots(t.as_py())].sum() < edge for t in batch.column(at)]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+        return pa.array([bias + weights[slots(t.as_py())].sum() < edge for t in texts], pa.bool_())
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.filter(clean(F.col(text_col)))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:

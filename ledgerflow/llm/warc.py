@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import stage
+from .common import small_batches, stage
 
 DICTIONARY_MAGIC = 0x184D2A5D        # skippable frame that holds the dictionary
 FRAME_MAGIC = 0xFD2FB528
@@ -142,6 +142,7 @@ class _Archive:
 def mark_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                   html_col: str = "html") -> DataFrame:
     """(page_id, url, payload, response_id, revisit) of every page."""
+    small_batches(pages.sparkSession)
     payload = F.coalesce(F.col(html_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"),
                         payload.alias("payload"), F.sha1(payload).alias("sha1"))
