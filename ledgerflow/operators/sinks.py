@@ -72,10 +72,14 @@ def _read_zone(spark: SparkSession, uri: str, schema: T.StructType) -> DataFrame
 
 
 def bronze_to_silver_parquet(spark: SparkSession, bronze_uri: str, silver_uri: str) -> None:
-    """Bronze NDJSON to typed Parquet, same day layout."""
+    """Bronze NDJSON to typed Parquet, same day layout.
+
+    The days read are replaced, so a second run doubles nothing.
+    """
     bronze = read_bronze(spark, bronze_uri)
     typed = bronze.select(
         *[c for c in bronze.columns if c != "transaction_ts"],
         F.to_timestamp("transaction_ts").alias("transaction_ts"),
     )
-    typed.write.mode("append").partitionBy(*DAY_COLUMNS).parquet(silver_uri)
+    (typed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*DAY_COLUMNS).parquet(silver_uri))

@@ -52,6 +52,9 @@ def read(spark: SparkSession, uri: str) -> DataFrame:
     return spark.read.schema(LOG_SCHEMA).parquet(uri)
 
 
+BROADCAST_SHARDS = 10_000
+
+
 def shard_ids(log: DataFrame) -> DataFrame:
     """Every shard id."""
     return log.select("shard_id").distinct()
@@ -89,7 +92,10 @@ def drain(log: DataFrame, shard_id: str | None = None,
             known = F.col("shard_id").isin(list(after.keys()))
             out = out.filter(cond | ~known)
         else:
+            # one row per shard; sent to the log where it is small, so that a
+            # shard with much of the log is not gathered for the join
             pos = after.select("shard_id", F.col("sequence_number").alias("_after"))
+            pos = F.broadcast(pos) if pos.count() <= BROADCAST_SHARDS else pos
             out = (out.join(pos, "shard_id", "left")
                    .filter(F.col("_after").isNull() | (F.col("sequence_number") > F.col("_after")))
                    .drop("_after"))
