@@ -217,14 +217,18 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``docs`` with one row of each group of near duplicates, all columns as they are.
 
     Of rows that repeat a kept id, one stays.  Rows with a null id stay.
+    Rows whose id can't be in a Bloom filter of the ids to drop pass
+    straight through; only the others are shuffled to those ids.
     """
     judged = stage(near_duplicates(docs, id_col, text_col).select(
-        F.col("doc_id").alias("judged_id"), "kept"), "near-judged")
-    gone = judged.filter(~F.col("kept")).select("judged_id")
-    again = (judged.filter(F.col("kept") & F.col("judged_id").isNotNull()).groupBy("judged_id").count()
-             .filter("count > 1").select("judged_id"))
-    same = F.col(id_col) == F.col("judged_id")
-    left = docs.join(gone, same, "left_anti")
+        F.col("doc_id").alias("__judged_id"), "kept"), "near-judged")
+    gone = stage(judged.filter(~F.col("kept")).select("__judged_id"), "near-gone")
+    again = (judged.filter(F.col("kept") & F.col("__judged_id").isNotNull()).groupBy("__judged_id").count()
+             .filter("count > 1").select("__judged_id"))
+    same = F.col(id_col) == F.col("__judged_id")
+    bitmap, _ = bloom.build(gone, gone.count())
+    listed = bloom.might_contain(docs.sparkSession, bitmap, F.coalesce(F.col(id_col).cast("bigint"), F.lit(0)))
+    left = docs.filter(~listed).unionByName(docs.filter(listed).join(gone, same, "left_anti"))
     if again.isEmpty():
         return left
     again = stage(again, "near-again")
