@@ -161,7 +161,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
                       text_col: str = "text") -> DataFrame:
     """``docs`` without the rows that overlap a benchmark item, all columns as they are."""
     found = benchmark_overlaps(docs, benchmark, id_col, text_col)
-    found = stage(found.select(F.col("doc_id").alias("found_id"), F.col("text_key").alias("found_key")).distinct(),
+    found = stage(found.select(F.col("doc_id").alias("__found_id"), F.col("text_key").alias("__found_key")).distinct(),
                   "bench-contaminated")
-    return docs.join(_bounded(found, BROADCAST_KEYS), F.col(id_col).eqNullSafe(F.col("found_id"))
-                     & (F.xxhash64(text_or_empty(text_col)) == F.col("found_key")), "left_anti")
+    return docs.join(_bounded(found, BROADCAST_KEYS), F.col(id_col).eqNullSafe(F.col("__found_id"))
+                     & (F.xxhash64(text_or_empty(text_col)) == F.col("__found_key")), "left_anti")
