@@ -11,34 +11,34 @@ from .common import stage
 def components(links: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``links(a, b)``; component = smallest node.
 
-    Large-star and small-star rounds until the links no longer change.
-    Every round is staged in the shared folder; only counts reach the
-    driver.  A node with very many links is a hot join key, which adaptive
-    execution splits, as both join sides are staged.
+    Large-star and small-star rounds until every component is one star
+    around its smallest node.  Every step is staged in the shared folder;
+    only a yes or no reaches the driver.  A node with very many links is a
+    hot join key, which adaptive execution splits, as both join sides are
+    staged.
     """
     edges = stage(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
                   .filter("lo < hi").distinct(), "cc-links")
-    before = _digest(edges)
-    while True:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
         smallest = stage(both.groupBy(F.col("lo").alias("node")).agg(F.min("hi").alias("m"))
                          .select("node", F.least("node", "m").alias("m")), "cc-min")
         large = (edges.join(smallest, edges["lo"] == smallest["node"])
-                 .select(F.col("m").alias("lo"), "hi").filter("lo < hi").distinct())
+                 .select(F.col("m").alias("lo"), "hi").filter("lo < hi"))
         large = stage(large, "cc-large")
         least = stage(large.groupBy(F.col("hi").alias("node")).agg(F.min("lo").alias("m")), "cc-least")
         small = large.join(least, large["hi"] == least["node"]).select(
             F.explode(F.array(*[F.struct(F.col("m").alias("lo"), F.col(c).alias("hi"))
                                 for c in ("lo", "hi")])).alias("e")).select("e.*")
-        after = stage(small.filter("lo < hi").distinct(), "cc-links")
-        now = _digest(after)
-        if now == before:
-            return (after.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
-                    .unionByName(after.select(F.col("lo").alias("node"),
-                                              F.col("lo").alias("component")).distinct()))
-        edges, before = after, now
-
-
-def _digest(edges: DataFrame):
-    """Row count and order-free checksum of a link table."""
-    return edges.agg(F.count("*"), F.sum(F.xxhash64("lo", "hi").cast("decimal(20,0)"))).first()
+        edges = stage(small.filter("lo < hi").distinct(), "cc-links")
+    return (edges.select(F.col("hi").alias("node"), F.col("lo").alias("component"))
+            .unionByName(edges.select(F.col("lo").alias("node"), F.col("lo").alias("component")).distinct()))
+
+
+def _stars(edges: DataFrame) -> bool:
+    """Whether every larger end has one link and no smaller end is a larger one too."""
+    ends = edges.select(F.explode(F.array(*[
+        F.struct(F.col(c).alias("node"), F.lit(n).alias("larger")) for c, n in (("lo", 0), ("hi", 1))
+    ])).alias("e")).select("e.*")
+    judged = ends.groupBy("node").agg(F.sum("larger").alias("above"), F.min("larger").alias("least"))
+    return judged.filter("above > 1 OR (above = 1 AND least = 0)").isEmpty()

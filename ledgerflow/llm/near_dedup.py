@@ -51,6 +51,7 @@ SKETCH = 48
 LISTS = 16
 OVERLAP_FLOOR = 0.40
 ESTIMATE_FLOOR = 0.48
+SET_VALUES = 500_000   # shingles after which a task hands on its full sets
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"
 
@@ -95,11 +96,16 @@ def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             batch = batch.filter(pa.array(bloom.contains(shared.value, ids.view(np.uint64))))
+            held, first, size = [], 0, 0
             for row, _, _, _, hashes in documents(batch.column(1), lower=True):
-                values = shingle_set(hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(row, 1), pa.array([len(values)], pa.int64()),
-                     _lists_array([values])], names=["rep", "n", "set"])
+                held.append(shingle_set(hashes))
+                size += len(held[-1])
+                if size >= SET_VALUES or row == batch.num_rows - 1:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).slice(first, len(held)),
+                         pa.array([len(v) for v in held], pa.int64()), _lists_array(held)],
+                        names=["rep", "n", "set"])
+                    held, first, size = [], row + 1, 0
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
             .filter("doc_id IS NOT NULL").mapInArrow(run, "rep bigint, n bigint, set array<bigint>"))
