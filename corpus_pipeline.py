@@ -1,7 +1,8 @@
 """The corpus pipeline: documents in, checked token ids out.
 
 Five stages, each over everything its predecessor kept, in this order:
-toxic documents go, boilerplate lines go, one document of each group of
+toxic documents go, boilerplate lines go (a group of near copies counts as
+one page there, so that none of its lines goes for the copies), one document of each group of
 near duplicates stays, documents that overlap a benchmark item go, and the
 rest is encoded (and decoded again for the check sums).  All stages but
 the last return the columns of ``documents``.
@@ -28,7 +29,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(docs)
+    cleaned = line_dedup.drop_boilerplate(docs, groups=near_dedup.text_groups(docs))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))

@@ -7,14 +7,23 @@ that host and is dropped from all its pages.  A line counts once a page;
 lines are compared without surrounding ASCII white space; blank lines are
 neither counted nor dropped.
 
+Copies: with ``groups`` (``near_dedup.text_groups``) the texts of a group
+are one page of their host, in a line's count and in the host's total, so a
+document with many exact or near copies does not make its own body
+boilerplate.  The pipeline counts so; without ``groups``, as in op5, whose
+SQL counts rows, every row is a page.  Pages whose text is so much alike
+that they are near copies of each other count once, template and all.
+Only texts of groups are shuffled whole, as line hashes and once a host;
+a Bloom filter of their hashes tells them from the others.
+
 Counting shuffles 64-bit line hashes with a partial sum per task, so a line
 on every page of a third of all rows arrives as one row a task.  Only
 lines that reach ``LEAST_PAGES`` meet the host totals.  Texts are joined by
 (host, text hash) with the dropped lines of that text.
 
 Defined results: a null host is a host of its own.  A null text stays null
-and counts as a page without lines.  Repeated rows count as pages each and
-get the same result.  A text that loses all its lines is empty.  Extra
+and counts as a page without lines.  Repeated rows count as pages each
+(with ``groups`` once a host) and get the same result.  A text that loses all its lines is empty.  Extra
 columns pass through unchanged.  An empty table gives an empty result.
 """
 
@@ -23,6 +32,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
 from .common import SPACES, stage
 
 RATIO = 0.08
@@ -43,13 +53,33 @@ def _line_hashes(text: Column) -> Column:
     return F.array_distinct(F.transform(bare, lambda line: F.xxhash64(line)))
 
 
-def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+def _units(pages: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, line) once a page and (host) of each page; a group of texts is one page of a host."""
+    groups = groups.withColumnsRenamed({"text_key": "group_key", "group": "unit"})
+    bitmap, _ = bloom.build(groups.select("group_key"), groups.count())
+    rows = pages.select("host", F.xxhash64("text").alias("text_key"), "text")
+    listed = bloom.might_contain(pages.sparkSession, bitmap, F.col("text_key"))
+    alone = rows.filter(~listed)
+    shared = rows.filter(listed).groupBy("host", "text_key").agg(F.first(_line_hashes(F.col("text"))).alias("lines"))
+    shared = stage(shared, "line-shared")
+    shared = stage(shared.join(groups, F.col("text_key") == F.col("group_key"), "left").select(
+        "host", F.coalesce("unit", "text_key").alias("unit"), "lines"), "line-units")
+    lines = alone.select("host", F.explode(_line_hashes(F.col("text"))).alias("line")).unionByName(
+        shared.select("host", "unit", F.explode("lines").alias("line")).distinct().select("host", "line"))
+    return lines, alone.select("host").unionByName(shared.select("host", "unit").distinct().select("host"))
+
+
+def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES,
+                groups: DataFrame | None = None) -> DataFrame:
     """(host, line, pages, total) of ``pages(host, text)``: the lines to drop, by hash."""
-    counted = (pages.select("host", F.explode(_line_hashes(F.col("text"))).alias("line"))
-               .groupBy("host", "line").agg(F.count("*").alias("pages"))
+    if groups is None:
+        lines, hosts = pages.select("host", F.explode(_line_hashes(F.col("text"))).alias("line")), pages
+    else:
+        lines, hosts = _units(pages, groups)
+    counted = (lines.groupBy("host", "line").agg(F.count("*").alias("pages"))
                .filter(F.col("pages") >= least_pages))
     counted = stage(counted, "line-counts")
-    totals = stage(pages.groupBy("host").agg(F.count("*").alias("total")), "line-totals")
+    totals = stage(hosts.groupBy("host").agg(F.count("*").alias("total")), "line-totals")
     totals = totals.withColumnRenamed("host", "total_host")
     return (counted.join(totals, F.col("host").eqNullSafe(F.col("total_host")))
             .filter(F.col("pages") > F.col("total") * F.lit(ratio))
@@ -57,15 +87,17 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST
 
 
 def drop_boilerplate(docs: DataFrame, host: Column | str = "source", text_col: str = "text",
-                     ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
+                     ratio: float = RATIO, least_pages: int = LEAST_PAGES,
+                     groups: DataFrame | None = None) -> DataFrame:
     """``docs`` with ``text_col`` cleaned, and its non-blank lines counted.
 
     Adds n_lines and n_dropped (replacing columns of these names).
+    ``groups(text_key, group)`` names the texts that count as one page.
     """
     host = F.col(host) if isinstance(host, str) else host
     text = F.col(text_col)
     pages = docs.select(host.cast("string").alias("host"), text.alias("text"))
-    drop = stage(boilerplate(pages, ratio, least_pages), "line-boilerplate")
+    drop = stage(boilerplate(pages, ratio, least_pages, groups), "line-boilerplate")
     drop = drop.select(F.col("host").alias("drop_host"), F.col("line").alias("drop_line"))
     seen = pages.filter("text IS NOT NULL").select(
         "host", F.xxhash64("text").alias("text_key"), F.explode(_line_hashes(F.col("text"))).alias("line"))

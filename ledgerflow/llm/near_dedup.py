@@ -219,6 +219,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")))
 
 
+def text_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(text_key, group) of every text that has an exact or near copy; the key is its 64-bit hash.
+
+    A text that occurs once and has no near copy is left out.
+    """
+    key = F.xxhash64(text_col)
+    texts = docs.select(key.alias("text_key"), F.col(text_col).alias("text"))
+    keyed = stage(near_duplicates(texts, "text_key").groupBy(
+        F.col("doc_id").alias("text_key"), F.col("component_id").alias("group"))
+        .agg(F.count("*").alias("copies")), "near-texts")
+    linked = keyed.filter(F.col("text_key") != F.col("group"))
+    found = keyed.filter((F.col("text_key") != F.col("group")) | (F.col("copies") > 1)).select("text_key", "group")
+    return stage(found.unionByName(linked.select(F.col("group").alias("text_key"), "group")).distinct(), "near-groups")
+
+
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near duplicates, all columns as they are.
 

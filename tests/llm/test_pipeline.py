@@ -101,3 +101,27 @@ def test_empty_documents_and_extra_columns(spark, tables):
         assert name == "encode" or out.columns == few.columns
         assert 0 < out.count() <= 40
         assert step(spark, empty, folder).count() == 0
+
+
+def test_copies_do_not_make_their_own_lines_boilerplate(spark, tables):
+    folder, _, _ = tables
+    rng = random.Random(4)
+    vocab = vocabulary(rng, 500)
+    body = lambda: [sentence(rng, vocab, 12) for _ in range(12)]
+    exact, near = body(), body()
+    docs = []
+    for i in range(90):
+        lines = (exact, list(near), body())[i % 3]
+        if i % 3 == 1 and i > 1:                          # one word of one line differs
+            parts = lines[i % 12].split()
+            parts[i % 7] = f"only{i}"
+            lines[i % 12] = " ".join(parts)
+        docs.append((i, "\n".join([*lines, "Terms and privacy"] if i % 3 == 2 else lines), "s0"))
+    docs += [(200, None, "s0"), (201, None, "s0"), (202, "\n".join(exact), "s1")]
+    steps = dict(corpus_pipeline.STAGES)
+    cleaned = steps["line_dedup"](spark, frame(spark, docs), folder)
+    want = [(i, t and t.replace("\nTerms and privacy", ""), s) for i, t, s in docs]
+    assert rows_of(cleaned) == sorted(want, key=str)
+    left = {r.doc_id: r.text for r in steps["near_dedup"](spark, cleaned, folder).collect()}
+    assert set(left) == {0, 1, 200, 201} | set(range(2, 90, 3))
+    assert left[0] == "\n".join(exact) and left[1] == "\n".join(near)
