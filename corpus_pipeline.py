@@ -22,6 +22,8 @@ from ledgerflow.llm import bpe, decontam, line_dedup, near_dedup, toxicity
 from ledgerflow.llm.common import stage, table
 from ledgerflow.llm.queries import vocabulary
 
+NEAR_PERCENT = 80   # documents of this similarity and more are near duplicates
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
@@ -29,7 +31,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.drop_boilerplate(docs, groups=near_dedup.text_groups(docs))
+    cleaned = line_dedup.drop_boilerplate(docs, groups=near_dedup.text_groups(docs, percent=NEAR_PERCENT))
     if "n_chars" in docs.columns:
         length = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_dropped") > 0, length).otherwise(F.col("n_chars")))
@@ -37,7 +39,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_duplicates(docs)
+    return near_dedup.drop_near_duplicates(docs, percent=NEAR_PERCENT)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,21 +6,24 @@ Every text becomes its set of distinct 5-word shingles, hashed once; the
 1. Documents with equal sets form a class; from here on a class is one
    representative, so thousands of copies cost one row.
 2. Inverted lists: each retained value lists the classes that hold it.  Two
-   sets of similarity 0.85 share far over ``OVERLAP_FLOOR`` of a sketch, so
+   sets of the threshold's similarity share far over ``OVERLAP_FLOOR`` of a sketch, so
    a class with fewer shared values than that is settled as unlinked.  The
    first ``LISTS`` values of the others make the lists that generate
-   overlaps: .15**LISTS is the chance that a linked pair shares none.
+   overlaps: (1 - threshold)**LISTS is the chance that a linked pair shares
+   none.
 3. Within a list every member is paired with the list's smallest member
    only.  The union of the two sketches estimates the similarity, pairs
    clearly below the threshold go, and the rest is verified on full sets.
    Verified links merge classes into components.
 4. Lists whose members are still in different components are compared
    exactly: of the full sets, only the rarest shingles (a set may miss at
-   most 15 % of its shingles) index a document, so members of a large
+   most 1 - threshold of its shingles) index a document, so members of a large
    group that are not linked to its core share no rare shingle and produce
    no pairs.  Pairs within one component are never made.
 
-Components are exact up to the sketch bounds above (below 1e-8 a pair).
+The threshold is an argument: ``PERCENT`` for op1, the pipeline's stages ask
+for 80.  Components are exact up to the sketch bounds above (below 1e-8 a
+pair from ``LEAST_PERCENT`` on; lower thresholds are refused).
 Full sets are rebuilt only for classes found in shared lists, selected with
 a bounded Bloom filter of their ids.
 
@@ -47,10 +50,11 @@ from .texthash import documents, windows
 
 SHINGLE = 5
 PERCENT = 85
+LEAST_PERCENT = 80
 SKETCH = 48
 LISTS = 16
 OVERLAP_FLOOR = 0.40
-ESTIMATE_FLOOR = 0.48
+ESTIMATE_SLACK = 37    # percent by which an estimate may lie below the threshold
 SET_VALUES = 500_000   # shingles after which a task hands on its full sets
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"
@@ -111,33 +115,33 @@ def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -
             .filter("doc_id IS NOT NULL").mapInArrow(run, "rep bigint, n bigint, set array<bigint>"))
 
 
-def estimate_passes(a: Column, b: Column) -> Column:
+def estimate_passes(a: Column, b: Column, percent: int = PERCENT) -> Column:
     """Union-sketch estimate: shared values among the smallest of the union."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
     shared = F.size(F.array_intersect(union, F.array_intersect(a, b)))
-    return shared >= F.floor(F.size(union) * F.lit(ESTIMATE_FLOOR))
+    return shared >= F.floor(F.size(union) * F.lit((percent - ESTIMATE_SLACK) / 100))
 
 
-def sizes_pass(a: Column, b: Column) -> Column:
-    return (a * 100 >= b * PERCENT) & (b * 100 >= a * PERCENT)
+def sizes_pass(a: Column, b: Column, percent: int = PERCENT) -> Column:
+    return (a * 100 >= b * percent) & (b * 100 >= a * percent)
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def _estimated(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sizes and sketches allow a link."""
     side = lambda key: classes.select(F.col("rep").alias(key), F.col("n").alias(f"n_{key}"),
                                       F.col("sketch").alias(f"s_{key}"))
     return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(sizes_pass(F.col("n_a"), F.col("n_b"))
-                    & estimate_passes(F.col("s_a"), F.col("s_b"))).select("a", "b"))
+            .filter(sizes_pass(F.col("n_a"), F.col("n_b"), percent)
+                    & estimate_passes(F.col("s_a"), F.col("s_b"), percent)).select("a", "b"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets reach the similarity."""
     side = lambda key: sets.select(F.col("rep").alias(key), F.col("set").alias(f"f_{key}"))
     both = F.size(F.array_intersect("f_a", "f_b"))
     union = F.size("f_a") + F.size("f_b") - both
     return (pairs.join(side("a"), "a").join(side("b"), "b")
-            .filter(both * 100 >= union * PERCENT).select("a", "b"))
+            .filter(both * 100 >= union * percent).select("a", "b"))
 
 
 def _lists(classes: DataFrame) -> DataFrame:
@@ -158,7 +162,7 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
             .select("a", F.col("rep").alias("b")).distinct())
 
 
-def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     """Pairs across components that share one of their rarest shingles."""
     named = lists.join(labels, lists["rep"] == labels["node"], "left").select(
         "v", "rep", F.coalesce("component", "rep").alias("c"))
@@ -171,7 +175,7 @@ def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
     df = stage(values.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "near-df")
     # Shingles held by one document only come first in the order; they fill
     # the prefix without generating anything, so only their number counts.
-    prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / F.lit(100)) + 1
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
     shared = values.join(df, "h").groupBy("rep", "n", "c").agg(
         F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs"))
     room = prefix - (F.col("n") - F.size("hs"))
@@ -182,15 +186,18 @@ def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
         F.posexplode(F.slice("hs", F.lit(1), room.cast("int"))).alias("at", "x"))
         .select("rep", "n", "c", (F.col("later") - F.col("at")).alias("left"), "x.h"), "near-index")
     a, b = index.alias("x"), index.alias("y")
-    enough = (F.least("x.left", "y.left") * (100 + PERCENT)
-              >= (F.col("x.n") + F.col("y.n")) * PERCENT)
+    enough = (F.least("x.left", "y.left") * (100 + percent)
+              >= (F.col("x.n") + F.col("y.n")) * percent)
     return (a.join(b, F.col("x.h") == F.col("y.h"))
             .filter((F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & enough)
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per document."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"percent {percent} is not in {LEAST_PERCENT}..100")
     small_batches(docs.sparkSession)
     signed = stage(signatures(docs, id_col, text_col), "near-signatures")
     named = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
@@ -201,9 +208,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = lists.select("rep").distinct()
     wanted, _ = bloom.build(members, members.count())
     sets = stage(full_sets(docs, wanted, id_col, text_col), "near-sets")
-    links = stage(_verified(_estimated(_star_pairs(lists), classes), sets), "near-links")
+    links = stage(_verified(_estimated(_star_pairs(lists), classes, percent), sets, percent), "near-links")
     labels = stage(components(links), "near-labels")
-    more = stage(_verified(_estimated(_residual_pairs(lists, sets, labels), classes), sets), "near-more")
+    residual = _residual_pairs(lists, sets, labels, percent)
+    more = stage(_verified(_estimated(residual, classes, percent), sets, percent), "near-more")
     if more.isEmpty():
         found = labels
     else:
@@ -219,14 +227,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept")))
 
 
-def text_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
+def text_groups(docs: DataFrame, text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """(text_key, group) of every text that has an exact or near copy; the key is its 64-bit hash.
 
     A text that occurs once and has no near copy is left out.
     """
     key = F.xxhash64(text_col)
     texts = docs.select(key.alias("text_key"), F.col(text_col).alias("text"))
-    keyed = stage(near_duplicates(texts, "text_key").groupBy(
+    keyed = stage(near_duplicates(texts, "text_key", percent=percent).groupBy(
         F.col("doc_id").alias("text_key"), F.col("component_id").alias("group"))
         .agg(F.count("*").alias("copies")), "near-texts")
     linked = keyed.filter(F.col("text_key") != F.col("group"))
@@ -234,14 +242,15 @@ def text_groups(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return stage(found.unionByName(linked.select(F.col("group").alias("text_key"), "group")).distinct(), "near-groups")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                         percent: int = PERCENT) -> DataFrame:
     """``docs`` with one row of each group of near duplicates, all columns as they are.
 
     Of rows that repeat a kept id, one stays.  Rows with a null id stay.
     Rows whose id can't be in a Bloom filter of the ids to drop pass
     straight through; only the others are shuffled to those ids.
     """
-    judged = stage(near_duplicates(docs, id_col, text_col).select(
+    judged = stage(near_duplicates(docs, id_col, text_col, percent).select(
         F.col("doc_id").alias("__judged_id"), "kept"), "near-judged")
     gone = stage(judged.filter(~F.col("kept")).select("__judged_id"), "near-gone")
     again = (judged.filter(F.col("kept") & F.col("__judged_id").isNotNull()).groupBy("__judged_id").count()

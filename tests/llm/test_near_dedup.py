@@ -1,3 +1,5 @@
+import corpus_pipeline
+import pytest
 from corpus import LOWER, by_id, corpus, frame, words
 from pyspark.sql import functions as F
 
@@ -63,3 +65,21 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (7, 7)], "a bigint, b bigint")
     got = {r.node: r.component for r in components(links).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+def test_threshold_of_the_pipeline(spark):
+    def pair(first, n):                       # n shingles; two words of the copy changed, 10 shingles
+        base = [f"p{first}w{i}" for i in range(n + 4)]
+        copy = [*base]
+        copy[20], copy[60] = "other", "others"
+        return [(first, " ".join(base)), (first + 1, " ".join(copy))]
+
+    rows = pair(0, 90) + pair(10, 89) + pair(20, 130)      # 80/100, 79/99, 120/140
+    df = frame(spark, rows)
+    left = dict(corpus_pipeline.STAGES)["near_dedup"](spark, df, "")
+    assert sorted(r.doc_id for r in left.collect()) == [0, 10, 11, 20]
+    got = by_id(near_duplicates(df))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute(rows)
+    assert [i for i in sorted(got) if got[i].kept] == [0, 1, 10, 11, 20]
+    with pytest.raises(ValueError):
+        near_duplicates(df, percent=79)
