@@ -76,3 +76,15 @@ def test_empty_tables_and_clashing_columns(spark):
     found = {(r.doc_id, r.item_id) for r in contaminated(clash, bench.withColumn("doc_id", F.lit(5))).collect()}
     assert found == {(r.doc_id, r.item_id) for r in contaminated(df, bench).collect()}
     assert drop_contaminated(clash, bench).columns == clash.columns
+
+
+def test_every_accepted_period_of_substitutions_is_seeded(spark):
+    docs, want = [], set()
+    for period in range(3, 16):
+        for shift in range(period):
+            words = [f"x{k}" if k % period == shift else f"i{k}" for k in range(60)]
+            docs.append((100 * period + shift, "lead in " + " ".join(words) + " tail"))
+            want |= {100 * period + shift} if period > 3 else set()
+    items = [(9, " ".join(f"i{k}" for k in range(60)))]
+    got = contaminated(frame(spark, docs), spark.createDataFrame(items, ITEMS)).collect()
+    assert {r.doc_id for r in got} == want
