@@ -6,8 +6,8 @@ evaluates every capture against the entries active at its fetch time.
 
 A pattern is a host (which covers its sub-domains) or a host followed by
 leading path segments.  Each URL is expanded into the patterns that could
-cover it, at most one per host label and path segment, so the list is
-joined by equality and the interval is a residual condition.
+cover it, at most one per host label and path segment up to the deepest
+entry of the list, so the list is joined by equality and the interval is a residual condition.
 
 Skew: a popular host gives a hot join key on the captures' side only
 (intervals of one pattern do not overlap, so a key and an instant meet one
@@ -29,8 +29,6 @@ from pyspark.sql import functions as F
 
 from .common import ascii_lower, stage
 
-MAX_PATH_SEGMENTS = 3   # patterns may name so many leading path segments
-
 
 def url_host(url: Column) -> Column:
     """Lower-case host of an absolute URL, without user, port or final dot."""
@@ -39,14 +37,14 @@ def url_host(url: Column) -> Column:
     return F.nullif(ascii_lower(host), F.lit(""))
 
 
-def url_patterns(url: Column, host: Column) -> Column:
-    """Every pattern that covers the URL: host suffixes, host + leading segments."""
+def url_patterns(url: Column, host: Column, most_segments: int) -> Column:
+    """Every pattern of at most so many segments that covers the URL: host suffixes, host + leading segments."""
     labels = F.split(host, "[.]")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.concat_ws(
         ".", F.slice(labels, i, F.size(labels))))
     path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
     segments = F.filter(F.split(path, "/"), lambda s: s != "")
-    n = F.least(F.size(segments), F.lit(MAX_PATH_SEGMENTS))
+    n = F.least(F.size(segments), F.lit(most_segments))
     prefixes = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(
         host, F.lit("/"), F.concat_ws("/", F.slice(segments, 1, i))))).otherwise(
         F.array().cast("array<string>"))
@@ -79,9 +77,10 @@ def evaluate_urls(captures: DataFrame, entries: DataFrame, id_col: str = "page_i
                              F.col(fetch_col).alias("fetch_day"))
             .agg(F.count("*").alias("copies"))
             .withColumn("host", url_host(F.col("url"))))
-    keyed = stage(rows.withColumn("key", F.explode_outer(url_patterns(F.col("url"), F.col("host")))),
-                  "url-keys")
     intervals = stage(validity_intervals(entries), "url-intervals")
+    deepest = intervals.agg(F.max(F.size(F.split("pattern", "/")) - 1)).first()[0] or 0
+    keyed = stage(rows.withColumn("key", F.explode_outer(url_patterns(F.col("url"), F.col("host"), deepest))),
+                  "url-keys")
     active = ((F.col("key") == F.col("pattern")) & (F.col("fetch_day") >= F.col("valid_from"))
               & (F.col("valid_to").isNull() | (F.col("fetch_day") < F.col("valid_to"))))
     matched = keyed.join(intervals, active, "left")

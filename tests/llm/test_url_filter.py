@@ -72,3 +72,12 @@ def test_hosts(spark):
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(url_host(F.col("u"))).collect()] == [
         "host.org", "h.org", "h.org", None, None, None, None, None, "a." * 60 + "org"]
+
+
+def test_entries_of_many_segments(spark):
+    deep = "a.org/" + "/".join(f"s{k}" for k in range(9))
+    captures = spark.createDataFrame([(1, f"http://{deep}/page", DAY), (2, "http://a.org/s0/s1/s2/s3", DAY),
+                                      (3, "http://a.org/s0/s1/s2", DAY)], CAPTURES)
+    entries = spark.createDataFrame([(p, "x", "add", DAY) for p in (deep, "a.org/s0/s1/s2/s3")], ENTRIES)
+    got = {r.page_id: (r.n_active, r.pattern) for r in evaluate_urls(captures, entries).collect()}
+    assert got == {1: (2, deep), 2: (1, "a.org/s0/s1/s2/s3"), 3: (0, None)}
