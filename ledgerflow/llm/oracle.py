@@ -70,3 +70,42 @@ SELECT b.doc_id, count(*) FILTER (b.bare <> '') AS n_lines,
 FROM b LEFT JOIN r ON b.source IS NOT DISTINCT FROM r.source AND b.bare = r.bare
 GROUP BY b.doc_id
 """
+
+ORACLE["op11_phrase_mining"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2),
+         lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM words, (VALUES (1), (2), (3)) AS sizes(k) WHERE len(ws) >= k
+), counts AS (
+  SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+  SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k >= 2 AND f >= 10
+), cuts AS (
+  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:cut], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:k], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), longer AS (
+  SELECT lang, inside, max(a) AS most FROM (
+    SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS inside
+    FROM candidates WHERE k = 3) GROUP BY ALL
+)
+SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, b.a DESC, phrase) AS rank,
+       phrase, b.a, b.l, b.r, n, CAST(score AS BIGINT) AS score
+FROM best b JOIN totals t ON t.lang = b.lang
+LEFT JOIN longer w ON w.lang = b.lang AND w.inside = b.phrase
+WHERE w.most IS NULL OR 100 * w.most < 50 * b.a
+QUALIFY rank <= 2000
+"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .align import align
 from .bpe import digests, encode_texts
 from .common import table
 from .decontam import contaminated
@@ -12,6 +13,8 @@ from .exact_dedup import exact_dedup
 from .license_scan import license_scan
 from .line_dedup import drop_boilerplate
 from .near_dedup import near_duplicates
+from .ngram_join import ngram_components
+from .phrases import collocations
 from .substring_dedup import substring_dedup
 from .toxicity import toxicity
 from .url_filter import evaluate_urls, url_host
@@ -106,7 +109,25 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op11_phrase_mining": op11_phrase_mining,
+    "op12_tokenizer_alignment": op12_tokenizer_alignment,
+    "op13_ngram_join": op13_ngram_join,
     "op8_substring_dedup": op8_substring_dedup,
     "op3_warc": op3_warc,
     "op5_line_dedup": op5_line_dedup,

@@ -1,15 +1,19 @@
 """Vectorised word and shingle hashes of UTF-8 texts (numpy, inside tasks).
 
 Words are runs of bytes that are not ASCII white space, so they can be
-found on the UTF-8 bytes.  A word's hash is a polynomial over its bytes
-modulo 2**64 with per-byte random values, mixed at the end: sums over a
-prefix table give every word at once.  Texts are handled in pieces of
-about a megabyte cut at white space, so memory does not follow the length
-of a text.
+found on the UTF-8 bytes.  A word's hash is the sum, modulo 2**64, of its
+bytes' random values times a random number of their place (longer words
+than the table of places: BLAKE2b), mixed at the end.  Places have unrelated numbers, so
+no pattern of repeated letters makes two words collide whatever the
+numbers are, as it does for polynomials modulo a power of two.  Two
+different words, or windows, agree with a probability of about 2**-60.
+Texts are handled in pieces of about a megabyte cut at white space, so
+memory does not follow the length of a text.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,30 +22,15 @@ import pyarrow as pa
 from .bloom import mix64
 
 PIECE = 1 << 20
-_BASE = 0x9E3779B97F4A7C15 | 1
-_VALUES = mix64(np.arange(1, 257, dtype=np.uint64))
-_INVERSE = pow(_BASE, -1, 1 << 64)
+PLACES = 1 << 12
+_VALUES = mix64(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+_AT = mix64(np.arange(1 << 32, (1 << 32) + PLACES, dtype=np.uint64)) | np.uint64(1)
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(PIECE, 1 << (n - 1).bit_length())
-    if size not in _powers:
-        tables = []
-        for factor in (_BASE, _INVERSE):
-            steps = np.full(size, factor, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        _powers[size] = (tables[0], tables[1])
-    return _powers[size]
-
-
 def _piece_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of one piece; a word ends at a break."""
     word = np.zeros(len(data) + 1, dtype=bool)
@@ -53,10 +42,17 @@ def _piece_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     start[inner] = word[inner]
     stop[inner - 1] = word[inner - 1]
     starts, ends = np.flatnonzero(start[:-1]), np.flatnonzero(stop) + 1
-    powers, inverse = _power_tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_VALUES[data] * powers[:len(data)], out=sums[1:])
-    return starts, ends, mix64((sums[ends] - sums[starts]) * inverse[starts])
+    if not len(starts):
+        return starts, ends, np.empty(0, dtype=np.uint64)
+    sizes = ends - starts
+    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
+    values = _VALUES[data[word[:-1]]] * _AT[place & (PLACES - 1)]
+    hashes = np.add.reduceat(values, offsets) + sizes.astype(np.uint64)
+    for i in np.flatnonzero(sizes > PLACES):
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return starts, ends, mix64(hashes)
 
 
 def _cut(data: np.ndarray, at: int) -> int:
@@ -90,8 +86,7 @@ def windows(hashes: np.ndarray, k: int) -> np.ndarray:
         return np.empty(0, dtype=np.uint64)
     total = np.zeros(n, dtype=np.uint64)
     for j in range(k):
-        total *= np.uint64(_BASE)
-        total += hashes[j:j + n]
+        total += _AT[PLACES - 1 - j] * hashes[j:j + n]
     return mix64(total + np.uint64(k))
 
 
