@@ -90,11 +90,11 @@ WITH pieces AS (
 ), candidates AS (
   SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM counts WHERE k >= 2 AND f >= 10
 ), cuts AS (
-  SELECT c.lang, c.k, c.phrase, c.a, cut, x.f AS l, y.f AS r,
+  SELECT c.lang, c.phrase, c.a, cut, x.f AS l, y.f AS r,
          (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
-  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates) c
+  FROM (SELECT *, unnest(range(1, candidates.k)) AS cut FROM candidates) c
   JOIN counts x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:cut], ' ')
-  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:k], ' ')
+  JOIN counts y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[cut + 1:c.k], ' ')
 ), best AS (
   SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
 ), longer AS (
