@@ -30,6 +30,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 from itertools import chain
 
 import numpy as np
@@ -46,9 +47,11 @@ LEAST = 10
 TOP = 2000
 HALF = 50              # percent of a phrase's count that makes a longer one absorb it
 BURST = 1 << 12        # entries of a container before it bursts
-ENTRIES = 1 << 20      # entries of a trie before subtrees are spilled
-WORDS = 1 << 19        # words of a task's dictionary before all is spilled
-PIECE = 1 << 20        # bytes of text entered at a time
+ENTRIES = 3 << 18      # entries of a trie before subtrees are spilled
+WORDS = 1 << 18        # words of a task's dictionary before all is spilled
+BITS = 21              # of a word's rank in a run
+LAST = (1 << BITS) - 1
+PIECE = 1 << 19        # bytes of text entered at a time
 SLICE = 1 << 19        # entries merged at a time
 SALTS = 16
 LOAD_BYTES = 32 << 20  # text bytes a prefix partition stands for, at most
@@ -78,9 +81,9 @@ class Trie:
         path = np.where(deep, first << 31 | second, first)
         rest = np.where(deep, third, second << 31 | third)
         boxes, new, touched = self.boxes, 0, set()
+        find = boxes.get
         for p, r in zip(path.tolist(), rest.tolist()):
-            box = boxes.get(p)
-            if box is None:
+            if (box := find(p)) is None:
                 boxes[p] = {r: 1}
                 new += 1
             elif r in box:
@@ -175,7 +178,7 @@ class Counter:
             self.trie.add(ids[:-2][held], second[held], third[held])
             if len(self.texts) > WORDS:
                 yield from self.spill(0)
-                self._clear()
+                self._clear()                         # numbers stay below 2**BITS
             elif self.trie.entries > ENTRIES:
                 yield from self.spill(ENTRIES // 2)
 
@@ -183,11 +186,9 @@ class Counter:
         """The rest of the trie and the word totals."""
         yield from self.spill(0)
         if self.totals:
-            langs = sorted(self.totals)
-            rows = pa.RecordBatch.from_arrays(
-                [pa.array(langs, pa.string()), pa.array([b""] * len(langs), pa.binary()),
-                 pa.array([self.totals[x] for x in langs], pa.int64())], names=["lang", "phrase", "f"])
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([_pack(0, rows)], pa.binary())],
+            run = _pack(0, [], np.array(list(self.totals.values())), 
+                        Texts([(lang, b"") for lang in self.totals]))
+            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([run], pa.binary())],
                                              names=["part", "run"])
 
     def spill(self, leave: int):
@@ -195,34 +196,38 @@ class Counter:
         if not len(first):
             return
         # Numbers become ranks in the order of (lang, word), so that runs are sorted by text.
-        used = np.unique(np.concatenate([first, second, third, [0]]))
-        texts = [self.texts[i] for i in used.tolist()]
-        order = sorted(range(len(texts)), key=lambda i: (i > 0, texts[i]))
-        rank = np.empty(len(used), dtype=np.int64)
-        rank[order] = np.arange(len(used))
-        langs = pa.array([texts[i][0] for i in order]).dictionary_encode()
-        words = pa.array([texts[i][1] for i in order], pa.binary())
-        mixed = _hashes([texts[i][1] for i in order])
-        # Bytes below the blank would put joined phrases in another order than their words.
-        plain = all(min(text) > 0x20 for _, text in texts)
-        a, b, c = (rank[np.searchsorted(used, x)] for x in (first, second, third))
+        held = np.zeros(len(self.texts), dtype=bool)
+        for numbers in (first, second, third):
+            held[numbers] = True
+        held[0] = False
+        used = np.flatnonzero(held)
+        own = [self.texts[i] for i in used.tolist()]
+        number = {lang: i.to_bytes(4, "big") for i, lang in enumerate(sorted({lang for lang, _ in own}))}
+        keys = [number[lang] + word for lang, word in own]
+        order = sorted(range(len(keys)), key=keys.__getitem__)
+        texts = [("", b""), *[own[i] for i in order]]
+        rank = np.zeros(len(self.texts), dtype=np.int64)
+        rank[used[order]] = np.arange(1, len(texts))
+        mixed, packed = _hashes([word for _, word in texts]), Texts(texts)
+        key = rank[first] << 2 * BITS | rank[second] << BITS | rank[third]
+        order = np.argsort(key)
+        key, count = key[order], count[order]
         for k in (1, 2, 3):
-            held = slice(None) if k == 1 else (b if k == 2 else c) > 0
-            columns = [x[held] for x in (a, b, c)[:k]]
-            if not len(columns[0]):
+            own = key >> (3 - k) * BITS
+            whole = (own & LAST) > 0                  # none of the k words is the end of a piece
+            if not whole.any():
                 continue
-            order = np.lexsort(columns[::-1])
-            columns = [x[order] for x in columns]
-            starts = np.flatnonzero(np.concatenate([[True], np.any([x[1:] != x[:-1] for x in columns], axis=0)]))
-            sums = np.add.reduceat(count[held][order], starts)
-            columns = [x[starts] for x in columns]
+            own, n = own[whole], count[whole]
+            starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+            own, sums = own[starts], np.add.reduceat(n, starts)
+            columns = [own >> (k - 1 - i) * BITS & LAST for i in range(k)]
             prefix = mixed[columns[0]]
             if k > 1:
                 prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + mixed[columns[1]]
             if k > 2:
                 prefix += mixed[columns[2]] % np.uint64(SALTS)
             part = (_spread(prefix) % np.uint64(self.parts)).astype(np.int64)
-            yield from _runs(k, part, columns, sums, langs, words, plain)
+            yield from _runs(k, part, columns, sums, packed)
 
 
 def _spread(values: np.ndarray) -> np.ndarray:
@@ -237,37 +242,84 @@ def _hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
-def _runs(k: int, part: np.ndarray, columns: list[np.ndarray], sums: np.ndarray, langs: pa.Array, words: pa.Array,
-          plain: bool):
+def _runs(k: int, part: np.ndarray, columns: list[np.ndarray], sums: np.ndarray, texts: Texts):
     """One sorted run for every partition that has phrases."""
     order = np.argsort(part, kind="stable")          # keeps the phrases sorted within a partition
     part, sums = part[order], sums[order]
     columns = [x[order] for x in columns]
-    for at in range(0, len(part), SLICE):
-        piece = slice(at, at + SLICE)
-        own = part[piece]
-        texts = [pc.take(words, pa.array(x[piece])) for x in columns]
-        phrase = pc.binary_join_element_wise(*texts, pa.scalar(b" ")) if k > 1 else texts[0]
-        lang = pc.take(langs, pa.array(columns[0][piece])).cast(pa.string())
-        batch = pa.RecordBatch.from_arrays([lang, phrase, pa.array(sums[piece])], names=["lang", "phrase", "f"])
-        starts = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
-        ends = np.append(starts[1:], len(own))
-        pieces = [batch.slice(s, e - s) for s, e in zip(starts.tolist(), ends.tolist())]
-        bodies = [_pack(k, p if plain else p.sort_by([("lang", "ascending"), ("phrase", "ascending")])) for p in pieces]
-        yield pa.RecordBatch.from_arrays([pa.array(own[starts], pa.int32()), pa.array(bodies, pa.binary())],
-                                         names=["part", "run"])
-
-
-def _pack(k: int, batch: pa.RecordBatch) -> bytes:
-    """Phrase length, then the rows as a compressed stream."""
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_batch(batch)
-    return bytes([k]) + sink.getvalue().to_pybytes()
+    starts = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+    ends = np.append(starts[1:], len(part))
+    for at in range(0, len(starts), 64):
+        cuts = list(zip(starts[at:at + 64].tolist(), ends[at:at + 64].tolist()))
+        bodies = [_pack(k, [x[s:e] for x in columns], sums[s:e], texts) for s, e in cuts]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part[starts[at:at + 64]], pa.int32()), pa.array(bodies, pa.binary())], names=["part", "run"])
+
+
+def _narrow(values: np.ndarray) -> tuple[int, bytes]:
+    """Width in bytes and little-endian bytes of unsigned numbers."""
+    most = int(values.max()) if len(values) else 0
+    width = 1 if most < 1 << 8 else 2 if most < 1 << 16 else 4 if most < 1 << 32 else 8
+    return width, values.astype(f"<u{width}").tobytes()
+
+
+class Texts:
+    """Langs and words of a spill, by rank."""
+
+    def __init__(self, texts: list[tuple[str, bytes]]):
+        self.names = list(dict.fromkeys(lang for lang, _ in texts))
+        number = {lang: i for i, lang in enumerate(self.names)}
+        self.lang = np.array([number[lang] for lang, _ in texts], dtype=np.int64)
+        self.words = pa.array([word for _, word in texts], pa.large_binary())
+
+    def of(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+        """Lang numbers, sizes and joined bytes of some words."""
+        words = pc.take(self.words, pa.array(ranks))
+        offsets = np.frombuffer(words.buffers()[1], dtype=np.int64, count=len(words) + 1)
+        data = words.buffers()[2]
+        return self.lang[ranks], np.diff(offsets), data.to_pybytes()[:offsets[-1]] if data else b""
+
+
+def _pack(k: int, columns: list[np.ndarray], sums: np.ndarray, texts: Texts) -> bytes:
+    """Phrase length, then compressed: a header, the run's own words, each phrase by their numbers, the counts."""
+    import zstandard
+
+    used, codes = np.unique(np.concatenate(columns), return_inverse=True) if k else (np.arange(len(sums)), None)
+    langs, sizes, words = texts.of(used)
+    # The first words are sorted: their steps are small.
+    codes = [np.diff(c, prepend=0) if i == 0 else c for i, c in enumerate(np.split(codes, k))] if k else []
+    packed = [_narrow(x) for x in (langs, sizes, *codes, sums)]
+    header = json.dumps([len(used), len(sums), len(words), texts.names, [w for w, _ in packed]]).encode()
+    body = b"".join([len(header).to_bytes(4, "little"), header, words, *[b for _, b in packed]])
+    return bytes([k]) + zstandard.compress(body, 3)
 
 
 def _unpack(run: bytes) -> pa.Table:
-    return pa.ipc.open_stream(pa.py_buffer(run)[1:]).read_all().combine_chunks()
+    """(lang, phrase, f) of a run, in its order."""
+    import zstandard
+
+    k, body = run[0], zstandard.decompress(run[1:])
+    at = 4 + int.from_bytes(body[:4], "little")
+    n_words, n, size, names, widths = json.loads(body[4:at])
+    data = pa.py_buffer(body)[at:at + size]
+    at += size
+    arrays = []
+    for i, width in enumerate(widths):
+        count = n if i > 1 else n_words
+        arrays.append(np.frombuffer(body, dtype=f"<u{width}", count=count, offset=at).astype(np.int64))
+        at += count * width
+    lang_of, sizes, *codes, f = arrays
+    if k == 0:
+        phrase, first = pa.array([b""] * n, pa.large_binary()), np.arange(n)
+    else:
+        codes[0] = np.cumsum(codes[0])
+        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))))
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n_words, [None, offsets.buffers()[1], data])
+        texts = [pc.take(words, pa.array(c)) for c in codes]
+        phrase = pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.large_binary())) if k > 1 else texts[0]
+        first = codes[0]
+    lang = pc.take(pa.array(names, pa.string()), pa.array(lang_of[first]))
+    return pa.table({"lang": lang, "phrase": phrase, "f": f})
 
 
 def merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
@@ -300,7 +352,7 @@ def _slices(runs: list[pa.Table]):
         yield pa.concat_tables(runs)
         return
     step = max(1, total // (len(runs) * 16))
-    sample = sorted({(r["lang"][i].as_py(), r["phrase"][i].as_py()) for r in runs for i in range(0, len(r), step)})
+    sample = sorted({_key(r, i) for r in runs for i in range(0, len(r), step)})
     every = max(1, len(sample) * SLICE // total)
     bounds = sample[every::every]
     at = [0] * len(runs)
@@ -312,12 +364,16 @@ def _slices(runs: list[pa.Table]):
         at = ends
 
 
-def _first_at_least(run: pa.Table, bound: tuple[str, bytes], low: int) -> int:
+def _key(run: pa.Table, i: int) -> tuple:
+    """Lang and words of an entry, in whose order runs are sorted."""
+    return run["lang"][i].as_py(), tuple(run["phrase"][i].as_py().split(b" "))
+
+
+def _first_at_least(run: pa.Table, bound: tuple, low: int) -> int:
     high = len(run)
     while low < high:
         middle = (low + high) // 2
-        key = (run["lang"][middle].as_py(), run["phrase"][middle].as_py())
-        low, high = (middle + 1, high) if key < bound else (low, middle)
+        low, high = (middle + 1, high) if _key(run, middle) < bound else (low, middle)
     return low
 
 
