@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_alphabet
-from .common import small_batches, stage
+from .common import small_batches, stage, trimmed
 
 UNITS = 1 << 17        # units remembered by a task
 LONG = 48              # characters beyond which a unit is not remembered
@@ -221,7 +221,7 @@ def encode_links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
                      pa.array(pairs, pa.binary())],
                     names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "exact", "pairs"])
 
-    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(run, ENCODED)
+    return docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(trimmed(run), ENCODED)
 
 
 def _joined(column: pa.Array, dtype: str) -> np.ndarray:
@@ -248,7 +248,7 @@ def link_counts(encoded: DataFrame, same: np.ndarray, exact_type: str) -> DataFr
                 [pa.array(codes[part] % size), pa.array(codes[part] // size), pa.array(n[part])],
                 names=["a", "b", "n"])
 
-    partial = encoded.select("exact", "pairs").mapInArrow(run, "a bigint, b bigint, n bigint")
+    partial = encoded.select("exact", "pairs").mapInArrow(trimmed(run), "a bigint, b bigint, n bigint")
     return partial.groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
@@ -288,4 +288,4 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
                 [*batch.columns[:5], pa.array(bests, pa.int64()), pa.array(sums, pa.int64()), batch.column(5)],
                 names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"])
 
-    return encoded.mapInArrow(run, RESULT)
+    return encoded.mapInArrow(trimmed(run), RESULT)

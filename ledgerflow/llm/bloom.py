@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import trimmed
+
 SEGMENT_BITS = 1 << 16
 SEGMENT_BYTES = SEGMENT_BITS // 8
 MAX_BITS = 1 << 28
@@ -89,7 +91,7 @@ def build(hashes: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
                              "twice": [zlib.compress(twice.tobytes(), 1)]})
 
     schema = "segment int, task int, once binary, twice binary"
-    parts = hashes.mapInArrow(local, schema)
+    parts = hashes.mapInArrow(trimmed(local), schema)
     parts = (parts.groupBy("segment", F.floor(F.col("task") / MERGE_FAN_IN).alias("bunch"))
              .applyInPandas(merge, schema))
     parts = parts.groupBy("segment").applyInPandas(merge, schema)

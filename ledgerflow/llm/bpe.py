@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import small_batches, trimmed
 
 PIECE = 1 << 20        # characters
 CACHE = 1 << 18        # pre-tokens remembered by a task
@@ -182,7 +182,7 @@ def encode_texts(docs: DataFrame, vocabulary: str, pattern: str, text_col: str =
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(sizes), ids],
                                                  names=[f.name for f in schema.fields])
 
-    return docs.select(*kept, F.col(text_col).cast("string").alias("__text")).mapInArrow(run, schema)
+    return docs.select(*kept, F.col(text_col).cast("string").alias("__text")).mapInArrow(trimmed(run), schema)
 
 
 def decode_ids(encoded: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids",
@@ -201,7 +201,7 @@ def decode_ids(encoded: DataFrame, vocabulary: str, pattern: str, ids_col: str =
                 yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(decoded, pa.binary())],
                                                  names=[f.name for f in schema.fields])
 
-    return encoded.select(*kept, F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
+    return encoded.select(*kept, F.col(ids_col).alias("__ids")).mapInArrow(trimmed(run), schema)
 
 
 def _ids_of(scalar: pa.ListScalar) -> np.ndarray:
@@ -226,5 +226,4 @@ def digests(encoded: DataFrame, vocabulary: str, pattern: str, with_ids: bool =
                 names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             yield found.append_column("ids", batch.column(2)) if with_ids else found
 
-    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(
-        run, schema + ", ids array<int>" if with_ids else schema)
+    return encoded.select("doc_id", "n_tokens", "ids").mapInArrow(trimmed(run), schema + ", ids array<int>" if with_ids else schema)

@@ -42,6 +42,35 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(BATCH_BYTES))
 
 
+def trimmed(run):
+    """``run`` for mapInArrow, giving its free memory back to the system at the end.
+
+    Spark keeps Python workers for later tasks; without this each of them
+    keeps the peak of every step it has run.
+    """
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return wrapped
+
+
+def release_memory() -> None:
+    """Give freed memory of Arrow and of the C library back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def ascii_lower(column: Column) -> Column:
     """Lower-case A-Z only; other letters stay as they are."""
     return F.translate(column, UPPER, UPPER.lower())

@@ -20,10 +20,15 @@ mask are seeded whole, with a mask of their own length.
 Words are runs of ASCII letters, digits and non-ASCII characters, all
 lower-cased.
 
-Scale: seeds are made inside the row and only (document, position, seed)
-is exploded.  The benchmark's seeds are broadcast behind a check of their
-number and joined by shuffle beyond it, and so are the keys of the
-documents with hits; only those documents are read a second time.
+Scale: a window can only be hit where its first two words, which every
+mask heeds, follow each other in some item.  A bitmap of the items' word
+pairs (``MOST_BITS`` at most, part of the plan) tells that inside the row,
+so seeds are made at those places only, and only they are exploded.  A large
+benchmark fills the bitmap: more seeds are made, none is lost.  The
+benchmark's seeds are broadcast behind a check of their number and joined
+by shuffle beyond it, and so are the keys of the documents with hits; only
+those documents are read a second time.  Diagonals are scored inside the
+row of their document and item.  Texts of any length are compared whole.
 
 Defined results: null or blank texts have no words and match nothing; null
 ids are kept as they are.  Documents that agree in id and text are
@@ -42,6 +47,7 @@ from .common import alnum_words, stage, text_or_empty
 MASKS = ("11011011", "1110010111", "1110111")
 MIN_AGREE = 10
 MISMATCH = -2
+MOST_BITS = 1 << 20         # of the word pair bitmap
 BROADCAST_SEEDS = 500_000   # rows of about 40 bytes
 BROADCAST_KEYS = 100_000
 
@@ -50,12 +56,14 @@ def _words(text: Column) -> Column:
     return alnum_words(text, F.lower)
 
 
+def _seed(hashes: Column, mask: str, i: Column) -> Column:
+    return F.xxhash64(F.lit(mask), *[F.get(hashes, i + j) for j, c in enumerate(mask) if c == "1"])
+
+
 def _seed_array(hashes: Column, mask: str) -> Column:
     """Seed of every window under the mask, in order of position."""
     last = F.size(hashes) - len(mask)
-    seed = lambda i: F.xxhash64(F.lit(mask), *[
-        F.get(hashes, i + j) for j, c in enumerate(mask) if c == "1"])
-    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), seed)).otherwise(
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: _seed(hashes, mask, i))).otherwise(
         F.array().cast("array<bigint>"))
 
 
@@ -67,6 +75,46 @@ def _exploded_seeds(rows: DataFrame, masks: tuple[str, ...], keep: list[str]) ->
     return hashed.select(*keep, F.inline(seeds))
 
 
+def _pairs(hashes: Column) -> Column:
+    """Hash of every two consecutive words."""
+    last = F.size(hashes) - 2
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(
+        F.get(hashes, i), F.get(hashes, i + 1)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _pair_bitmap(items: DataFrame) -> tuple[Column, int]:
+    """Constant array of 64-bit numbers with the bits of the items' word pairs, and the number of bits."""
+    pairs = items.select(F.explode(_pairs(F.transform("words", lambda w: F.xxhash64(w)))).alias("pair")).distinct()
+    bits = 1 << 12
+    while bits < min(MOST_BITS, 16 * pairs.count()):
+        bits *= 2
+    slot = F.pmod("pair", F.lit(bits))
+    rows = pairs.groupBy(F.floor(slot / 64).alias("at")).agg(F.bit_or(F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), (slot % 64).cast("int"))).alias("word")).collect()
+    words = ["0"] * (bits // 64)
+    for row in rows:
+        words[row["at"]] = str(row["word"])
+    return F.split(F.lit(",".join(words)), ",").cast("array<bigint>"), bits
+
+
+def _likely_seeds(rows: DataFrame, items: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` + (at, seed): seeds under MASKS at the places where an item's word pair stands."""
+    bitmap, bits = _pair_bitmap(items)
+    hashed = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+
+    def listed(pair):
+        slot = F.pmod(pair, F.lit(bits))
+        word = F.get(bitmap, F.floor(slot / 64).cast("int"))
+        return F.call_function("shiftright", word, (slot % 64).cast("int")).bitwiseAND(F.lit(1).cast("bigint")) == 1
+
+    places = F.filter(F.transform(_pairs(F.col("hashes")), lambda pair, i: F.when(listed(pair), i)),
+                      lambda i: i.isNotNull())
+    placed = hashed.select(*keep, "hashes", places.alias("places")).filter(F.size("places") > 0)
+    seeds = F.flatten(F.transform("places", lambda i: F.array(*[F.struct(i.alias("at"), F.when(
+        i + len(m) <= F.size("hashes"), _seed(F.col("hashes"), m, i)).alias("seed")) for m in MASKS])))
+    return placed.select(*keep, F.inline(F.filter(seeds, lambda s: s["seed"].isNotNull())))
+
+
 def _bounded(df: DataFrame, most_rows: int) -> DataFrame:
     """Broadcast hint where the staged table is known to be small."""
     return F.broadcast(df) if df.count() <= most_rows else df
@@ -108,7 +156,7 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     shortest = min(map(len, MASKS))
     short = sorted(r[0] for r in items.select(F.size("words").alias("n"))
                    .filter(F.col("n") < shortest).distinct().collect())   # fewer than a mask's length
-    masks = MASKS + tuple("1" * n for n in short)
+    whole_masks = tuple("1" * n for n in short)
     # An item gets the short mask of its own length only.
     whole = F.size("words") < shortest
     seeds = [_exploded_seeds(items.filter(~whole), MASKS, ["item_id"])]
@@ -120,8 +168,11 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_or_empty(text_col)).alias("text_key"),
                        _words(F.col(text_col)).alias("words"))
-    hits = (_exploded_seeds(rows, masks, ["doc_id", "text_key"])
-            .join(_bounded(index, BROADCAST_SEEDS), "seed")
+    keys = ["doc_id", "text_key"]
+    seeds = _likely_seeds(rows, items, keys)
+    if whole_masks:
+        seeds = seeds.unionByName(_exploded_seeds(rows, whole_masks, keys))
+    hits = (seeds.join(_bounded(index, BROADCAST_SEEDS), "seed")
             .groupBy("doc_id", "text_key", "item_id").agg(
                 F.collect_set(F.col("at") - F.col("item_at")).alias("diagonals")))
     hits = stage(hits, "bench-hits")
@@ -136,9 +187,9 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
     pairs = hits.withColumnsRenamed({"doc_id": "d1", "text_key": "d2"}).join(
         found, F.col("d1").eqNullSafe(F.col("doc_id")) & (F.col("d2") == F.col("text_key"))).join(
         items.withColumnsRenamed({"item_id": "i1", "words": "item"}), F.col("item_id").eqNullSafe(F.col("i1")))
-    best = pairs.withColumn("diagonal", F.explode("diagonals")).select(
-        "doc_id", "text_key", "item_id", "diagonal", F.size("item").alias("item_words"),
-        _best_stretch(F.col("doc"), F.col("item"), F.col("diagonal")).alias("b"))
+    scored = F.transform("diagonals", lambda d: F.struct(
+        d.alias("diagonal"), _best_stretch(F.col("doc"), F.col("item"), d).alias("b")))
+    best = pairs.select("doc_id", "text_key", "item_id", F.size("item").alias("item_words"), F.inline(scored))
     needed = F.least(F.lit(MIN_AGREE), F.ceil(F.col("item_words") * 4 / F.lit(5)))
     return best.filter(F.col("b.top_agree") >= needed).select(
         "doc_id", "text_key", "item_id", (F.col("b.top_start") + F.col("diagonal")).alias("doc_start"),

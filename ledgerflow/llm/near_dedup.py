@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import small_batches, stage
+from .common import small_batches, stage, trimmed
 from .components import components
 from .texthash import documents, windows
 
@@ -89,7 +89,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                  _lists_array(sketches)], names=["doc_id", "n_shingles", "digest", "sketch"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
-                       F.col(text_col).alias("text")).mapInArrow(run, SIGNATURE)
+                       F.col(text_col).alias("text")).mapInArrow(trimmed(run), SIGNATURE)
 
 
 def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -> DataFrame:
@@ -112,7 +112,7 @@ def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -
                     held, first, size = [], row + 1, 0
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-            .filter("doc_id IS NOT NULL").mapInArrow(run, "rep bigint, n bigint, set array<bigint>"))
+            .filter("doc_id IS NOT NULL").mapInArrow(trimmed(run), "rep bigint, n bigint, set array<bigint>"))
 
 
 def estimate_passes(a: Column, b: Column, percent: int = PERCENT) -> Column:

@@ -45,7 +45,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import small_batches, stage
+from .common import small_batches, stage, trimmed
 from .components import components
 from .texthash import documents, windows
 
@@ -111,7 +111,7 @@ def signed_heads(texts: DataFrame, percent: int) -> DataFrame:
                         names=["doc_id", "n_shingles", "digest", "head"])
                     sizes, digests, heads, first, held = [], [], [], row + 1, 0
 
-    return texts.mapInArrow(run, SIGNED)
+    return texts.mapInArrow(trimmed(run), SIGNED)
 
 
 def open_documents(signed: DataFrame, percent: int) -> DataFrame:
@@ -140,7 +140,7 @@ def open_documents(signed: DataFrame, percent: int) -> DataFrame:
             kept = batch.filter(pa.array(keep))
             yield pa.RecordBatch.from_arrays([*kept.columns[:3], _arrays(parts)], names=["doc_id", "digest", "n", "head"])
 
-    likely = stage(rows.mapInArrow(run, "doc_id bigint, digest binary, n bigint, head array<bigint>"), "join-likely")
+    likely = stage(rows.mapInArrow(trimmed(run), "doc_id bigint, digest binary, n bigint, head array<bigint>"), "join-likely")
     floor = (F.floor((F.col("n") * percent + 99) / 100 / 16) + 1).cast("bigint")
     found = (likely.select("doc_id", "digest", "n", F.explode("head").alias("h")).join(often, "h", "left_semi")
              .groupBy("doc_id", "digest", "n").count().filter(F.col("count") >= floor))
@@ -158,7 +158,7 @@ def class_sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
             digests = np.array([int.from_bytes(d.as_buffer()[:8], "little") for d in batch.column(1)], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([pa.array(mark(ids, digests).view(np.int64))], names=["mark"])
 
-    bitmap, _ = bloom.build(classes.select("rep", "digest").mapInArrow(marks, "mark bigint"), classes.count())
+    bitmap, _ = bloom.build(classes.select("rep", "digest").mapInArrow(trimmed(marks), "mark bigint"), classes.count())
     ids, _ = bloom.build(classes.select("rep"), classes.count())
     shared = texts.sparkSession.sparkContext.broadcast((bitmap, ids))
 
@@ -183,7 +183,7 @@ def class_sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
                         names=["digest", "n", "set"])
                     held, digests, size = [], [], 0
 
-    return texts.filter("doc_id IS NOT NULL").mapInArrow(run, "digest binary, n bigint, set array<bigint>")
+    return texts.filter("doc_id IS NOT NULL").mapInArrow(trimmed(run), "digest binary, n bigint, set array<bigint>")
 
 
 def prefix_index(sets: DataFrame, percent: int) -> DataFrame:
@@ -215,7 +215,7 @@ def prefix_index(sets: DataFrame, percent: int) -> DataFrame:
                     [pa.array(out[0], pa.binary()), *[pa.array(np.concatenate(c)) for c in out[1:]]],
                     names=["digest", "n", "h", "at", "cells0", "cells1"])
 
-    return stage(shared.mapInArrow(run, INDEX), "join-index")
+    return stage(shared.mapInArrow(trimmed(run), INDEX), "join-index")
 
 
 def _filters(x: str, y: str, percent: int) -> Column:

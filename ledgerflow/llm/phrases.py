@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches, stage, text_or_empty
+from .common import small_batches, stage, text_or_empty, trimmed
 
 LEAST = 10
 TOP = 2000
@@ -394,7 +394,7 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
                 yield from counter.enter(lang, b".".join([t for x, t in zip(langs, texts) if x == lang]))
         yield from counter.finish()
 
-    runs = rows.mapInArrow(count, RUN)
+    runs = rows.mapInArrow(trimmed(count), RUN)
     counted = runs.groupBy("part").applyInPandas(merge_runs, COUNTED)
     return stage(counted, "phrase-counts")
 

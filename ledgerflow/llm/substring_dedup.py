@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stage, text_or_empty
+from .common import small_batches, stage, text_or_empty, trimmed
 from .texthash import documents, windows
 
 WINDOW = 20
@@ -86,7 +86,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
                     "body": pa.array([_pack(part.column(0), part.column(1))], pa.binary())})
                 number, at, done = number + 1, end, int(sizes[end - 1])
 
-    return docs.mapInArrow(run, "chunk bigint, bytes bigint, body binary")
+    return docs.mapInArrow(trimmed(run), "chunk bigint, bytes bigint, body binary")
 
 
 # -- step 2: reference blocks and rolling probes ----------------------------
@@ -133,7 +133,7 @@ def _probes(chunks: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield send(held, names)
 
-    return chunks.select("chunk", "body").mapInArrow(run, "bucket int, chunk bigint, entries binary")
+    return chunks.select("chunk", "body").mapInArrow(trimmed(run), "bucket int, chunk bigint, entries binary")
 
 
 def _hits_of_bucket(frame: pd.DataFrame) -> pd.DataFrame:

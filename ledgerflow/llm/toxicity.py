@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import small_batches, stage
+from .common import small_batches, stage, trimmed
 
 FEATURES = 1 << 18
 ORDERS = (3, 4, 5)
@@ -94,7 +94,7 @@ def _slot_counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             [pa.array(used.astype(np.int32)), pa.array(counts[0, used]), pa.array(counts[1, used])],
             names=["slot", "neg", "pos"])
 
-    totals = (training.select("text", "toxic").mapInArrow(run, "slot int, neg bigint, pos bigint")
+    totals = (training.select("text", "toxic").mapInArrow(trimmed(run), "slot int, neg bigint, pos bigint")
               .groupBy("slot").agg(F.sum("neg").alias("neg"), F.sum("pos").alias("pos"))).toPandas()
     counts = np.zeros((2, FEATURES + 1))
     counts[0, totals["slot"]] = totals["neg"]
@@ -132,7 +132,7 @@ def _fit_sample(training: DataFrame, ratios: np.ndarray, rows: np.ndarray) -> pd
     near = [int(min(1.0, 1.2 * FIT_ROWS / n) * (1 << 32)) for n in rows]
     chosen = (training.select("text", "toxic", F.xxhash64("doc_id").alias("h"))
               .filter(F.pmod("h", F.lit(1 << 32)) < F.when(toxic, near[1]).otherwise(near[0]))
-              .mapInArrow(run, "toxic int, h bigint, slots array<int>"))
+              .mapInArrow(trimmed(run), "toxic int, h bigint, slots array<int>"))
     chosen = stage(chosen, "toxic-sample")
     order = [F.pmod("h", F.lit(1 << 32)), F.col("h")]
     parts = [chosen.filter(c).orderBy(*order).limit(FIT_ROWS) for c in (~toxic, toxic)]
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str = "doc_i
     doc_id = F.col(id_col).cast("bigint")
     return (docs.select(doc_id.alias("doc_id"), is_held_out(doc_id).alias("held_out"),
                         F.col(text_col).alias("text"))
-            .mapInArrow(run, "doc_id bigint, held_out boolean, score double")
+            .mapInArrow(trimmed(run), "doc_id bigint, held_out boolean, score double")
             .withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int")))
 
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import small_batches, stage
+from .common import small_batches, stage, trimmed
 
 DICTIONARY_MAGIC = 0x184D2A5D        # skippable frame that holds the dictionary
 FRAME_MAGIC = 0xFD2FB528
@@ -177,7 +177,7 @@ def write_archives(marked: DataFrame, folder: str) -> DataFrame:
     # The folder must exist before executors open files in it.
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-    return stage(marked.mapInArrow(run, MANIFEST), "warc-manifest")
+    return stage(marked.mapInArrow(trimmed(run), MANIFEST), "warc-manifest")
 
 
 def _frames(stream) -> Iterator[bytes | None]:
@@ -275,7 +275,7 @@ def read_archives(spark: SparkSession, manifest: DataFrame, payloads: bool = Tru
                     yield pa.RecordBatch.from_pylist(rows, arrow)
 
     archives = manifest.select("archive")
-    return archives.repartition(max(1, min(archives.count(), 10_000))).mapInArrow(run, schema)
+    return archives.repartition(max(1, min(archives.count(), 10_000))).mapInArrow(trimmed(run), schema)
 
 
 def roundtrip(pages: DataFrame) -> DataFrame:
