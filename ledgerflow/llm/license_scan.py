@@ -8,9 +8,10 @@ position minus the template position.
 - A base phrase or a short statement stands where one diagonal collects all
   its bigrams, which are then consecutive words: exact places.
 - For longer statements, neighbouring diagonals (up to ``DRIFT`` words apart, so
-  inserted or dropped words do not split a license text) are merged and
-  the span is verified: the share of distinct template bigrams found, with
-  a span not much longer than the template.
+  inserted or dropped words do not split a license text) are merged into a
+  band, and its best window is verified: of all stretches of the text not much
+  longer than the template, the one with the largest share of distinct
+  template bigrams.  A band may run on for as long as it likes.
 
 Words are ASCII lower-cased runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``.
 
@@ -21,14 +22,15 @@ templates are a list given by the caller; it is broadcast behind a check
 of its size and joined by shuffle beyond it.
 
 Defined results: a null or blank text has no words, no places, empty
-labels and score 0.  A null id is kept.  Rows that agree in id and text
-give one row.  Other columns are ignored.  An empty table gives an empty
+labels and score 0.  A null id is kept.  Rows that agree in id and text are
+scanned once and give a row each.  Texts of any length are scanned whole.
+Other columns are ignored.  An empty table gives an empty
 result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import alnum_words, text_or_empty
@@ -59,7 +61,7 @@ STATEMENTS = (
     ("licensed under cc by nd", "cc-by-nd"),
     ("all rights reserved", "all-rights-reserved"),
 )
-DRIFT = 3
+DRIFT = 3           # of a diagonal, and words a window may have beyond STRETCH
 COVERAGE = 0.75
 WHOLE_BELOW = 8   # statements of fewer bigrams must be found whole, in one place
 STRETCH = 1.5
@@ -76,9 +78,14 @@ def _template_grams(spark: SparkSession, base, statements) -> DataFrame:
     grams = words.select("template", "label", "base", exact.alias("exact"), n_grams.alias("n_grams"), F.posexplode(
         F.transform(F.sequence(F.lit(0), F.size("w") - 2), lambda i: F.xxhash64(
             F.get("w", i), F.get("w", i + 1)))).alias("gram_at", "gram"))
+    # At one place of a text so many bigrams of a template can stand.
+    often = grams.groupBy("template", "gram").count().groupBy("template").agg(
+        F.max("count").cast("int").alias("most"))
+    grams = grams.join(often, "template").select("template", "label", "base", "exact", "n_grams", "most",
+                                                 "gram_at", "gram")
     marker = spark.range(1).select(
         F.lit(MARKER).alias("template"), F.lit("").alias("label"), F.lit(False).alias("base"), F.lit(True).alias("exact"),
-        F.lit(1).alias("n_grams"), F.lit(-1).alias("gram_at"), _marker().alias("gram"))
+        F.lit(1).alias("n_grams"), F.lit(1).alias("most"), F.lit(-1).alias("gram_at"), _marker().alias("gram"))
     return marker.unionByName(grams)
 
 
@@ -86,12 +93,36 @@ def _marker():
     return F.xxhash64(F.lit("marker of a document"))
 
 
+def _best_window(diagonals: Column, n_grams: Column, most: Column) -> Column:
+    """struct(found, shorter, earlier, last) of a band's best window; diagonals are (diagonal, ats)."""
+    places = F.array_sort(F.flatten(F.transform(diagonals, lambda v: F.transform(v["ats"], lambda g: F.struct(
+        (v["diagonal"] + g).alias("at"), g.alias("gram"))))))
+    longest = _longest(n_grams)
+
+    def window(first: Column, i: Column) -> Column:
+        held = F.filter(F.slice(places, i + 1, longest * most), lambda p: p["at"] < first["at"] + longest)
+        grams = F.array_distinct(F.transform(held, lambda p: p["gram"]))
+        found = F.size(grams)
+        # The window ends where the last of its bigrams stands for the first time.
+        last = F.array_max(F.transform(grams, lambda g: F.array_min(F.transform(
+            F.filter(held, lambda p: p["gram"] == g), lambda p: p["at"]))))
+        return F.struct(found.alias("found"), (first["at"] - last).alias("shorter"), (-first["at"]).alias("earlier"),
+                        last.alias("last"))
+
+    return F.array_max(F.transform(places, window))
+
+
+def _longest(n_grams: Column) -> Column:
+    return (F.ceil(n_grams * F.lit(STRETCH)) + DRIFT).cast("int")
+
+
 def license_spans(docs: DataFrame, base=BASE, statements=STATEMENTS, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
     """One row per verified span, and one marker row (template -1) per document.
 
     (doc_id, text_key, n_words, template, label, base, first_word,
-    last_word, coverage); words count from 0.
+    last_word, coverage, copies); words count from 0.  A marker's copies
+    are the rows that agree in id and text.
     """
     grams = _template_grams(docs.sparkSession, base, statements)
     if sum(len(text.split()) for text, _ in (*base, *statements)) <= BROADCAST_GRAMS:
@@ -107,25 +138,30 @@ def license_spans(docs: DataFrame, base=BASE, statements=STATEMENTS, id_col: str
             .withColumn("diagonal", F.col("at") - 1 - F.col("gram_at"))
             .repartition("doc_id", "text_key"))
     votes = hits.groupBy("doc_id", "text_key", "n_words", "template", "label", "base", "exact",
-                         "n_grams", "diagonal").agg(F.collect_set("gram_at").alias("ats"),
-                                         F.min("at").alias("lo"), F.max("at").alias("hi"))
+                         "n_grams", "most", "diagonal").agg(
+        F.collect_set("gram_at").alias("ats"), F.min("at").alias("lo"), F.max("at").alias("hi"),
+        F.count("*").alias("votes"))
     # Exact phrases keep one group per diagonal; statements merge neighbours.
     along = Window.partitionBy("doc_id", "text_key", "template").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
     apart = F.col("exact") | gap.isNull() | (gap > DRIFT)
     merged = votes.withColumn("fresh", apart.cast("int")).withColumn("band", F.sum("fresh").over(along))
     spans = merged.groupBy("doc_id", "text_key", "n_words", "template", "label", "base", "exact",
-                           "n_grams", "band").agg(
+                           "n_grams", "most", "band").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("found"),
-        F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-    coverage = F.col("found") / F.col("n_grams")
-    length = F.col("hi") - F.col("lo") + 1
-    verified = (F.when(F.col("exact"), F.col("found") == F.col("n_grams"))
-                .otherwise((coverage >= COVERAGE) & (length <= F.ceil(F.col("n_grams") * F.lit(STRETCH)) + DRIFT)))
-    return spans.filter(verified | (F.col("template") == MARKER)).select(
+        F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.max("votes").alias("copies"),
+        F.collect_list(F.when(~F.col("exact"), F.struct("diagonal", "ats"))).alias("diagonals"))
+    enough = F.col("found") >= F.col("n_grams") * F.when(F.col("exact"), F.lit(1.0)).otherwise(F.lit(COVERAGE))
+    spans = spans.filter(enough).withColumn("w", F.when(~F.col("exact"), _best_window(
+        F.col("diagonals"), F.col("n_grams"), F.col("most"))))
+    # The first place of a window counts from 0, lo from 1 (the marker stands before the words).
+    own = lambda windowed, whole: F.when(F.col("exact"), whole).otherwise(windowed)
+    coverage = own(F.col("w.found"), F.col("found")) / F.col("n_grams")
+    return spans.filter(F.col("exact") | (coverage >= COVERAGE)).select(
         "doc_id", "text_key", "n_words", "template", "label", "base",
-        (F.col("lo") - 1).cast("bigint").alias("first_word"), F.col("hi").cast("bigint").alias("last_word"),
-        coverage.alias("coverage"))
+        own(-F.col("w.earlier"), F.col("lo") - 1).cast("bigint").alias("first_word"),
+        own(F.col("w.last") + 1, F.col("hi")).cast("bigint").alias("last_word"),
+        coverage.alias("coverage"), "copies")
 
 
 def license_scan(docs: DataFrame, **options) -> DataFrame:
@@ -143,4 +179,7 @@ def license_scan(docs: DataFrame, **options) -> DataFrame:
         F.max(F.when(placed, F.col("first_word"))).alias("last_word"),
         joined(F.when(placed, F.col("label"))).alias("base_labels"),
         joined(F.when(named, F.col("label"))).alias("labels"),
-        F.coalesce(F.max(F.when(named, F.col("coverage"))), F.lit(0.0)).alias("score")).drop("text_key")
+        F.coalesce(F.max(F.when(named, F.col("coverage"))), F.lit(0.0)).alias("score"),
+        F.max(F.when(~named, F.col("copies"))).alias("copies")).select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+        F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy")).drop("copy")

@@ -1,17 +1,18 @@
 """Line deduplication by site-relative frequency.
 
 Pages are grouped by host.  The pages of a host that contain a line,
-divided by the host's page total, is the line's ratio there; a line whose
-ratio exceeds ``RATIO`` on at least ``LEAST_PAGES`` pages is boilerplate of
-that host and is dropped from all its pages.  A line counts once a page;
+divided by the host's page total, is the line's ratio there; a line of two
+pages or more whose ratio exceeds ``RATIO`` is boilerplate of that host and
+is dropped from all its pages.  Rows of a host with the same text are one
+page, so exact copies do not make their own lines boilerplate.  A line counts once a page;
 lines are compared without surrounding ASCII white space; blank lines are
 neither counted nor dropped.
 
 Copies: with ``groups`` (``near_dedup.text_groups``) the texts of a group
 are one page of their host, in a line's count and in the host's total, so a
 document with many exact or near copies does not make its own body
-boilerplate.  The pipeline counts so; without ``groups``, as in op5, whose
-SQL counts rows, every row is a page.  Pages whose text is so much alike
+boilerplate.  The pipeline counts so; without ``groups``, as in op5, only
+equal texts are one page.  Pages whose text is so much alike
 that they are near copies of each other count once, template and all.
 Only texts of groups are shuffled whole, as line hashes and once a host;
 a Bloom filter of their hashes tells them from the others.
@@ -22,8 +23,8 @@ lines that reach ``LEAST_PAGES`` meet the host totals.  Texts are joined by
 (host, text hash) with the dropped lines of that text.
 
 Defined results: a null host is a host of its own.  A null text stays null
-and counts as a page without lines.  Repeated rows count as pages each
-(with ``groups`` once a host) and get the same result.  A text that loses all its lines is empty.  Extra
+and counts as a page without lines.  Repeated rows count once a host and get
+the same result.  Texts of any length are read whole.  A text that loses all its lines is empty.  Extra
 columns pass through unchanged.  An empty table gives an empty result.
 """
 
@@ -36,7 +37,7 @@ from . import bloom
 from .common import SPACES, stage
 
 RATIO = 0.08
-LEAST_PAGES = 5
+LEAST_PAGES = 2   # a line of a single page is not repeated
 
 
 def _bare(line: Column) -> Column:
@@ -69,11 +70,28 @@ def _units(pages: DataFrame, groups: DataFrame) -> tuple[DataFrame, DataFrame]:
     return lines, alone.select("host").unionByName(shared.select("host", "unit").distinct().select("host"))
 
 
+def _distinct_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(host, line) once a page and (host) of each page; rows of a host with equal texts are one page.
+
+    Only texts whose hash may occur twice, by a Bloom filter over all, are shuffled, as line hashes.
+    """
+    rows = pages.select("host", F.xxhash64("text").alias("text_key"), "text")
+    keys = stage(rows.select("text_key"), "line-keys")
+    _, twice = bloom.build(keys, keys.count())
+    listed = bloom.might_contain(pages.sparkSession, twice, F.col("text_key"))
+    shared = stage(rows.filter(listed).groupBy("host", "text_key").agg(
+        F.first(_line_hashes(F.col("text"))).alias("lines")), "line-shared")
+    alone = rows.filter(~listed)
+    lines = alone.select("host", F.explode(_line_hashes(F.col("text"))).alias("line")).unionByName(
+        shared.select("host", F.explode("lines").alias("line")))
+    return lines, alone.select("host").unionByName(shared.select("host"))
+
+
 def boilerplate(pages: DataFrame, ratio: float = RATIO, least_pages: int = LEAST_PAGES,
                 groups: DataFrame | None = None) -> DataFrame:
     """(host, line, pages, total) of ``pages(host, text)``: the lines to drop, by hash."""
     if groups is None:
-        lines, hosts = pages.select("host", F.explode(_line_hashes(F.col("text"))).alias("line")), pages
+        lines, hosts = _distinct_pages(pages)
     else:
         lines, hosts = _units(pages, groups)
     counted = (lines.groupBy("host", "line").agg(F.count("*").alias("pages"))

@@ -28,11 +28,12 @@ WITH c AS (
   UNION ALL SELECT page_id, regexp_replace(host, '^[^.]*[.]', ''), 'parent' FROM c
 ), f AS (
   SELECT pattern, category, min(page_id) AS first FROM p
-  GROUP BY ALL HAVING min(page_id) % 3 <> 1 AND pattern NOT LIKE 'example.%'
+  GROUP BY ALL
 ), e AS (
   SELECT pattern, category, 'add' AS action, DATE '2024-01-01' + CAST((first * 31) % 200 AS INTEGER) AS day FROM f
-  UNION ALL SELECT pattern, category, 'remove', DATE '2024-01-01' + CAST((first * 31) % 200 + 45 AS INTEGER) FROM f WHERE first % 2 = 0
-  UNION ALL SELECT pattern, category, 'add', DATE '2024-01-01' + CAST((first * 31) % 200 + 90 AS INTEGER) FROM f WHERE first % 4 = 0
+  UNION ALL SELECT pattern, category, 'remove', DATE '2024-01-01' + CAST((first * 31) % 200 + 45 AS INTEGER) FROM f WHERE first % 2 = 0 AND pattern LIKE '%.%.%'
+  UNION ALL SELECT pattern, category, 'remove', DATE '2024-01-01' + CAST((first * 31) % 200 + 9 AS INTEGER) FROM f WHERE pattern NOT LIKE '%.%.%'
+  UNION ALL SELECT pattern, category, 'add', DATE '2024-01-01' + CAST((first * 31) % 200 + 90 AS INTEGER) FROM f WHERE first % 4 = 0 AND pattern LIKE '%.%.%'
 ), d AS (
   SELECT pattern, day, bool_and(action = 'add') AS listed, min(category) AS category FROM e GROUP BY ALL
 ), v AS (
@@ -58,11 +59,14 @@ WITH d AS (
 ), b AS (
   SELECT doc_id, source, pos, lines[pos] AS line, trim(lines[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM l
 ), t AS (
-  SELECT source, count(*) AS total FROM documents GROUP BY source
+  SELECT source, count(*) AS total FROM (SELECT DISTINCT source, text FROM documents) GROUP BY source
+), u AS (
+  SELECT source, min(doc_id) AS doc_id FROM documents GROUP BY source, text
 ), r AS (
-  SELECT b.source, b.bare FROM b JOIN t ON b.source IS NOT DISTINCT FROM t.source
+  SELECT b.source, b.bare FROM b JOIN u ON b.source IS NOT DISTINCT FROM u.source AND b.doc_id = u.doc_id
+  JOIN t ON b.source IS NOT DISTINCT FROM t.source
   WHERE b.bare <> '' GROUP BY b.source, b.bare
-  HAVING count(DISTINCT b.doc_id) >= 5 AND count(DISTINCT b.doc_id) > any_value(t.total) * 0.08
+  HAVING count(DISTINCT b.doc_id) >= 2 AND count(DISTINCT b.doc_id) > any_value(t.total) * 0.08
 )
 SELECT b.doc_id, count(*) FILTER (b.bare <> '') AS n_lines,
        count(*) FILTER (r.bare IS NOT NULL) AS n_dropped,

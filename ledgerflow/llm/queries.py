@@ -34,8 +34,9 @@ def _captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _list_entries(pages: DataFrame) -> DataFrame:
     """A dated list derived from ``pages``: hosts, parent domains, host + language.
 
-    The first page of a pattern fixes its dates: two thirds of the patterns
-    are added, some removed later, some of those added again.
+    The first page of a pattern fixes its dates: every pattern is added, some
+    are removed later, some of those added again.  Parents of two labels,
+    which a third of all captures may match, are listed for nine days.
     """
     host = url_host(F.col("url"))
     language = F.regexp_extract("url", "^[a-z]+://[^/?#]*/([a-z][a-z])/", 1)
@@ -47,12 +48,13 @@ def _list_entries(pages: DataFrame) -> DataFrame:
                 ("parent", F.regexp_replace("host", "^[^.]*[.]", "")))])).alias("p"))
     first = patterns.groupBy("p.pattern", "p.category").agg(F.min("page_id").alias("first"))
     start = F.date_add(F.to_date(F.lit("2024-01-01")), ((F.col("first") * 31) % 200).cast("int"))
+    wide = ~F.col("pattern").like("%.%.%")
     events = F.array(*[
-        F.when(F.col("first") % every == 0, F.struct(F.lit(action).alias("action"),
-                                                     F.date_add(start, after).alias("day")))
-        for every, action, after in ((1, "add", 0), (2, "remove", 45), (4, "add", 90))])
-    return (first.filter((F.col("first") % 3 != 1) & ~F.col("pattern").like("example.%"))
-            .select("pattern", "category", F.explode(events).alias("e"))
+        F.when(when, F.struct(F.lit(action).alias("action"), F.date_add(start, after).alias("day")))
+        for when, action, after in (
+            (F.lit(True), "add", 0), (wide, "remove", 9), (~wide & (F.col("first") % 2 == 0), "remove", 45),
+            (~wide & (F.col("first") % 4 == 0), "add", 90))])
+    return (first.select("pattern", "category", F.explode(events).alias("e"))
             .filter("e IS NOT NULL").select("pattern", "category", "e.action", "e.day"))
 
 

@@ -53,5 +53,18 @@ def test_null_ids_repeats_clashes_and_empty(spark):
     df = frame(spark, [(None, "mit license"), (1, "cc by"), (1, "cc by"), (1, "other")]).withColumns(
         {"label": F.lit("x"), "template": F.lit(1), "gram": F.lit(2), "n_words": F.lit(0)})
     got = sorted((r.doc_id or -1, r.n_words, r.base_labels) for r in license_scan(df).collect())
-    assert got == [(-1, 2, "mit"), (1, 1, ""), (1, 2, "cc-by")]
+    assert got == [(-1, 2, "mit"), (1, 1, ""), (1, 2, "cc-by"), (1, 2, "cc-by")]
     assert license_scan(df.filter("false")).count() == 0
+
+
+def test_statement_next_to_a_chain_of_its_bigrams(spark):
+    gpl, label = STATEMENTS[4]
+    data = [(1, gpl), (2, gpl + " of the" * 40), (3, "of the " * 40 + gpl), (4, "of the " * 4000),
+            (5, "of the " * 30 + gpl + " the terms of the gnu" * 30 + " x y z " + gpl)]
+    got = by_id(license_scan(frame(spark, data)))
+    assert [(got[i].labels, got[i].score) for i in (1, 2, 3, 4, 5)] == [
+        (label, 1.0), (label, 1.0), (label, 1.0), ("", 0.0), (label, 1.0)]
+    spans = {s.doc_id: (s.first_word, s.last_word) for s in license_spans(frame(spark, data[:3])).filter(
+        "template >= 0 AND NOT base").collect()}
+    n = len(gpl.split())
+    assert spans == {1: (0, n - 1), 2: (0, n - 1), 3: (80, 79 + n)}

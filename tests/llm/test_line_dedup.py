@@ -8,9 +8,9 @@ from ledgerflow.llm.line_dedup import drop_boilerplate
 SPACES = " \t\n\x0b\x0c\r"
 
 
-def brute(rows, ratio=0.08, least=5):
+def brute(rows, ratio=0.08, least=2):
     total, pages = Counter(), Counter()
-    for _, text, host in rows:
+    for text, host in {(text, host) for _, text, host in rows}:
         total[host] += 1
         for line in {x.strip(SPACES) for x in (text or "").split("\n")} - {""}:
             pages[host, line] += 1
@@ -54,6 +54,20 @@ def test_small_hosts_keep_their_lines(spark):
     assert all(r.text == "only line" for r in drop_boilerplate(frame(spark, rows)).collect())
 
 
+def test_repeated_line_of_a_small_host(spark):
+    rows = [(i, f"own {i}\nshared" if i < 2 else f"own {i}", "tiny") for i in range(4)]
+    assert result(drop_boilerplate(frame(spark, rows))) == brute(rows)
+    assert [r.text for r in drop_boilerplate(frame(spark, rows)).orderBy("doc_id").collect()] == [
+        "own 0", "own 1", "own 2", "own 3"]
+
+
+def test_copies_are_one_page(spark):
+    body = "\n".join(f"body {k}" for k in range(20))
+    rows = [(i, body, "h") for i in range(60)] + [(100 + i, f"page {i}\nMenu", "h") for i in range(120)]
+    got = result(drop_boilerplate(frame(spark, rows)))
+    assert got == brute(rows) and got[0] == (body, 20, 0) and got[100] == ("page 0", 2, 1)
+
+
 def test_repeated_rows_clashes_and_empty(spark):
     rows = site_rows()
     df = frame(spark, rows + rows[:5])
