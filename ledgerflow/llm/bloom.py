@@ -70,7 +70,7 @@ def build(hashes: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
                 seen = _has(once, unique)
                 _set_bits(twice, unique[seen | (counts > 1)])
                 _set_bits(once, unique)
-        task = _task_number()
+        task = task_number()
         for s in range(n_segments):
             part = slice(s * SEGMENT_BYTES, (s + 1) * SEGMENT_BYTES)
             if once[part].any():
@@ -104,7 +104,7 @@ def build(hashes: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     return once, twice
 
 
-def _task_number() -> int:
+def task_number() -> int:
     from pyspark import TaskContext
 
     context = TaskContext.get()

@@ -59,7 +59,7 @@ def test_stages_one_after_the_other(spark, tables):
     weights, bias = tox.fit(table, spark.read.parquet(f"{folder}/labels.parquet"))
 
     got = steps["toxicity"](spark, table, folder)
-    margin = lambda t: bias + weights[tox.slots(t)].sum()
+    margin = lambda t: tox.margin(t, weights, bias)
     want = [d for d in docs if 1 / (1 + np.exp(-margin(d[1]))) < 0.3]
     assert got.columns == table.columns and rows_of(got) == sorted(want, key=str)
     kept = {d[0] for d in want}

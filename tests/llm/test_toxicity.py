@@ -76,7 +76,63 @@ def test_without_usable_labels(spark):
         assert len(got) == 20 and len({round(r.score, 9) for r in got}) == 1
 
 
-def test_pieces_of_a_long_text_give_all_slots():
-    text = "".join(chr(97 + (i * i) % 26) for i in range((1 << 20) + 50))
-    points = [text[i:i + n] for n in tox.ORDERS for i in range((1 << 20) - 10, (1 << 20) + 10)]
-    assert set(np.concatenate([tox.slots(p) for p in points])) <= set(tox.slots(text))
+def test_pieces_of_a_long_text_give_all_slots(monkeypatch):
+    rng = random.Random(4)
+    text = sentence(rng, vocabulary(rng), 900) + " 12 ## É"
+    whole, points = tox.slots(text), tox.characters(text)
+    grams = {tuple(points[i:i + n]) for n in tox.ORDERS for i in range(len(points) - n + 1)}
+    assert 0.99 * len(grams) <= len(whole) <= len(grams)
+    table = np.zeros(tox.FEATURES, dtype=np.float32)
+    table[whole[::3]] = 1
+    places, held = tox.telling(points, table)
+    assert set(held) == set(whole[::3]) and (np.diff(places) >= 0).all()
+    monkeypatch.setattr(tox, "PIECE", 97)
+    assert (tox.slots(text) == whole).all()
+    again = tox.telling(points, table)
+    assert sorted(zip(places, held)) == sorted(zip(*again))
+
+
+def test_margin_is_that_of_the_highest_window():
+    rng = random.Random(6)
+    text = sentence(rng, vocabulary(rng), 2000)
+    points, half = tox.characters(text), tox.WINDOW // 2
+    weights = np.zeros(tox.FEATURES, dtype=np.float32)
+    some = tox.slots(text)[::5]
+    weights[some] = np.random.default_rng(1).normal(size=len(some))
+    best = -1e9
+    for at in range(0, len(points) - half, half):
+        held = set()
+        # An n-gram belongs to the windows that hold its start.
+        own = points[at:at + tox.WINDOW + max(tox.ORDERS) - 1]
+        for _, found in tox.grams(own):
+            held.update(found[:tox.WINDOW].tolist())
+        best = max(best, float(weights[sorted(held)].sum()))
+    assert len(points) > 2 * tox.WINDOW and tox.margin(text, weights, 0.5) == pytest.approx(best + 0.5, abs=1e-3)
+
+
+def test_counts_and_ratios_match_brute_force(spark):
+    rows, labels = labelled(60)
+    training = spark.createDataFrame([(i, t, k) for (i, t), (_, _, k) in zip(rows, labels)],
+                                     "doc_id bigint, text string, toxic int").repartition(3)
+    counts, sizes = tox._slot_counts(training)
+    expected = np.zeros_like(counts)
+    for (_, text), (_, _, toxic) in zip(rows, labels):
+        expected[toxic, tox.slots(text)] += 1
+    assert (counts == expected).all() and sizes.tolist() == [50, 10]
+    share = (expected + 1) / np.array([[52], [12]])
+    ratios = tox.log_ratios(counts, sizes)
+    held = ratios != 0
+    assert held.any() and np.allclose(ratios[held], np.log(share[1] / share[0])[held], atol=1e-5)
+
+
+def test_toxic_text_between_clean_ones(spark, fitted):
+    docs, labels, model = fitted
+    rng = random.Random(8)
+    truth, texts = {i: t for i, _, t in labels}, {r.doc_id: r.text for r in docs.collect()}
+    clean = [texts[i] for i, t in truth.items() if not t]
+    mixed = [(i, " ".join([*rng.sample(clean, 15), texts[i], *rng.sample(clean, 15)]))
+             for i, t in truth.items() if t][:60]
+    plain = [(10_000 + k, " ".join(rng.sample(clean, 31))) for k in range(60)]
+    got = by_id(tox.score(frame(spark, mixed + plain), model))
+    assert sum(got[i].predicted for i, _ in mixed) >= 57
+    assert sum(got[i].predicted for i, _ in plain) <= 3
