@@ -22,6 +22,8 @@ outcome, and the payload VARIANT is parsed once per row.
 
 from __future__ import annotations
 
+import uuid
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -119,6 +121,18 @@ def decode(df: DataFrame, data: str = "data") -> DataFrame:
     )
 
 
+def split(df: DataFrame, data: str = "data") -> tuple[DataFrame, DataFrame]:
+    """(decoded, errors) of raw records: every record is in one of them.
+
+    The observed count is a boundary the optimizer does not push filters
+    through; below it a filter on the outcome would copy the whole parse
+    into the filter's condition.
+    """
+    parsed = decode(df, data).observe(f"decoded-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+    failed = F.col("_decode_kind") != KIND_OK
+    return parsed.filter(~failed), parsed.filter(failed)
+
+
 def raw_b64(data: Column) -> Column:
     """Base64 of the exact bytes on one line (Spark's encoder wraps lines)."""
     return F.regexp_replace(F.base64(data), r"[\r\n]", "")

@@ -6,6 +6,8 @@ records) so their work grows with the data.  The DuckDB counterparts live in ``p
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +34,14 @@ _BUILT: dict[tuple[str, str, str, str], object] = {}
 
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     """Checksum of path, size and modification time of the files of ``events``."""
-    files = load(spark, sf_dir, "events").select("_metadata.file_path", "_metadata.file_size",
-                                                 "_metadata.file_modification_time").distinct()
-    row = files.agg(F.count("*"), F.sum(F.xxhash64(*files.columns).cast("decimal(20,0)"))).first()
-    return f"{row[0]}-{row[1]}"
+    configure(spark)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/events.parquet")
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = []
+    while listed.hasNext():
+        status = listed.next()
+        found.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, build, alive=lambda built: True):
@@ -102,7 +108,7 @@ def decode_outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_errors_b64(spark: SparkSession, sf_dir: str) -> DataFrame:
-    failed = D.decode(fixture_raw(spark, sf_dir)).filter(F.col("_decode_kind") != D.KIND_OK)
+    _, failed = D.split(fixture_raw(spark, sf_dir))
     return failed.select("event_id", "batch_id", D.raw_b64(F.col("data")).alias("_raw_b64"),
                          F.col("_decode_reason").alias("reasons"),
                          FM.iso_offset(F.col("batch_now")).alias("_quarantine_ts"))
