@@ -35,6 +35,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from collections import Counter
 
 import numpy as np
@@ -45,7 +46,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_alphabet
 from .common import small_batches, stage, trimmed
 
-UNITS = 1 << 17        # units remembered by a task
+UNITS = 1 << 19        # units remembered by a task, about 200 bytes each
 LONG = 48              # characters beyond which a unit is not remembered
 ROWS = 256             # rows of an output batch
 CUT = re.compile(r"(?<=[^\s▁])(?= )")
@@ -109,7 +110,7 @@ class Aligner:
         pieces = map(self.second.id_to_piece, range(len(self.b)))
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("a piece reaches across a blank")
-        self.exact_type = "<u2" if len(self.a) <= 1 << 16 else "<u4"
+        self.exact_type, self.exact_code = ("<u2", "H") if len(self.a) <= 1 << 16 else ("<u4", "I")
         self.units: dict[str, tuple | None] = {}
         self.misses = 0
 
@@ -145,7 +146,7 @@ class Aligner:
                 j += 1
                 b_end += len(b[b_ids[j]])
         return (len(a_ids), len(b_ids), len(groups), ";".join(groups),
-                np.array(exact, dtype=self.exact_type).tobytes(), np.array(pairs, dtype="<u4").tobytes())
+                struct.pack(f"<{len(exact)}{self.exact_code}", *exact), struct.pack(f"<{len(pairs)}I", *pairs))
 
     def _learn(self, keys: list[str]) -> dict[str, tuple | None]:
         """Aligned units, None where token bytes differ; a key is its unit without the first blank."""
