@@ -291,7 +291,7 @@ def _pack(k: int, columns: list[np.ndarray], sums: np.ndarray, texts: Texts) ->
     packed = [_narrow(x) for x in (langs, sizes, *codes, sums)]
     header = json.dumps([len(used), len(sums), len(words), texts.names, [w for w, _ in packed]]).encode()
     body = b"".join([len(header).to_bytes(4, "little"), header, words, *[b for _, b in packed]])
-    return bytes([k]) + zstandard.compress(body, 3)
+    return bytes([k]) + zstandard.compress(body, 1)
 
 
 def _unpack(run: bytes) -> pa.Table:
