@@ -486,3 +486,44 @@ QUALIFY row_number() OVER (PARTITION BY shard_id ORDER BY event_id) <= 25""")
 ORACLE_SQL["bronze_warnings"] = with_pipeline("""
 SELECT txn_id AS transaction_id, run_id, 'TIMESTAMP_DRIFT' AS warnings FROM classified
 WHERE list_contains(reasons, 'TIMESTAMP_DRIFT')""")
+
+ORACLE_SQL["reject_matrix_stored"] = ORACLE_SQL["reject_matrix"]
+
+ORACLE_SQL["rule_versions"] = with_pipeline(""",
+objects AS (
+  SELECT *, abs(epoch_us(batch_now) - epoch_us(ts_value)) AS drift,
+    list_filter(schema_reasons, lambda x: x LIKE '%:channel%') AS channel2,
+    list_concat(
+      list_filter(schema_reasons, lambda x: x NOT LIKE '%:channel%' AND x NOT LIKE '%:mcc_code%'),
+      list_filter([
+        CASE WHEN n_amount > 100 AND len(list_filter(schema_reasons, lambda x: x LIKE '%:amount%')) = 0
+             THEN 'INVALID_FIELD:amount:less_than_equal' END,
+        CASE WHEN t_currency = 'VARCHAR' AND s_currency = 'CAD' THEN 'INVALID_FIELD:currency:enum' END,
+        CASE WHEN t_merchant_id = 'VARCHAR' AND NOT regexp_matches(s_merchant_id, '^MERCH-[0-9A-Ea-e]')
+             THEN 'INVALID_FIELD:merchant_id:string_pattern_mismatch' END
+      ], lambda x: x IS NOT NULL)) AS schema2
+  FROM classified WHERE decode_kind = 'ok'
+), judged AS (
+  SELECT 1 AS version, reasons AS errors, CAST([] AS VARCHAR[]) AS warnings FROM objects
+  UNION ALL
+  SELECT 2, CASE WHEN len(schema2) = 0 AND ts_naive THEN ['INVALID_FIELD:transaction_ts:timezone_missing']
+                 ELSE schema2 END,
+    CASE WHEN len(schema2) = 0 AND NOT ts_naive AND drift > 600000000
+         THEN list_append(channel2, 'TIMESTAMP_DRIFT') ELSE channel2 END
+  FROM objects
+), listed AS (
+  SELECT version, 'ERROR' AS outcome, unnest(errors) AS reason FROM judged
+  UNION ALL SELECT version, 'WARNING', unnest(warnings) FROM judged
+  UNION ALL SELECT version, 'ACCEPTED', '' FROM judged WHERE len(errors) = 0
+)
+SELECT CAST(version AS INTEGER) AS version, outcome, reason, count(*) AS records FROM listed GROUP BY ALL""")
+
+ORACLE_SQL["micro_batches"] = with_pipeline(""",
+numbered AS (
+  SELECT shard_id, (event_id // 10) % 3 AS slice,
+    (row_number() OVER (PARTITION BY shard_id, (event_id // 10) % 3 ORDER BY event_id) - 1) // 100 AS batch_number
+  FROM raw
+)
+SELECT shard_id, slice, batch_number, count(*) AS records,
+  CASE WHEN count(*) = 100 THEN 'size' ELSE 'open' END AS closed_by
+FROM numbered GROUP BY shard_id, slice, batch_number""")

@@ -7,6 +7,7 @@ records) so their work grows with the data.  The DuckDB counterparts live in ``p
 from __future__ import annotations
 
 import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -128,6 +129,68 @@ def reject_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("event_id", "variant", "is_valid", F.array_join("reasons", "|").alias("reasons"))
 
 
+# Version 2 of the stored rules, as a change of version 1: a lower limit, a
+# currency less, the form of merchant ids, two rules that only warn, one
+# that is gone.
+def _second_version() -> list[tuple]:
+    from ..functions import rule_table as RT
+
+    changed = {
+        "TXN_AMOUNT": ({"low": "0", "high": "100"}, S.SEVERITY_ERROR),
+        "TXN_CURRENCY": ({"values": json.dumps([c for c in S.CURRENCIES if c != "CAD"])}, S.SEVERITY_ERROR),
+        "TXN_CHANNEL": ({"values": json.dumps(S.CHANNELS)}, S.SEVERITY_WARNING),
+        "TXN_002": ({"threshold_seconds": "600"}, S.SEVERITY_WARNING),
+    }
+    rows = [(version, position, rule_id, field, check, *changed.get(rule_id, (arguments, severity)))
+            for version, position, rule_id, field, check, arguments, severity in RT.default_rows(2)
+            if rule_id != "TXN_MCC"]
+    return [*rows, (2, len(rows) + 1, "MERCHANT_FORM", "merchant_id", "pattern",
+                    {"pattern": "^MERCH-[0-9A-Ea-e]"}, S.SEVERITY_ERROR)]
+
+
+def _stored_rules(spark: SparkSession) -> DataFrame:
+    """A stored rule table with two versions, read back."""
+    from ..functions import rule_table as RT
+    from ..session import scratch_path
+
+    configure(spark)
+    uri = scratch_path(spark, "rules")
+    RT.save_rules(spark, RT.default_rows(1) + _second_version(), uri)
+    return RT.read_rules(spark, uri)
+
+
+def reject_matrix_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``reject_matrix`` with the rules compiled from a stored table."""
+    from ..functions import rule_table as RT
+    from ..sources.faults import raw_variants
+
+    rules = RT.compile_rules(_stored_rules(spark), 1)
+    c = route.classify(raw_variants(load(spark, sf_dir, "events")), now=F.col("now"), rules=rules)
+    return c.select("event_id", "variant", "is_valid", F.array_join("reasons", "|").alias("reasons"))
+
+
+def rule_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records by outcome under two stored rule versions, in one pass."""
+    from ..functions import rule_table as RT
+
+    stored = _stored_rules(spark)
+    objects, _ = D.split(fixture_raw(spark, sf_dir))
+    objects = objects.select("_payload", "batch_now")
+    compared = RT.compare_versions(objects, {v: RT.compile_rules(stored, v) for v in (1, 2)}, F.col("batch_now"))
+    each = compared.select("outcomes").observe("rule_versions", F.count(F.lit(1)).alias("records")) \
+        .select(F.inline("outcomes"))
+
+    def found(reasons: str, outcome: str):
+        return F.transform(reasons, lambda r: F.struct(F.lit(outcome).alias("outcome"), r.alias("reason")))
+
+    accepted = F.when(F.size("errors") == 0, F.array(F.struct(F.lit("ACCEPTED").alias("outcome"),
+                                                              F.lit("").alias("reason"))))
+    rows = F.concat(found("errors", S.SEVERITY_ERROR), found("warnings", S.SEVERITY_WARNING),
+                    F.coalesce(accepted, F.array().cast("array<struct<outcome:string,reason:string>>")))
+    return (each.select("version", F.inline(rows)).groupBy("version", "outcome", "reason")
+            .agg(F.count(F.lit(1)).alias("records")))
+
+
 DRIFT_OVERRIDE_SECONDS = 600
 
 
@@ -306,6 +369,24 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, lake.bronze).select(*S.TXN_FIELDS)
 
 
+MICRO_BATCH_SLICES = 3
+DRAIN_AGE_SECONDS = 24 * 3600      # a drain closes by size; what stays open is reported as such
+
+
+def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of at most 100 records that a stateful drain of the log forms."""
+    from ..session import scratch_path
+    from ..streaming import batches as B
+
+    log_uri = fixture_log(spark, sf_dir)
+    target, checkpoint = scratch_path(spark, "batches"), scratch_path(spark, "batches-checkpoint")
+    B.drain_batches(spark, log_uri, target, checkpoint, max_age_seconds=DRAIN_AGE_SECONDS,
+                    slice_by=F.floor(F.col("sequence_number") / 10) % MICRO_BATCH_SLICES)
+    formed = B.closed_batches(spark, target).unionByName(B.open_batches(spark, checkpoint))
+    return formed.groupBy("shard_id", "slice", "batch_number").agg(
+        F.count(F.lit(1)).alias("records"), F.coalesce(F.max("closed_by"), F.lit("open")).alias("closed_by"))
+
+
 # ---------------------------------------------------------------------------
 # Producer (S6-S10, S14) over the fixture's valid transactions
 # ---------------------------------------------------------------------------

@@ -11,6 +11,8 @@ QUERIES = {
     "decode_errors_b64": Q.decode_errors_b64,
     "field_reasons": Q.field_reasons,
     "reject_matrix": Q.reject_matrix,
+    "reject_matrix_stored": Q.reject_matrix_stored,
+    "rule_versions": Q.rule_versions,
     "drift_override": Q.drift_override,
     "drift_flagged": Q.drift_flagged,
     "bronze_rows": Q.bronze_rows,
@@ -25,6 +27,7 @@ QUERIES = {
     "shard_audit": Q.shard_audit,
     "shard_resume": Q.shard_resume,
     "stream_ingest": Q.stream_ingest,
+    "micro_batches": Q.micro_batches,
     "producer_records": Q.producer_records,
     "producer_batches": Q.producer_batches,
     "send_result": Q.send_result,
