@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import math
+import uuid
 from dataclasses import dataclass, field, replace
 from typing import Any, Callable, Mapping, Sequence
 
@@ -232,7 +233,9 @@ def compare_versions(decoded: DataFrame, versions: Mapping[int, Sequence[R.Rule]
     """``decoded`` plus ``outcomes``: one struct ``version, errors, warnings`` per version.
 
     Fields are extracted and typed once for all versions; the outcome of a
-    version is what ``validate`` gives with its rules alone.
+    version is what ``validate`` gives with its rules alone.  The observed
+    count is a boundary: a filter or ``inline`` over the outcomes must not
+    copy every rule into its condition.
     """
     ctx = R.RuleContext(now=now, threshold_seconds=threshold_seconds)
     none = F.array().cast("array<string>")
@@ -255,4 +258,5 @@ def compare_versions(decoded: DataFrame, versions: Mapping[int, Sequence[R.Rule]
                      .otherwise(none)).alias("warnings"))
 
     return staged.select(*decoded.columns, F.array(
-        *[outcome(version, rules) for version, rules in versions.items()]).alias("outcomes"))
+        *[outcome(version, rules) for version, rules in versions.items()]).alias("outcomes")
+    ).observe(f"versions-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))

@@ -112,7 +112,7 @@ def test_versions_side_by_side_equal_each_alone(spark):
               (2, 4, "F", "transaction_ts", "freshness", {}, S.SEVERITY_WARNING)]
     stored = table(spark, *RT.default_rows(1), *second)
     versions = {v: RT.compile_rules(stored, v) for v in (1, 2)}
-    compared = RT.compare_versions(D.decode(raw(spark)), versions, F.lit(NOW).cast("timestamp"))
+    compared = RT.compare_versions(D.split(raw(spark))[0], versions, F.lit(NOW).cast("timestamp"))
     rows = compared.select("id", F.inline("outcomes")).collect()
     assert len(rows) == 2 * len(RECORDS)
     for version, rules in versions.items():
