@@ -234,8 +234,8 @@ def compare_versions(decoded: DataFrame, versions: Mapping[int, Sequence[R.Rule]
 
     Fields are extracted and typed once for all versions; the outcome of a
     version is what ``validate`` gives with its rules alone.  The observed
-    count is a boundary: a filter or ``inline`` over the outcomes must not
-    copy every rule into its condition.
+    counts are boundaries: neither a later step nor a filter or ``inline``
+    over the outcomes may copy the rules of all versions into itself.
     """
     ctx = R.RuleContext(now=now, threshold_seconds=threshold_seconds)
     none = F.array().cast("array<string>")
@@ -243,10 +243,13 @@ def compare_versions(decoded: DataFrame, versions: Mapping[int, Sequence[R.Rule]
     def reasons(rules: Sequence[R.Rule], stage: str, severity: str) -> Column:
         return R._collect([r.build(ctx) for r in rules if r.stage == stage and r.severity == severity])
 
-    staged = R._typed_values(R.extract_fields(decoded, payload))
-    staged = staged.select("*", *[
+    def bounded(df: DataFrame) -> DataFrame:
+        return df.observe(f"versions-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+
+    staged = bounded(R._typed_values(R.extract_fields(decoded, payload)))
+    staged = bounded(staged.select("*", *[
         reasons(rules, R.STAGE_SCHEMA, severity).alias(f"_{severity}_{version}")
-        for version, rules in versions.items() for severity in SEVERITIES])
+        for version, rules in versions.items() for severity in SEVERITIES]))
 
     def outcome(version: int, rules: Sequence[R.Rule]) -> Column:
         errors, warnings = (F.col(f"_{severity}_{version}") for severity in SEVERITIES)
@@ -257,6 +260,5 @@ def compare_versions(decoded: DataFrame, versions: Mapping[int, Sequence[R.Rule]
             F.concat(warnings, F.when(typed_ok, reasons(rules, R.STAGE_POST, S.SEVERITY_WARNING))
                      .otherwise(none)).alias("warnings"))
 
-    return staged.select(*decoded.columns, F.array(
-        *[outcome(version, rules) for version, rules in versions.items()]).alias("outcomes")
-    ).observe(f"versions-{uuid.uuid4().hex}", F.count(F.lit(1)).alias("records"))
+    return bounded(staged.select(*decoded.columns, F.array(
+        *[outcome(version, rules) for version, rules in versions.items()]).alias("outcomes")))
