@@ -10,8 +10,11 @@
   to a table and read from there, so totals and failures come from one
   send.  Nothing is retried (as in the surveyed producer).  Delivery is at
   least once: a task that Spark runs again sends its records again.  A
-  card's records go out in order within a task; a card with more records
-  than a task takes spans tasks, which send concurrently.
+  card's records go out in order: a card with more records than a part
+  takes is cut by time, and its pieces go out in waves, one after the
+  other; all other records go out in the first wave.
+* ``sent_out_of_order``: records that broke the order of their card, over
+  all tasks and waves of a send.
 * ``send_result`` (S9): totals and failed entries from the outcome rows.
 * ``preview`` (S14): numbered one-line rendering of each record.
 
@@ -31,9 +34,10 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import formats as FM
 from ..functions.indexing import with_dense_index
+from ..session import discard, stage
 
 OUTCOME_COLUMNS = (
-    "task int, batch_no long, position int, partition_key string, record string, "
+    "wave int, task int,batch_no long, position int, partition_key string, record string, "
     "error_code string, error_message string"
 )
 
@@ -80,12 +84,17 @@ def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
     """Send now, write one outcome row per record to ``outcomes_uri``
     and return that table.  ``records`` holds ``data``, ``partition_key`` and
     the ``order`` columns, which the outcomes repeat; an empty input calls
-    nothing."""
+    nothing.
+
+    The parts of the range partitioning are staged.  A key that stands in
+    several parts waits in each but the first until the wave of the part
+    before is through; every other record belongs to the first wave.  There
+    are as many waves as the most frequent key has parts, and each later one
+    reads its own parts only."""
     if batch_size < 1:
         raise ValueError(f"batch_size must be >= 1, got {batch_size}")
-    ranged = (records.select("data", "partition_key", *order)
-              .repartitionByRange("partition_key", *order)
-              .sortWithinPartitions("partition_key", *order))
+    spark = records.sparkSession
+    keys = ("partition_key", *order)
     order_fields = ", ".join(f"{f.name} {f.dataType.simpleString()}"
                              for f in records.select(*order).schema.fields)
     schema = f"{OUTCOME_COLUMNS}, {order_fields}"
@@ -101,7 +110,7 @@ def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
             if len(results) != len(batch):
                 raise ValueError("put_batch must return one result per record")
             return pd.DataFrame({
-                "task": task, "batch_no": batch_no, "position": range(len(batch)),
+                "wave": batch["_wave"], "task": task, "batch_no": batch_no, "position": range(len(batch)),
                 "partition_key": batch["partition_key"],
                 "record": [bytes(d).decode("utf-8", errors="replace") for d in batch["data"]],
                 "error_code": [r[0] if r else None for r in results],
@@ -117,8 +126,43 @@ def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
         if held is not None and len(held):
             yield put(held)
 
-    ranged.mapInPandas(send, schema).write.mode("append").parquet(outcomes_uri)
-    return records.sparkSession.read.schema(schema).parquet(outcomes_uri)
+    parts = stage(records.select("data", *keys).repartitionByRange(*keys)
+                  .withColumn("_part", F.spark_partition_id()), "send")
+    ends = _part_ends(parts).collect()          # at most two rows per part
+    waiting = [(row["_part"], row["partition_key"], row["wave"]) for row in ends if row["wave"] > 0]
+    for wave in range(1 + max((w for _, _, w in waiting), default=0)):
+        if wave == 0:
+            slots, mine = 1 + max((row["_part"] for row in ends), default=0), waiting
+            rows = parts.withColumn("_slot", F.col("_part"))
+        else:
+            mine = [piece for piece in waiting if piece[2] == wave]
+            slots = len(mine)
+            rows = parts.filter(F.col("_part").isin([part for part, _, _ in mine]))
+        if mine:
+            listed = F.broadcast(spark.createDataFrame(
+                [(*piece[:2], slot) for slot, piece in enumerate(mine)],
+                "_its_part int, _its_key string, _slot int"))
+            same = (F.col("_part") == F.col("_its_part")) & F.col("partition_key").eqNullSafe(F.col("_its_key"))
+            rows = rows.join(listed.drop("_slot") if wave == 0 else listed, same,
+                             "left_anti" if wave == 0 else "inner")
+        (rows.select("data", *keys, "_slot", F.lit(wave).alias("_wave"))
+         .repartitionById(slots, "_slot").sortWithinPartitions(*keys)
+         .mapInPandas(send, schema).write.mode("append").parquet(outcomes_uri))
+    discard(parts)
+    return spark.read.schema(schema).parquet(outcomes_uri)
+
+
+def _part_ends(parts: DataFrame) -> DataFrame:
+    """First and last key of every part and the number of earlier parts that
+    hold the key too (``wave``).  Parts follow the order of keys, so no other
+    key stands in two parts."""
+    from pyspark.sql import Window
+
+    key = F.struct("partition_key")             # a null key counts as one
+    held = parts.groupBy("_part").agg(F.min(key).alias("low"), F.max(key).alias("high")).select(
+        "_part", F.explode(F.array_distinct(F.array("low", "high"))).alias("end"))
+    earlier = F.row_number().over(Window.partitionBy("end").orderBy("_part")) - 1
+    return held.select("_part", F.col("end.partition_key"), earlier.alias("wave"))
 
 
 def send_result(outcomes: DataFrame) -> DataFrame:
@@ -142,15 +186,31 @@ def failed_entries(outcomes: DataFrame) -> DataFrame:
 
 
 def sent_out_of_order(outcomes: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Records and those sent after a later record of the same card by the
-    same task; one row.  Window partitions are tasks of the send."""
+    """Records of a send and those that broke the order of their card; one row.
+
+    Late is a record that its task sent after a later one of the card, and
+    every record of a piece (the card's records of one task and wave) that
+    went out beside an earlier piece, in the same wave, or after later
+    records.  The first window holds what a task sent of a card, the second
+    the pieces of a card.
+    """
     from pyspark.sql import Window
 
-    sent = Window.partitionBy("task").orderBy("batch_no", "position")
-    before = F.lag(F.struct("partition_key", *order)).over(sent)
-    late = before > F.struct("partition_key", *order)
-    return outcomes.select(F.coalesce(late, F.lit(False)).alias("late")).agg(
-        F.count(F.lit(1)).alias("total"), F.count_if("late").alias("out_of_order"))
+    at = F.struct(*order)
+    task = Window.partitionBy("wave", "task", "partition_key").orderBy("batch_no", "position")
+    card = Window.partitionBy("partition_key").orderBy("wave", "task")
+
+    def before(value, window):
+        return F.max(value).over(window.rowsBetween(Window.unboundedPreceding, -1))
+
+    records = outcomes.select(F.lit(1).alias("sent"), (before(at, task) > at).cast("int").alias("late"))
+    pieces = outcomes.groupBy("partition_key", "wave", "task").agg(
+        F.min(at).alias("low"), F.max(at).alias("high"), F.count(F.lit(1)).alias("sent"))
+    beside = (before("wave", card) == F.col("wave")) | (before("high", card) > F.col("low"))
+    pieces = pieces.select(F.lit(0).alias("sent"), F.when(beside, F.col("sent")).alias("late"))
+    return records.unionByName(pieces).agg(
+        F.coalesce(F.sum("sent"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("late"), F.lit(0)).alias("out_of_order"))
 
 
 def batch_sizes(numbered: DataFrame) -> DataFrame:

@@ -60,6 +60,74 @@ def test_send_once_in_order_with_failures(spark, tmp_root):
     assert (order["total"], order["out_of_order"]) == (1200, 0)
 
 
+def test_hot_card_goes_out_in_order_over_tasks(spark, tmp_root):
+    """A card with a third of the rows spans parts; its calls never overlap or step back."""
+    import glob
+    import uuid
+
+    log = tmp_root + "/calls"
+
+    def put(batch):
+        import os
+        import time
+        os.makedirs(log, exist_ok=True)
+        start = time.time_ns()
+        time.sleep(0.01)
+        by_card = {}
+        for key, data in zip(batch["partition_key"], batch["data"]):
+            by_card.setdefault(key, []).append(json.loads(bytes(data))["amount"])
+        with open(f"{log}/{uuid.uuid4().hex}", "w") as out:
+            json.dump([start, time.time_ns(), by_card], out)
+        return [None] * len(batch)
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = txns(spark, 3000).withColumn("card_id", F.when(F.col("seq") % 3 == 0, F.lit("4" * 16))
+                                           .otherwise(F.col("card_id")))
+        outcomes = P.send_records(P.to_stream_records(hot).repartition(5), put, ["seq"],
+                                  tmp_root + "/outcomes", batch_size=50)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    [order] = P.sent_out_of_order(outcomes, ["seq"]).collect()
+    assert (order["total"], order["out_of_order"]) == (3000, 0)
+    assert outcomes.agg(F.max("wave")).first()[0] >= 1 and outcomes.select("record").distinct().count() == 3000
+    calls = sorted(json.load(open(f)) for f in glob.glob(log + "/*"))
+    for card in {card for call in calls for card in call[2]}:
+        mine = [(start, end, call[card]) for start, end, call in calls if card in call]
+        sent = [amount for _, _, amounts in mine for amount in amounts]
+        assert sent == sorted(sent)                             # the amount grows with the number
+        assert all(a[1] <= b[0] for a, b in zip(mine, mine[1:]))
+
+
+def test_broken_orders_are_seen(spark):
+    def late(rows):
+        sent = spark.createDataFrame(rows, "partition_key string, wave int, task int, batch_no long, "
+                                           "position int, seq long")
+        [found] = P.sent_out_of_order(sent, ["seq"]).collect()
+        return found["total"], found["out_of_order"]
+
+    assert late([("a", 0, 0, 0, 0, 1), ("a", 0, 0, 0, 1, 2), ("a", 1, 0, 0, 0, 3), ("b", 0, 1, 0, 0, 9)]) == (4, 0)
+    # stepped back within a task, not next to the later record
+    assert late([("a", 0, 0, 0, 0, 5), ("b", 0, 0, 0, 1, 1), ("a", 0, 0, 1, 0, 4)]) == (3, 1)
+    # two tasks at the same time
+    assert late([("a", 0, 0, 0, 0, 1), ("a", 0, 1, 0, 0, 2), ("a", 0, 1, 0, 1, 3)]) == (3, 2)
+    # a later wave with earlier records
+    assert late([("a", 0, 0, 0, 0, 5), ("a", 1, 0, 0, 0, 4)]) == (2, 1)
+    assert late([]) == (0, 0)
+
+
+def test_null_key_over_parts(spark, tmp_root):
+    recs = P.to_stream_records(txns(spark, 300)).withColumn(
+        "partition_key", F.when(F.col("seq") % 2 == 0, F.col("partition_key")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        outcomes = P.send_records(recs, lambda b: [None] * len(b), ["seq"], tmp_root + "/outcomes", batch_size=20)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    [order] = P.sent_out_of_order(outcomes, ["seq"]).collect()
+    assert (order["total"], order["out_of_order"]) == (300, 0)
+
+
 def test_empty_send(spark, tmp_root):
     recs = P.to_stream_records(txns(spark, 0))
     outcomes = P.send_records(recs, lambda b: [None] * len(b), ["seq"], tmp_root + "/outcomes")
