@@ -109,7 +109,8 @@ def _likely_seeds(rows: DataFrame, items: DataFrame, keep: list[str]) -> DataFra
 
     places = F.filter(F.transform(_pairs(F.col("hashes")), lambda pair, i: F.when(listed(pair), i)),
                       lambda i: i.isNotNull())
-    placed = hashed.select(*keep, "hashes", places.alias("places")).filter(F.size("places") > 0)
+    # No filter on the places: pushed below, it would split the text anew at every word.
+    placed = hashed.select(*keep, "hashes", places.alias("places"))
     seeds = F.flatten(F.transform("places", lambda i: F.array(*[F.struct(i.alias("at"), F.when(
         i + len(m) <= F.size("hashes"), _seed(F.col("hashes"), m, i)).alias("seed")) for m in MASKS])))
     return placed.select(*keep, F.inline(F.filter(seeds, lambda s: s["seed"].isNotNull())))
