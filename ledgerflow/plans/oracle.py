@@ -518,7 +518,16 @@ objects AS (
 )
 SELECT CAST(version AS INTEGER) AS version, outcome, reason, count(*) AS records FROM listed GROUP BY ALL""")
 
-ORACLE_SQL["micro_batches"] = with_pipeline(""",
+ORACLE_SQL["run_states"] = with_pipeline("""
+SELECT CAST(step AS BIGINT) AS step, run_status, CAST(NULL AS BIGINT) AS total_records,
+  CAST(NULL AS BIGINT) AS valid_records, CAST(NULL AS BIGINT) AS quarantine_records, run_status = 'FAILED' AS has_error
+FROM (VALUES (1, 'RUNNING'), (2, 'FAILED'), (3, 'RUNNING')) AS first_states (step, run_status)
+UNION ALL
+SELECT 4, CASE WHEN bool_and(is_valid) THEN 'SUCCESS' ELSE 'PARTIAL' END, count(*),
+  count(*) FILTER (WHERE is_valid), count(*) FILTER (WHERE NOT is_valid), false
+FROM classified""")
+
+ORACLE_SQL["micro_batches"] =with_pipeline(""",
 numbered AS (
   SELECT shard_id, (event_id // 10) % 3 AS slice,
     (row_number() OVER (PARTITION BY shard_id, (event_id // 10) % 3 ORDER BY event_id) - 1) // 100 AS batch_number

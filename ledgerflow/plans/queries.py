@@ -368,6 +368,33 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_bronze(spark, lake.bronze).select(*S.TXN_FIELDS)
 
 
+def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of a streamed run in the order they were saved (D9): the first
+    attempt asks for a column that the records lack and fails before its
+    counts, the restarted query replays the batch."""
+    from pyspark.errors import StreamingQueryException
+    from pyspark.sql import Window
+
+    from ..operators.metadata import MetadataTable
+    from ..session import scratch_path
+    from ..streaming.ingest import ARRIVAL, start_ingest
+
+    log_uri = fixture_log(spark, sf_dir)
+    lake = S.LakeSettings(root=scratch_path(spark, "states-lake"))
+    for options in ({"data": "no_such_column"}, {}):
+        query = start_ingest(spark, log_uri, lake, reader_name="states_reader", clock=ARRIVAL,
+                             available_now=True, **options)
+        try:
+            query.awaitTermination()
+        except StreamingQueryException:
+            if not options:
+                raise
+    order = Window.partitionBy("run_id").orderBy("saved_at")
+    return MetadataTable(spark, lake.metadata).versions().select(
+        F.row_number().over(order).cast("long").alias("step"), "run_status", "total_records",
+        "valid_records", "quarantine_records", F.col("error_message").isNotNull().alias("has_error"))
+
+
 MICRO_BATCH_SLICES = 3
 DRAIN_AGE_SECONDS = 24 * 3600      # a drain closes by size; what stays open is reported as such
 

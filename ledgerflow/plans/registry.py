@@ -27,6 +27,7 @@ QUERIES = {
     "shard_audit": Q.shard_audit,
     "shard_resume": Q.shard_resume,
     "stream_ingest": Q.stream_ingest,
+    "run_states": Q.run_states,
     "micro_batches": Q.micro_batches,
     "producer_records": Q.producer_records,
     "producer_batches": Q.producer_batches,

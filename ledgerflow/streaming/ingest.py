@@ -71,28 +71,51 @@ def stream_source(spark: SparkSession, log_uri: str, *, checkpoint: str,
             F.col("arrival_ts") >= F.lit(_started_at(spark, checkpoint)).cast("timestamp"))
     elif iterator_type != shard_log.TRIM_HORIZON:
         raise ValueError(f"unknown iterator type {iterator_type!r}")
-    return records.withColumn("_batch_ts", F.current_timestamp())
+    # to the second, as the run id and the metadata name it
+    return records.withColumn("_batch_ts", F.date_trunc("second", F.current_timestamp()))
 
 
-def batch_handler(settings: S.LakeSettings, reader_name: str, clock: str = PROCESSING,
+def batch_moment(spark: SparkSession, checkpoint: str, batch_id: int) -> datetime:
+    """Second of a micro-batch's instant, from the checkpoint's offset log.
+
+    It is what ``current_timestamp()`` gives in that batch, replays
+    included, and is known before a record is read.
+    """
+    text = spark.read.text(f"{checkpoint.rstrip('/')}/offsets/{batch_id}", wholetext=True).first()[0]
+    millis = json.loads(text.splitlines()[1])["batchTimestampMs"]
+    return datetime.fromtimestamp(millis // 1000, timezone.utc)
+
+
+def batch_handler(settings: S.LakeSettings, reader_name: str, checkpoint: str, clock: str = PROCESSING,
                   **ingest_options):
-    """The ``foreachBatch`` function: one run per micro-batch."""
+    """The ``foreachBatch`` function: one run per micro-batch.
+
+    RUNNING is saved before the batch is read and FAILED with the error
+    whatever part of the batch fails (D9); a replay has the same run id.
+    """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        table = MetadataTable(spark, settings.metadata)
         now = F.col("arrival_ts") if clock == ARRIVAL else F.col("_batch_ts")
         request_id = f"{reader_name}-{batch_id}"
-        runs = ingest(batch, settings,
-                      now=now, run_ts=F.col("_batch_ts"),
-                      request_id=F.lit(request_id),
-                      run_partition=True, **ingest_options)
-        if runs.isEmpty():
-            # a batch without records is a run too: SUCCESS with zero counts
-            moment = datetime.now(timezone.utc).replace(microsecond=0).isoformat()
-            MetadataTable(batch.sparkSession, settings.metadata).save_one(
-                pipeline_name=ingest_options.get("pipeline_name", S.PIPELINE_NAME),
-                run_id=f"{moment}___{request_id}", run_status=S.STATUS_SUCCESS, start_ts=moment,
-                end_ts=moment, total_records=0, valid_records=0, quarantine_records=0,
-                lambda_request_id=request_id)
+        moment = batch_moment(spark, checkpoint, batch_id).isoformat()
+        known = {"pipeline_name": ingest_options.get("pipeline_name", S.PIPELINE_NAME),
+                 "run_id": f"{moment}___{request_id}", "start_ts": moment, "lambda_request_id": request_id}
+        table.save_one(run_status=S.STATUS_RUNNING, **known)
+        try:
+            runs = ingest(batch, settings,
+                          now=now, run_ts=F.col("_batch_ts"),
+                          request_id=F.lit(request_id),
+                          run_partition=True, **ingest_options)
+            if runs.isEmpty():
+                # a batch without records is a run too: SUCCESS with zero counts
+                table.save_one(run_status=S.STATUS_SUCCESS, end_ts=datetime.now(timezone.utc).isoformat(),
+                               total_records=0, valid_records=0, quarantine_records=0, **known)
+        except Exception as exc:
+            table.save_one(run_status=S.STATUS_FAILED, end_ts=datetime.now(timezone.utc).isoformat(),
+                           error_message=str(exc), **known)
+            raise
 
     return handle
 
@@ -110,7 +133,7 @@ def start_ingest(spark: SparkSession, log_uri: str, settings: S.LakeSettings, *,
     writer = (source.writeStream
               .queryName(reader_name)
               .option("checkpointLocation", checkpoint)
-              .foreachBatch(batch_handler(settings, reader_name, clock, **ingest_options)))
+              .foreachBatch(batch_handler(settings, reader_name, checkpoint, clock, **ingest_options)))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
     return writer.start()

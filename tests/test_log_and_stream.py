@@ -63,6 +63,30 @@ def test_stream_ingest_restart_reads_nothing_new(spark, tmp_root):
     assert sinks.read_bronze(spark, other.bronze).count() == 12
 
 
+def test_unreadable_file_leaves_a_failed_run(spark, tmp_root):
+    """An error of the source itself, before any count, ends in FAILED under the batch's run id."""
+    import os
+
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    uri = tmp_root + "/log"
+    land_fixture(spark, uri, n=6, start=datetime.now(timezone.utc).replace(microsecond=0))
+    with open(f"{uri}/shard_id=shard-0/broken.parquet", "wb") as out:
+        out.write(b"not a parquet file")
+    lake = S.LakeSettings(root=tmp_root + "/lake")
+    for _ in range(2):                               # the replay fails under the same run id
+        with pytest.raises(StreamingQueryException):
+            SI.start_ingest(spark, uri, lake, reader_name="r", available_now=True).awaitTermination()
+    table = MetadataTable(spark, lake.metadata)
+    [run] = table.latest().collect()
+    assert run["run_status"] == S.STATUS_FAILED and run["error_message"] and run["total_records"] is None
+    assert run["run_id"] == f"{run['start_ts']}___r-0"
+    assert [r["run_status"] for r in table.versions().orderBy("saved_at").collect()] == [
+        S.STATUS_RUNNING, S.STATUS_FAILED] * 2
+    assert not os.path.exists(lake.bronze)
+
+
 def test_stream_latest_skips_old_records(spark, tmp_root):
     uri = tmp_root + "/log"
     land_fixture(spark, uri, n=6, start=T0)
