@@ -36,3 +36,16 @@ def test_hot_card_spans_tasks(spark):
     assert got["c05-9"]["seq_no"] == 10 and float(got["c05-9"]["running_amount"]) == 20.0
     seq = sorted(r["seq_no"] for r in got.values() if r["card_id"] == "hot")
     assert seq == list(range(1, 3001))
+
+
+def test_records_are_cut_into_tasks_by_rows(spark):
+    """A record costs far more than its bytes: no task may hold a share that grows with the table."""
+    from ledgerflow.sources.fixture import raw_records
+
+    events = spark.range(2000).selectExpr("id AS event_id", "id % 7 AS user_id", "CAST(id AS DOUBLE) AS value",
+                                          "timestamp_seconds(1700000000 + id) AS ts")
+    raw = raw_records(events, rows_per_task=100)
+    per_task = raw.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert raw.rdd.getNumPartitions() == 20 and sum(r["count"] for r in per_task) == 2000
+    assert raw_records(events).rdd.getNumPartitions() == 1
+    assert raw.groupBy("batch_id").agg(F.countDistinct("batch_now").alias("n")).filter("n > 1").isEmpty()
