@@ -76,8 +76,10 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
            exact_decode_messages: bool = True) -> DataFrame:
     """Process raw records; return the saved metadata rows (one per run).
 
-    The writes keep the width of the input and start a new file every
-    ``rows_per_file`` rows.
+    The writes start a new file every ``rows_per_file`` rows.  A bulk load
+    (``run_partition=False``) gathers the rows of a day first, a large day in
+    several tasks: the files grow with days plus data, not with days times
+    tasks.  A run with a folder of its own keeps the width of the input.
     ``exact_decode_messages`` puts the parser's own message in the decode
     reasons of the files (a Python step over the quarantined rows only);
     without it they hold a fixed text.
@@ -90,6 +92,11 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
                                 quarantine_ts=quarantine_ts, data=data,
                                 threshold_seconds=threshold_seconds, rules=rules)
     classified = sinks.with_day_partition(classified, "_run_ts")
+
+    def by_day(rows: DataFrame) -> DataFrame:
+        days = [c for c in (*sinks.DAY_COLUMNS, "partition_path") if c in rows.columns]
+        return rows if run_partition else rows.hint("rebalance", *days)
+
     runs = staged = None
     try:
         # stage only what the counts and the two writes read, not the parse
@@ -101,7 +108,7 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
         runs = stage(runs.select(
             "*", FM.iso_offset(F.col("_run_ts")).alias("start_ts"),
             FM.partition_path(F.col("_run_ts")).alias("partition_path"),
-        ), "runs")
+        ).transform(by_day), "runs")
         totals = runs.agg(F.sum("valid").alias("valid"),
                           F.sum("quarantined").alias("quarantined")).first()
         n_valid = int(totals["valid"] or 0)
@@ -118,13 +125,13 @@ def ingest(raw: DataFrame, settings: S.LakeSettings, *,
         keep = ("run_id", *sinks.DAY_COLUMNS)
         if n_valid > 0:
             bronze = classified.filter(F.col("is_valid")).select(*keep, "_bronze.*")
-            sinks.write_ndjson(bronze, settings.bronze, partition_by=layout, mode=mode,
+            sinks.write_ndjson(by_day(bronze), settings.bronze, partition_by=layout, mode=mode,
                                rows_per_file=rows_per_file)
         if n_quarantined > 0:
             quarantine = classified.filter(~F.col("is_valid")).select(*keep, "_quarantine.*")
             if exact_decode_messages:
                 quarantine = D.with_exact_decode_messages(quarantine)
-            sinks.write_ndjson(quarantine, settings.quarantine, partition_by=layout, mode=mode,
+            sinks.write_ndjson(by_day(quarantine), settings.quarantine, partition_by=layout, mode=mode,
                                rows_per_file=rows_per_file)
 
         def run_path(base: str) -> Column:

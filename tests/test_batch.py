@@ -218,3 +218,21 @@ def test_failed_run_before_any_count(spark, tmp_root):
     assert row["lambda_request_id"] == "req-9"
     statuses = {r["run_status"] for r in MetadataTable(spark, lake.metadata).versions().collect()}
     assert statuses == {"RUNNING", "FAILED"}
+
+
+def test_bulk_load_writes_a_day_together(spark, tmp_root):
+    """Files of a bulk load grow with days, not with days times tasks."""
+    import glob
+
+    from ledgerflow.plans.batch import ingest
+    days, per_day = 12, 40
+    rows = [(NOW + timedelta(days=i % days), bytearray(as_bytes(txn() if i % 2 else b"no json")))
+            for i in range(days * per_day)]
+    raw = spark.createDataFrame(rows, "t timestamp, data binary").repartition(8)
+    lake = S.LakeSettings(root=tmp_root)
+    ingest(raw, lake, now=F.col("t"), request_id=F.date_format("t", "dd"), run_partition=False)
+    for zone in (lake.bronze, lake.quarantine):
+        files = glob.glob(f"{zone}/*/*/*/*.json")
+        assert len(files) == len({f.rsplit("/", 1)[0] for f in files}) <= days
+    saved = glob.glob(f"{lake.metadata}/*/*/*.parquet")
+    assert len(saved) == days
