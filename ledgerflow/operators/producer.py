@@ -86,7 +86,8 @@ def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
     the ``order`` columns, which the outcomes repeat; an empty input calls
     nothing.
 
-    The parts of the range partitioning are staged.  A key that stands in
+    The records are staged, as the range partitioning reads them twice (a
+    sample, then the rows), and so are its parts.  A key that stands in
     several parts waits in each but the first until the wave of the part
     before is through; every other record belongs to the first wave.  There
     are as many waves as the most frequent key has parts, and each later one
@@ -126,8 +127,9 @@ def send_records(records: DataFrame, put_batch: Callable[[pd.DataFrame], list],
         if held is not None and len(held):
             yield put(held)
 
-    parts = stage(records.select("data", *keys).repartitionByRange(*keys)
-                  .withColumn("_part", F.spark_partition_id()), "send")
+    made = stage(records.select("data", *keys), "send-input")
+    parts = stage(made.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()), "send")
+    discard(made)
     ends = _part_ends(parts).collect()          # at most two rows per part
     waiting = [(row["_part"], row["partition_key"], row["wave"]) for row in ends if row["wave"] > 0]
     for wave in range(1 + max((w for _, _, w in waiting), default=0)):

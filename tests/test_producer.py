@@ -145,3 +145,17 @@ def test_preview_line(spark):
     [row] = P.preview(txns(spark, 1), ["seq"]).collect()
     assert row["line"] == ("[0001] 00000000-0000-4000-8000-000000000000 $     0.50 USD "
                            "APPROVED  POS        card=44444444… mcc=5411")
+
+
+def test_send_makes_each_record_once(spark, tmp_root):
+    """The sample of the range partitioning does not make the records again."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("binary")
+    def counted(data):
+        made.add(1)
+        return data
+
+    recs = P.to_stream_records(txns(spark, 300)).repartition(5).withColumn("data", counted.asNondeterministic()("data"))
+    outcomes = P.send_records(recs, lambda batch: [None] * len(batch), ["seq"], tmp_root + "/outcomes")
+    assert outcomes.count() == 300 and made.value == 300
