@@ -327,6 +327,9 @@ def metadata_by_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 # Shard log and streaming ingest (R1-R10, T8 in a stream)
 # ---------------------------------------------------------------------------
+LOG_RECORDS_PER_FILE = 100_000
+
+
 def fixture_log(spark: SparkSession, sf_dir: str) -> str:
     """The fixture records landed as a sharded log (arrival = batch clock)."""
     from ..session import scratch_path
@@ -339,7 +342,7 @@ def fixture_log(spark: SparkSession, sf_dir: str) -> str:
             F.col("event_id").alias("sequence_number"),
             F.col("batch_now").alias("arrival_ts"),
             F.lit(None).cast("string").alias("partition_key"),
-            "data"), uri)
+            "data"), uri, records_per_file=LOG_RECORDS_PER_FILE)
         return uri
 
     return _once(spark, sf_dir, "log", build, alive=lambda uri: _exists(spark, uri))
@@ -396,6 +399,7 @@ def run_states(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MICRO_BATCH_SLICES = 3
+MICRO_BATCH_FILES = 16             # a trigger reads at most so many files: a key's rows of it pass Python at once
 DRAIN_AGE_SECONDS = 24 * 3600      # a drain closes by size; what stays open is reported as such
 
 
@@ -407,6 +411,7 @@ def micro_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     log_uri = fixture_log(spark, sf_dir)
     target, checkpoint = scratch_path(spark, "batches"), scratch_path(spark, "batches-checkpoint")
     B.drain_batches(spark, log_uri, target, checkpoint, max_age_seconds=DRAIN_AGE_SECONDS,
+                    max_files_per_trigger=MICRO_BATCH_FILES,
                     slice_by=F.floor(F.col("sequence_number") / 10) % MICRO_BATCH_SLICES)
     formed = B.closed_batches(spark, target).unionByName(B.open_batches(spark, checkpoint))
     return formed.groupBy("shard_id", "slice", "batch_number").agg(

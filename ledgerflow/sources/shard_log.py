@@ -36,10 +36,11 @@ def land(records: DataFrame, uri: str, mode: str = "append",
     partition_key, data``) to the log, one folder per shard.
 
     Each task sorts its rows by shard and sequence, so every file holds
-    one shard's records in order.  There is no shuffle by shard: a shard
-    holding a large share of the stream is still written by all tasks.
+    one shard's records in order.  Rows are gathered by shard, so the files
+    grow with shards plus data, not with shards times tasks; a shard holding
+    a large share of the stream is cut and written by many tasks.
     """
-    ordered = records.select(*[f.name for f in LOG_SCHEMA.fields]) \
+    ordered = records.select(*[f.name for f in LOG_SCHEMA.fields]).hint("rebalance", "shard_id") \
         .sortWithinPartitions("shard_id", "sequence_number")
     writer = ordered.write.mode(mode).partitionBy("shard_id")
     if records_per_file:

@@ -126,3 +126,36 @@ def test_bronze_to_silver_parquet(spark, tmp_root):
     [row] = spark.read.parquet(lake.silver).collect()
     assert row["transaction_ts"] == T0.replace(tzinfo=None) or row["transaction_ts"].year == 2026
     assert (row["year"], row["month"], row["day"]) == ("2026", "04", "28")
+
+
+def test_land_gathers_a_shard(spark, tmp_root):
+    """Files grow with shards and data, not with shards times tasks."""
+    import glob
+
+    rows = [(f"shard-{i % 3}", i, T0 + timedelta(seconds=i), "k", bytearray(b"r")) for i in range(240)]
+    df = spark.createDataFrame(rows, "shard_id string, sequence_number long, arrival_ts timestamp, "
+                                     "partition_key string, data binary").repartition(8)
+    shard_log.land(df, tmp_root + "/log", records_per_file=50)
+    files = glob.glob(tmp_root + "/log/*/*.parquet")
+    assert len(files) == 6                           # 80 records of a shard: 50 and 30
+    assert max(spark.read.parquet(f).count() for f in files) == 50
+    assert shard_log.read(spark, tmp_root + "/log").count() == 240
+
+
+def test_micro_batches_read_a_bounded_number_of_files(spark, tmp_root, monkeypatch):
+    from ledgerflow.plans import queries as Q
+    from ledgerflow.streaming import batches as B
+
+    asked = {}
+    drain = B.drain_batches
+
+    def drain_batches(*args, **options):
+        asked.update(options)
+        drain(*args, **options)
+
+    land_fixture(spark, tmp_root + "/log", n=36)
+    monkeypatch.setattr(Q, "fixture_log", lambda spark, sf_dir: tmp_root + "/log")
+    monkeypatch.setattr(Q, "MICRO_BATCH_FILES", 1, raising=False)
+    monkeypatch.setattr(B, "drain_batches", drain_batches)
+    assert sum(r["records"] for r in Q.micro_batches(spark, "").collect()) == 36
+    assert asked["max_files_per_trigger"] == 1
