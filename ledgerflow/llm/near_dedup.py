@@ -17,9 +17,16 @@ Every text becomes its set of distinct 5-word shingles, hashed once; the
    Verified links merge classes into components.
 4. Lists whose members are still in different components are compared
    exactly: of the full sets, only the rarest shingles (a set may miss at
-   most 1 - threshold of its shingles) index a document, so members of a large
-   group that are not linked to its core share no rare shingle and produce
-   no pairs.  Pairs within one component are never made.
+   most 1 - threshold of its shingles) index a document.  First every
+   document is tried with the most central one of each of its index lists, the one
+   whose shingles are held most often; in a large group of near copies that is the
+   copy with the fewest changes of its own, so the group's links merge without
+   being listed.  Then pairs in different components are made.  Pairs
+   within one component are never made.
+5. Both joins carry the parity bits of the whole sets: sets whose bits differ in
+   more places than the threshold allows them members of their own can't be
+   linked.  This is exact, and stops the pairs of a large group's members
+   that are similar but not linked inside the join.
 
 The threshold is an argument: ``PERCENT`` for op1, the pipeline's stages ask
 for 80.  Components are exact up to the sketch bounds above (below 1e-8 a
@@ -56,8 +63,10 @@ LISTS = 16
 OVERLAP_FLOOR = 0.40
 ESTIMATE_SLACK = 37    # percent by which an estimate may lie below the threshold
 SET_VALUES = 500_000   # shingles after which a task hands on its full sets
+PARITY = 8             # 64-bit numbers of a set's parity bits
 
 SIGNATURE = "doc_id bigint, n_shingles bigint, digest binary, sketch array<bigint>"
+SETS = "rep bigint, n bigint, set array<bigint>, bits array<bigint>"
 
 
 def shingle_set(hashes: np.ndarray) -> np.ndarray:
@@ -68,6 +77,12 @@ def shingle_set(hashes: np.ndarray) -> np.ndarray:
     return np.unique((windows(hashes, width) >> np.uint64(1)).astype(np.int64))
 
 
+def parity_bits(values: np.ndarray) -> np.ndarray:
+    """Whether each of 64 * ``PARITY`` residues has an odd number of a set's shingles."""
+    odd = np.bincount(values % (64 * PARITY), minlength=64 * PARITY) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").astype(np.int64)
+
+
 def _lists_array(parts: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int32)
     values = np.concatenate(parts) if parts else np.empty(0, dtype=np.int64)
@@ -93,7 +108,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -> DataFrame:
-    """(rep, n, set) of the documents whose id may be in the Bloom bitmap."""
+    """(rep, n, set, bits) of the documents whose id may be in the Bloom bitmap."""
     shared = docs.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches):
@@ -107,12 +122,13 @@ def full_sets(docs: DataFrame, wanted: np.ndarray, id_col: str, text_col: str) -
                 if size >= SET_VALUES or row == batch.num_rows - 1:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).slice(first, len(held)),
-                         pa.array([len(v) for v in held], pa.int64()), _lists_array(held)],
-                        names=["rep", "n", "set"])
+                         pa.array([len(v) for v in held], pa.int64()), _lists_array(held),
+                         _lists_array([parity_bits(v) for v in held])],
+                        names=["rep", "n", "set", "bits"])
                     held, first, size = [], row + 1, 0
 
     return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-            .filter("doc_id IS NOT NULL").mapInArrow(trimmed(run), "rep bigint, n bigint, set array<bigint>"))
+            .filter("doc_id IS NOT NULL").mapInArrow(trimmed(run), SETS))
 
 
 def estimate_passes(a: Column, b: Column, percent: int = PERCENT) -> Column:
@@ -162,40 +178,78 @@ def _star_pairs(lists: DataFrame) -> DataFrame:
             .select("a", F.col("rep").alias("b")).distinct())
 
 
-def _residual_pairs(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs across components that share one of their rarest shingles."""
+def _residual_index(lists: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """(rep, n, bits, weight, left, h): documents of mixed lists by their rarest shingles.
+
+    ``left`` is the most that a pair can still share when h is its first
+    common shingle, ``weight`` tells how often a document's shingles are held.
+    """
     named = lists.join(labels, lists["rep"] == labels["node"], "left").select(
         "v", "rep", F.coalesce("component", "rep").alias("c"))
     named = stage(named, "near-named")
     mixed = stage(named.groupBy("v").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
                   .filter("lo <> hi").select("v"), "near-mixed")
-    open_docs = stage(named.join(mixed, "v").select("rep", "c").distinct(), "near-open")
+    open_docs = stage(named.join(mixed, "v").select("rep").distinct(), "near-open")
     rows = stage(sets.join(open_docs, "rep"), "near-open-sets")
-    values = rows.select("rep", "n", "c", F.explode("set").alias("h"))
+    values = rows.select("rep", "n", "bits", F.explode("set").alias("h"))
     df = stage(values.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1"), "near-df")
     # Shingles held by one document only come first in the order; they fill
     # the prefix without generating anything, so only their number counts.
     prefix = F.col("n") - F.ceil(F.col("n") * percent / F.lit(100)) + 1
-    shared = values.join(df, "h").groupBy("rep", "n", "c").agg(
-        F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs"))
+    shared = values.join(df, "h").groupBy("rep", "n", "bits").agg(
+        F.array_sort(F.collect_list(F.struct("df", "h"))).alias("hs"), F.sum("df").alias("weight"))
     room = prefix - (F.col("n") - F.size("hs"))
-    # left: shingles from this one on, the most that a pair can still share
-    # when this is its first common shingle.
-    index = stage(shared.filter(room > 0).select(
-        "rep", "n", "c", F.size("hs").alias("later"),
+    return stage(shared.filter(room > 0).select(
+        "rep", "n", "bits", "weight", F.size("hs").alias("later"),
         F.posexplode(F.slice("hs", F.lit(1), room.cast("int"))).alias("at", "x"))
-        .select("rep", "n", "c", (F.col("later") - F.col("at")).alias("left"), "x.h"), "near-index")
+        .select("rep", "n", "bits", "weight", (F.col("later") - F.col("at")).alias("left"), "x.h"), "near-index")
+
+
+def _may_link(percent: int) -> Column:
+    """Whether index rows x and y of different components can be of a linked pair, exactly."""
+    sizes = F.col("x.n") + F.col("y.n")
+    apart = sum((F.bit_count(F.col("x.bits")[i].bitwiseXOR(F.col("y.bits")[i])) for i in range(PARITY)), F.lit(0))
+    return ((F.col("x.c") != F.col("y.c"))
+            & (F.least("x.left", "y.left") * (100 + percent) >= sizes * percent)
+            & (apart * (100 + percent) <= sizes * (100 - percent)))
+
+
+def _labelled(index: DataFrame, labels: DataFrame, name: str) -> DataFrame:
+    return stage(index.join(labels, index["rep"] == labels["node"], "left").select(
+        *index.columns, F.coalesce("component", "rep").alias("c")), name)
+
+
+def _central_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """Every document with the most central one of each of its index lists."""
+    pivots = stage(index.groupBy("h").agg(
+        F.max(F.struct("weight", "rep", "n", "left", "c", "bits")).alias("p"), F.min("c").alias("lo"),
+        F.max("c").alias("hi")).filter("lo <> hi").select("h", "p.*"), "near-central")
+    return (index.alias("x").join(pivots.alias("y"), F.col("x.h") == F.col("y.h")).filter(_may_link(percent))
+            .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+
+
+def _cross_pairs(index: DataFrame, percent: int) -> DataFrame:
+    """Pairs across components that share one of their rarest shingles."""
     a, b = index.alias("x"), index.alias("y")
-    enough = (F.least("x.left", "y.left") * (100 + percent)
-              >= (F.col("x.n") + F.col("y.n")) * percent)
     return (a.join(b, F.col("x.h") == F.col("y.h"))
-            .filter((F.col("x.rep") < F.col("y.rep")) & (F.col("x.c") != F.col("y.c")) & enough)
+            .filter((F.col("x.rep") < F.col("y.rep")) & _may_link(percent))
             .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
 
 
+def _merged(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Components of nodes with labels and further links."""
+    if links.isEmpty():
+        return labels
+    known = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
+    return stage(components(known.unionByName(links)), name)
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), one row per document."""
+                    percent: int = PERCENT, repeated: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), one row per document.
+
+    ``repeated``: rows repeat an id together with its text; such sets are compared once.
+    """
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"percent {percent} is not in {LEAST_PERCENT}..100")
     small_batches(docs.sparkSession)
@@ -207,16 +261,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lists = _lists(classes)
     members = lists.select("rep").distinct()
     wanted, _ = bloom.build(members, members.count())
-    sets = stage(full_sets(docs, wanted, id_col, text_col), "near-sets")
+    sets = full_sets(docs, wanted, id_col, text_col)
+    sets = stage(sets.distinct() if repeated else sets, "near-sets")
     links = stage(_verified(_estimated(_star_pairs(lists), classes, percent), sets, percent), "near-links")
     labels = stage(components(links), "near-labels")
-    residual = _residual_pairs(lists, sets, labels, percent)
-    more = stage(_verified(_estimated(residual, classes, percent), sets, percent), "near-more")
-    if more.isEmpty():
-        found = labels
-    else:
-        merged = labels.select(F.col("component").alias("a"), F.col("node").alias("b"))
-        found = stage(components(merged.unionByName(more)), "near-components")
+    index = _residual_index(lists, sets, labels, percent)
+    central = _central_pairs(_labelled(index, labels, "near-labelled"), percent)
+    labels = _merged(labels, stage(_verified(central, sets, percent), "near-core"), "near-core-labels")
+    cross = _cross_pairs(_labelled(index, labels, "near-relabelled"), percent)
+    found = _merged(labels, stage(_verified(cross, sets, percent), "near-more"), "near-components")
 
     # A class may be one node with another id of a repeated document.
     label = stage(classes.join(found, classes["rep"] == found["node"], "left").select(
@@ -234,7 +287,7 @@ def text_groups(docs: DataFrame, text_col: str = "text", percent: int = PERCENT)
     """
     key = F.xxhash64(text_col)
     texts = docs.select(key.alias("text_key"), F.col(text_col).alias("text"))
-    keyed = stage(near_duplicates(texts, "text_key", percent=percent).groupBy(
+    keyed = stage(near_duplicates(texts, "text_key", percent=percent, repeated=True).groupBy(
         F.col("doc_id").alias("text_key"), F.col("component_id").alias("group"))
         .agg(F.count("*").alias("copies")), "near-texts")
     linked = keyed.filter(F.col("text_key") != F.col("group"))

@@ -1,8 +1,12 @@
+import random
+
 import corpus_pipeline
+import numpy as np
 import pytest
 from corpus import LOWER, by_id, corpus, frame, words
 from pyspark.sql import functions as F
 
+from ledgerflow.llm import near_dedup
 from ledgerflow.llm.components import components
 from ledgerflow.llm.near_dedup import drop_near_duplicates, near_duplicates
 
@@ -83,3 +87,51 @@ def test_threshold_of_the_pipeline(spark):
     assert [i for i in sorted(got) if got[i].kept] == [0, 1, 10, 11, 20]
     with pytest.raises(ValueError):
         near_duplicates(df, percent=79)
+
+
+def test_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
+    # Copies without some words of one text: a few are linked to it, most are similar only.
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 161):
+        gone = set(rng.sample(range(150), rng.randint(1, 10)))
+        rows.append((i, " ".join(w for k, w in enumerate(base) if k not in gone)))
+    tried, verified = [], near_dedup._verified
+
+    def counted(pairs, sets, percent):
+        tried.append(pairs.count())
+        return verified(pairs, sets, percent)
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    got = by_id(near_duplicates(frame(spark, rows)))
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute(rows)
+    # Without the stars, which make up to LISTS pairs a document.
+    assert sum(tried[1:]) < 3 * len(rows)
+
+
+def test_parity_bits_never_exceed_the_difference():
+    rng = np.random.default_rng(3)
+    for size in (1, 40, 900):
+        a = np.unique(rng.integers(0, 1 << 62, size))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 1 << 62, size // 2)]))
+        apart = sum(int(x).bit_count() for x in (near_dedup.parity_bits(a) ^ near_dedup.parity_bits(b)).view(np.uint64))
+        assert apart <= len(np.setxor1d(a, b))
+        assert not (near_dedup.parity_bits(a) ^ near_dedup.parity_bits(a)).any()
+
+
+def test_copies_are_compared_once(spark, monkeypatch):
+    # 30 rows of one text and 30 of a near copy are one link, not 900.
+    text = [f"w{i}" for i in range(90)]
+    rows = [(i, " ".join(text[i % 2:])) for i in range(60)]
+    made, verified = [], near_dedup._verified
+
+    def counted(pairs, sets, percent):
+        found = verified(pairs, sets, percent)
+        made.append(found.count())
+        return found
+
+    monkeypatch.setattr(near_dedup, "_verified", counted)
+    groups = near_dedup.text_groups(frame(spark, rows)).collect()
+    assert len(groups) == 2 and len({r["group"] for r in groups}) == 1
+    assert max(made) == 1
