@@ -58,13 +58,19 @@ def trimmed(run):
 
 
 def release_memory() -> None:
+    """Collect garbage, then give freed memory back to the system."""
+    import gc
+
+    gc.collect()
+    trim_memory()
+
+
+def trim_memory() -> None:
     """Give freed memory of Arrow and of the C library back to the system."""
     import ctypes
-    import gc
 
     import pyarrow as pa
 
-    gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim:

@@ -41,14 +41,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import small_batches, stage, text_or_empty, trimmed
+from .common import small_batches, stage, text_or_empty, trim_memory, trimmed
 
 LEAST = 10
 TOP = 2000
 HALF = 50              # percent of a phrase's count that makes a longer one absorb it
 BURST = 1 << 12        # entries of a container before it bursts
-ENTRIES = 3 << 18      # entries of a trie before subtrees are spilled
-WORDS = 1 << 18        # words of a task's dictionary before all is spilled
+ENTRIES = 1 << 18      # entries of a trie before subtrees are spilled
+WORDS = 1 << 17        # words of a task's dictionary before all is spilled
 BITS = 21              # of a word's rank in a run
 LAST = (1 << BITS) - 1
 PIECE = 1 << 19        # bytes of text entered at a time
@@ -181,6 +181,9 @@ class Counter:
                 self._clear()                         # numbers stay below 2**BITS
             elif self.trie.entries > ENTRIES:
                 yield from self.spill(ENTRIES // 2)
+            else:
+                continue
+            trim_memory()                             # what a spill took is not kept
 
     def finish(self):
         """The rest of the trie and the word totals."""

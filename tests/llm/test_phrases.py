@@ -107,3 +107,15 @@ def test_score_is_exact(spark):
     rows = spark.createDataFrame(values, "a bigint, l bigint, r bigint").select(
         "a", "l", "r", phrases.floor_score(*map(lambda c: __import__("pyspark.sql.functions", fromlist=["col"]).col(c), "alr")).alias("s"))
     assert all(r.s == 1_000_000 * r.a * r.a // (r.l * r.r) for r in rows.collect())
+
+
+def test_a_task_spills_before_it_holds_much():
+    # Nearly as many different triples as words: the trie is spilled on the way, and stays small.
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    counter, runs = phrases.Counter(4), 0
+    for _ in range(8):
+        text = " ".join(rng.choices(words, k=50_000)).encode()
+        runs += sum(b.num_rows for b in counter.enter("en", text))
+        assert counter.trie.entries <= 1 << 18
+    assert runs
