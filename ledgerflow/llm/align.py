@@ -7,7 +7,8 @@ sequences into groups; the last tokens of a group are linked.
 1. A text is cut into units before a blank that follows a character which
    is neither white space nor U+2581.  Neither vocabulary has a token across
    such a place (checked for B's pieces), so a unit is encoded and aligned by
-   itself, once per task while it is remembered.
+   itself, once per call and Python worker while it is remembered: the tasks
+   of a call that a worker runs one after the other share its units.
 2. The identity map holds, for each A id, the B id with the same bytes.  A
    group of one A token and that B token is exact; it is kept as its A id
    and counted in a vector of A's length.  Only the links of the other
@@ -36,6 +37,7 @@ import hashlib
 import os
 import re
 import struct
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -46,7 +48,7 @@ from pyspark.sql import functions as F
 from .bpe import byte_alphabet
 from .common import small_batches, stage, trimmed
 
-UNITS = 1 << 19        # units remembered by a task, about 200 bytes each
+UNITS = 1 << 19        # units remembered by a worker, about 200 bytes each
 LONG = 48              # characters beyond which a unit is not remembered
 ROWS = 256             # rows of an output batch
 CUT = re.compile(r"(?<=[^\s▁])(?= )")
@@ -95,7 +97,7 @@ def most_pairs(a: list[bytes], b: list[bytes]) -> int:
 
 
 class Aligner:
-    """Both vocabularies and the units of one task."""
+    """Both vocabularies and the units of one worker."""
 
     def __init__(self, a_json: str, b_model: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -154,7 +156,7 @@ class Aligner:
         found = {}
         for at in range(0, len(keys), 4096):
             some = keys[at:at + 4096]
-            ours = self.first.encode_batch([" " + k for k in some], add_special_tokens=False)
+            ours = self.first.encode_batch_fast([" " + k for k in some], add_special_tokens=False)
             theirs = self.second.encode(some, out_type=int, num_threads=1)
             for key, x, y in zip(some, ours, theirs):
                 a_ids, b_ids = x.ids, y if key else [blank]
@@ -198,6 +200,17 @@ class Aligner:
             self.misses = 0
 
 
+_KEPT: dict[str, Aligner] = {}   # of this worker: that of the last call
+
+
+def kept_aligner(call: str, files: tuple[str, bytes]) -> Aligner:
+    """The worker's aligner of a call, with the units that the call's earlier tasks have met."""
+    if call not in _KEPT:
+        _KEPT.clear()
+        _KEPT[call] = Aligner(*files)
+    return _KEPT[call]
+
+
 def _files(spark, a_path: str, b_path: str):
     with open(a_path, encoding="utf-8") as a, open(b_path, "rb") as b:
         return spark.sparkContext.broadcast((a.read(), b.read()))
@@ -207,10 +220,10 @@ def encode_links(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_i
                  text_col: str = "text") -> DataFrame:
     """Counts, digest and packed links of every document: A ids of exact groups, codes of the other pairs."""
     small_batches(docs.sparkSession)
-    files = _files(docs.sparkSession, a_path, b_path)
+    files, call = _files(docs.sparkSession, a_path, b_path), uuid.uuid4().hex
 
     def run(batches):
-        aligner = Aligner(*files.value)
+        aligner = kept_aligner(call, files.value)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 rows = batch.slice(at, ROWS)
@@ -234,6 +247,7 @@ def link_counts(encoded: DataFrame, same: np.ndarray, exact_type: str) -> DataFr
     size = len(same)
 
     def run(batches):
+        _KEPT.clear()                         # the units are not needed any more
         vector = np.zeros(size, dtype=np.int64)
         others: Counter[int] = Counter()
         for batch in batches:

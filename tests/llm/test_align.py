@@ -105,3 +105,17 @@ def test_linked_tokens_end_each_other(tokenizers):
     same = align.identity_map(a_raw, b_raw)
     assert all(same[i] < 0 or a_raw[i] == b_raw[same[i]] for i in range(len(a_raw)))
     assert align.most_pairs(a_raw, b_raw) < 1_000_000
+
+
+def test_units_are_shared_by_the_tasks_of_a_call(monkeypatch):
+    monkeypatch.setattr(align, "_KEPT", {})
+    with open(A, encoding="utf-8") as a, open(B, "rb") as b:
+        files = a.read(), b.read()
+    first = align.kept_aligner("one", files)
+    found = first.text("some words of a task")
+    again = align.kept_aligner("one", files)
+    assert again is first and again.text("some words of a task") == found
+    monkeypatch.setattr(first, "_learn", lambda keys: pytest.fail("met before") if keys else {})
+    assert again.text("words of some task a") != found
+    other = align.kept_aligner("two", files)
+    assert other is not first and not other.units and list(align._KEPT) == ["two"]
