@@ -107,7 +107,7 @@ def test_large_group_of_near_copies_makes_few_pairs(spark, monkeypatch):
     got = by_id(near_duplicates(frame(spark, rows)))
     assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == brute(rows)
     # Without the stars, which make up to LISTS pairs a document.
-    assert sum(tried[1:]) < 3 * len(rows)
+    assert sum(tried[1:]) < len(rows)
 
 
 def test_parity_bits_never_exceed_the_difference():
