@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import trimmed
+from .common import local_rows, trimmed
 
 SEGMENT_BITS = 1 << 16
 SEGMENT_BYTES = SEGMENT_BITS // 8
@@ -97,7 +97,7 @@ def build(hashes: DataFrame, n_rows: int) -> tuple[np.ndarray, np.ndarray]:
     parts = parts.groupBy("segment").applyInPandas(merge, schema)
     once = np.zeros(n_segments * SEGMENT_BYTES, dtype=np.uint8)
     twice = np.zeros(n_segments * SEGMENT_BYTES, dtype=np.uint8)
-    for row in parts.toLocalIterator():
+    for row in local_rows(parts):
         at = row["segment"] * SEGMENT_BYTES
         once[at:at + SEGMENT_BYTES] = np.frombuffer(zlib.decompress(row["once"]), dtype=np.uint8)
         twice[at:at + SEGMENT_BYTES] = np.frombuffer(zlib.decompress(row["twice"]), dtype=np.uint8)

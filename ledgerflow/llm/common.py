@@ -10,6 +10,7 @@ from ..session import scratch_path
 # ASCII white space that separates words: space and U+0009..U+000D.
 SPACES = " \t\n\x0b\x0c\r"
 BATCH_BYTES = 4 << 20
+LOCAL_PARTS = 8        # jobs that bring a bounded result to the driver
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -22,14 +23,31 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
     Cuts the lineage: a lost executor costs a re-read of shared files, and
     joins on a hot key see plain exchanges on both sides, which adaptive
-    execution can split.
+    execution can split.  The shuffle files of the write go when it is done:
+    nothing reads them again, and otherwise they stay until the driver
+    happens to collect its garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def local_rows(df: DataFrame):
+    """Rows of a bounded result, a part of it at a time.
+
+    Every partition is a job of its own, so a few are enough, however many
+    the session's shuffles have.
+    """
+    return df.coalesce(LOCAL_PARTS).toLocalIterator()
+
+
 def small_batches(spark: SparkSession) -> None:
     """Let batches of texts between Spark and Python hold about 4 MB.
 

@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import bloom
-from .common import small_batches, stage, trimmed
+from .common import local_rows, release_memory, small_batches, stage, trimmed
 
 BITS = 22
 FEATURES = 1 << BITS
@@ -164,7 +164,7 @@ def _slot_counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     parts = training.select("text", "toxic").mapInArrow(trimmed(run), schema)
     parts = parts.groupBy("block", F.floor(F.col("task") / bloom.MERGE_FAN_IN).alias("bunch")).applyInPandas(add, schema)
     counts, rows = np.zeros((2, FEATURES), dtype=np.float32), np.zeros(2)
-    for row in parts.groupBy("block").applyInPandas(add, schema).toLocalIterator():
+    for row in local_rows(parts.groupBy("block").applyInPandas(add, schema)):
         block = np.frombuffer(zlib.decompress(row["counts"]), dtype="<i8").reshape(2, BLOCK)
         counts[:, row["block"] * BLOCK:(row["block"] + 1) * BLOCK] = block
         rows[:] = row["neg"], row["pos"]
@@ -172,17 +172,24 @@ def _slot_counts(training: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def log_ratios(counts: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Log-count ratio per slot; 0 where the slot does not tell the classes apart."""
-    share = ((counts + 1) / (rows[:, None] + 2)).astype(counts.dtype)
-    ratio = np.log(share[1] / share[0])
-    both = (counts.sum(axis=0) + 1) / (rows.sum() + 2)
-    z = (share[1] - share[0]) / np.sqrt(both * (1 - both) * (1 / (rows[0] + 2) + 1 / (rows[1] + 2)))
-    telling = (counts.sum(axis=0) >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z) & (np.abs(ratio) >= LEAST_RATIO)
-    return np.where(telling, ratio, 0.0)
+    """Log-count ratio per slot; 0 where the slot does not tell the classes apart.
+
+    A block of slots at a time: the driver, which calls this, holds no other array of all slots.
+    """
+    ratios = np.empty(counts.shape[1], dtype=counts.dtype)
+    for at in range(0, len(ratios), BLOCK):
+        own = counts[:, at:at + BLOCK]
+        share = ((own + 1) / (rows[:, None] + 2)).astype(counts.dtype)
+        ratio = np.log(share[1] / share[0])
+        both = (own.sum(axis=0) + 1) / (rows.sum() + 2)
+        z = (share[1] - share[0]) / np.sqrt(both * (1 - both) * (1 / (rows[0] + 2) + 1 / (rows[1] + 2)))
+        telling = (own.sum(axis=0) >= LEAST_DOCS) & (np.abs(z) >= LEAST_Z) & (np.abs(ratio) >= LEAST_RATIO)
+        ratios[at:at + BLOCK] = np.where(telling, ratio, 0.0)
+    return ratios
 
 
 def _fit_sample(training: DataFrame, ratios: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
-    """Informative slots of at most FIT_ROWS rows of each class.
+    """Informative slots, as bytes, of at most FIT_ROWS rows of each class.
 
     A share of the ids' hashes a little over the bound is turned into slots
     where the rows are; only those compact rows meet the exact bound.
@@ -194,20 +201,30 @@ def _fit_sample(training: DataFrame, ratios: np.ndarray, rows: np.ndarray) -> pd
             found = [np.unique(telling(characters(t.as_py()), useful.value)[1]) for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2),
-                 pa.array([s.astype(np.int32) for s in found], pa.list_(pa.int32()))],
+                 pa.array([s.astype("<i4").tobytes() for s in found], pa.binary())],
                 names=["toxic", "h", "slots"])
 
     toxic = F.col("toxic") > 0
     near = [int(min(1.0, 1.2 * FIT_ROWS / n) * (1 << 32)) for n in rows]
     chosen = (training.select("text", "toxic", F.xxhash64("doc_id").alias("h"))
               .filter(F.pmod("h", F.lit(1 << 32)) < F.when(toxic, near[1]).otherwise(near[0]))
-              .mapInArrow(trimmed(run), "toxic int, h bigint, slots array<int>"))
+              .mapInArrow(trimmed(run), "toxic int, h bigint, slots binary"))
     chosen = stage(chosen, "toxic-sample")
     order = [F.pmod("h", F.lit(1 << 32)), F.col("h")]
     parts = [chosen.filter(c).orderBy(*order).limit(FIT_ROWS) for c in (~toxic, toxic)]
     return parts[0].unionByName(parts[1]).toPandas()
 
 
+def _numbered(held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct slots, and the place of each of ``held`` among them."""
+    seen = np.zeros(FEATURES, dtype=bool)
+    seen[held] = True
+    columns = np.flatnonzero(seen)
+    place = np.zeros(FEATURES, dtype=np.int32)
+    place[columns] = np.arange(len(columns), dtype=np.int32)
+    return columns, place[held]
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         ) -> tuple[np.ndarray, float]:
     """(weight per slot, intercept) of the classifier."""
@@ -218,14 +235,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not rows.all():
         return np.zeros(FEATURES, dtype=np.float32), prior
     ratios = log_ratios(counts, rows)
+    del counts
     sample = _fit_sample(training, ratios, rows)
     y = (sample["toxic"].to_numpy() > 0).astype(float)
-    sizes = np.array([len(s) for s in sample["slots"]])
+    sizes = sample["slots"].str.len().to_numpy(dtype=np.int64) // 4
     owner = np.repeat(np.arange(len(y), dtype=np.int32), sizes)
-    columns, where = np.unique(np.concatenate([*sample["slots"], np.empty(0, np.int32)]), return_inverse=True)
+    columns, where = _numbered(np.frombuffer(b"".join(sample["slots"]), dtype="<i4"))
     del sample
-    where = where.astype(np.int32)
-    value = ratios[columns.astype(np.int64)]
+    value = ratios[columns]
+    del ratios
     weight = np.where(y > 0, rows[1] / max(1, y.sum()), rows[0] / max(1, (1 - y).sum()))
     weight /= weight.sum()
     theta, bias = np.full(len(columns), 0.1), prior
@@ -240,7 +258,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         move = 0.02 * (moment / (1 - 0.9 ** step)) / (np.sqrt(square / (1 - 0.999 ** step)) + 1e-10)
         theta, bias = theta - move[:-1], bias - move[-1]
     weights = np.zeros(FEATURES, dtype=np.float32)
-    weights[columns.astype(np.int64)] = theta * value
+    weights[columns] = theta * value
+    del owner, where, odds, error, slope
+    release_memory()
     return weights, float(bias)
 
 
