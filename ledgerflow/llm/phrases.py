@@ -12,7 +12,9 @@
    that the subtree of a hot prefix is not one task's load.
 3. The runs of a partition are merged in order, a bounded slice of all of
    them at a time.  Only phrases with ``LEAST`` occurrences go on: a part of a
-   phrase occurs at least as often as the phrase.
+   phrase occurs at least as often as the phrase.  Most phrases are rare and
+   are never merged: occurrences are first added up by slots of hashes, whose
+   sums bound those of their phrases.
 4. Scores are exact integers of up to 38 digits, joined and ranked by Spark.
 
 A task holds ``ENTRIES`` entries and ``WORDS`` words at most besides one
@@ -42,6 +44,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import small_batches, stage, text_or_empty, trim_memory, trimmed
+from .texthash import joined_hashes
 
 LEAST = 10
 TOP = 2000
@@ -53,6 +56,7 @@ BITS = 21              # of a word's rank in a run
 LAST = (1 << BITS) - 1
 PIECE = 1 << 19        # bytes of text entered at a time
 SLICE = 1 << 19        # entries merged at a time
+SLOT_BITS = 22         # of the slots in which a partition's occurrences are added up, at most
 SALTS = 16
 LOAD_BYTES = 32 << 20  # text bytes a prefix partition stands for, at most
 MASK = (1 << 31) - 1
@@ -105,23 +109,21 @@ class Trie:
 
     def take(self, leave: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Remove the largest whole subtrees until ``leave`` entries are left: (first, second, third, count)."""
-        sizes: dict[int, int] = {}
-        for path, box in self.boxes.items():
-            first = path if path <= MASK else path >> 31
-            sizes[first] = sizes.get(first, 0) + len(box)
-        gone, left = set(), self.entries
-        for first in sorted(sizes, key=sizes.get, reverse=True):
-            if left <= leave:
-                break
-            gone.add(first)
-            left -= sizes[first]
-        paths = [p for p in self.boxes if (p if p <= MASK else p >> 31) in gone]
-        boxes = [self.boxes.pop(p) for p in paths]
-        self.burst -= gone
-        total, self.entries = self.entries - left, left
-        path = np.repeat(np.array(paths, dtype=np.int64), [len(b) for b in boxes])
-        rest = np.fromiter(chain.from_iterable(boxes), dtype=np.int64, count=total)
-        count = np.fromiter(chain.from_iterable(b.values() for b in boxes), dtype=np.int64, count=total)
+        paths = np.fromiter(self.boxes, dtype=np.int64, count=len(self.boxes))
+        sizes = np.fromiter(map(len, self.boxes.values()), dtype=np.int64, count=len(paths))
+        roots, own = np.unique(np.where(paths > MASK, paths >> 31, paths), return_inverse=True)
+        held = np.bincount(own, sizes, len(roots)).astype(np.int64)
+        order = np.argsort(-held, kind="stable")
+        left = self.entries - np.cumsum(held[order])   # once a subtree is gone
+        gone = np.zeros(len(roots), dtype=bool)
+        gone[order[left + held[order] > leave]] = True
+        chosen = gone[own]
+        boxes = list(map(self.boxes.pop, paths[chosen].tolist()))
+        self.burst -= set(roots[gone].tolist())
+        path = np.repeat(paths[chosen], sizes[chosen])
+        self.entries -= len(path)
+        rest = np.fromiter(chain.from_iterable(boxes), dtype=np.int64, count=len(path))
+        count = np.fromiter(chain.from_iterable(map(dict.values, boxes)), dtype=np.int64, count=len(path))
         deep = path > MASK
         return (np.where(deep, path >> 31, path), np.where(deep, path & MASK, rest >> 31), rest & MASK, count)
 
@@ -211,7 +213,8 @@ class Counter:
         texts = [("", b""), *[own[i] for i in order]]
         rank = np.zeros(len(self.texts), dtype=np.int64)
         rank[used[order]] = np.arange(1, len(texts))
-        mixed, packed = _hashes([word for _, word in texts]), Texts(texts)
+        packed = Texts(texts)
+        mixed = packed.hashes()
         key = rank[first] << 2 * BITS | rank[second] << BITS | rank[third]
         order = np.argsort(key)
         key, count = key[order], count[order]
@@ -238,13 +241,6 @@ def _spread(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(29))
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes that agree between tasks."""
-    import xxhash
-
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
-
-
 def _runs(k: int, part: np.ndarray, columns: list[np.ndarray], sums: np.ndarray, texts: Texts):
     """One sorted run for every partition that has phrases."""
     order = np.argsort(part, kind="stable")          # keeps the phrases sorted within a partition
@@ -275,6 +271,12 @@ class Texts:
         self.lang = np.array([number[lang] for lang, _ in texts], dtype=np.int64)
         self.words = pa.array([word for _, word in texts], pa.large_binary())
 
+    def hashes(self) -> np.ndarray:
+        """64-bit hashes of the words, which agree between tasks; 0 for the empty one at rank 0."""
+        offsets = np.frombuffer(self.words.buffers()[1], dtype=np.int64, count=len(self.words) + 1)
+        data = np.frombuffer(self.words.buffers()[2], dtype=np.uint8, count=int(offsets[-1]))
+        return np.concatenate((np.zeros(1, dtype=np.uint64), joined_hashes(data, np.diff(offsets)[1:])))
+
     def of(self, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
         """Lang numbers, sizes and joined bytes of some words."""
         words = pc.take(self.words, pa.array(ranks))
@@ -297,38 +299,81 @@ def _pack(k: int, columns: list[np.ndarray], sums: np.ndarray, texts: Texts) ->
     return bytes([k]) + zstandard.compress(body, 1)
 
 
-def _unpack(run: bytes) -> pa.Table:
-    """(lang, phrase, f) of a run, in its order."""
-    import zstandard
-
-    k, body = run[0], zstandard.decompress(run[1:])
-    at = 4 + int.from_bytes(body[:4], "little")
-    n_words, n, size, names, widths = json.loads(body[4:at])
-    data = pa.py_buffer(body)[at:at + size]
-    at += size
-    arrays = []
-    for i, width in enumerate(widths):
-        count = n if i > 1 else n_words
-        arrays.append(np.frombuffer(body, dtype=f"<u{width}", count=count, offset=at).astype(np.int64))
-        at += count * width
-    lang_of, sizes, *codes, f = arrays
-    if k == 0:
-        phrase, first = pa.array([b""] * n, pa.large_binary()), np.arange(n)
-    else:
-        codes[0] = np.cumsum(codes[0])
-        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))))
-        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n_words, [None, offsets.buffers()[1], data])
-        texts = [pc.take(words, pa.array(c)) for c in codes]
-        phrase = pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.large_binary())) if k > 1 else texts[0]
-        first = codes[0]
-    lang = pc.take(pa.array(names, pa.string()), pa.array(lang_of[first]))
-    return pa.table({"lang": lang, "phrase": phrase, "f": f})
+class Run:
+    """A run as unpacked: its own words, the phrases by their numbers, the counts."""
+
+    def __init__(self, run: bytes):
+        import zstandard
+
+        self.k, body = run[0], zstandard.decompress(run[1:])
+        at = 4 + int.from_bytes(body[:4], "little")
+        n_words, n, size, self.names, widths = json.loads(body[4:at])
+        self.words = np.frombuffer(body, dtype=np.uint8, count=size, offset=at)
+        at += size
+        arrays = []
+        for i, width in enumerate(widths):
+            count = n if i > 1 else n_words
+            arrays.append(np.frombuffer(body, dtype=f"<u{width}", count=count, offset=at))
+            at += count * width
+        self.lang_of, self.sizes, *self.codes, self.f = arrays
+        if self.k:
+            # Steps are unsigned, and their sums numbers of words.
+            self.codes[0] = np.cumsum(self.codes[0], dtype=np.int64).astype(np.int32)
+
+    def hashes(self) -> np.ndarray:
+        """Hash of each phrase and its lang, the same in every run."""
+        words = joined_hashes(self.words, self.sizes.astype(np.int64))
+        # A lang, which may be empty, as the end of a word of its own.
+        names = [b"\0" + name.encode() for name in self.names]
+        langs = joined_hashes(np.frombuffer(b"".join(names), dtype=np.uint8), np.array([len(n) for n in names]))
+        total = langs[self.lang_of[self.codes[0]]]
+        for own in self.codes:
+            total = _spread(total * np.uint64(0x9E3779B97F4A7C15) + words[own])
+        return total
+
+    def table(self, chosen: np.ndarray | None = None) -> pa.Table:
+        """(lang, phrase, f) of the phrases, or of the chosen places, in the run's order."""
+        codes, f = self.codes, self.f
+        if chosen is not None:
+            codes, f = [c[chosen] for c in codes], f[chosen]
+        if self.k == 0:
+            phrase, first = pa.array([b""] * len(f), pa.large_binary()), np.arange(len(f))
+        else:
+            offsets = pa.array(np.concatenate(([0], np.cumsum(self.sizes, dtype=np.int64))))
+            words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self.sizes),
+                                                     [None, offsets.buffers()[1], pa.py_buffer(self.words)])
+            texts = [pc.take(words, pa.array(c)) for c in codes]
+            phrase = texts[0]
+            if self.k > 1:
+                phrase = pc.binary_join_element_wise(*texts, pa.scalar(b" ", pa.large_binary()))
+            first = codes[0]
+        lang = pc.take(pa.array(self.names, pa.string()), pa.array(self.lang_of[first].astype(np.int64)))
+        return pa.table({"lang": lang, "phrase": phrase, "f": f.astype(np.int64)})
+
+
+def _often(runs: list[Run]) -> list[pa.Table]:
+    """The phrases of some runs of one length, but for those that certainly occur less than ``LEAST`` times.
+
+    Occurrences are added up by slots of the phrases' hashes.  A slot's sum is
+    at least the count of each of its phrases, so none that is frequent
+    enough goes; the few others that share a slot with it are dropped by
+    their exact sums.
+    """
+    total = sum(len(r.f) for r in runs)
+    size = 1 << min(SLOT_BITS, max(10, (4 * total).bit_length()))
+    sums = np.zeros(size, dtype=np.int64)
+    slots = []
+    for run in runs:
+        slots.append((run.hashes() & np.uint64(size - 1)).astype(np.uint32))
+        np.add.at(sums, slots[-1], run.f.astype(np.int64))
+    return [run.table(np.flatnonzero(sums[own] >= LEAST)) for run, own in zip(runs, slots)]
 
 
 def merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
     """(lang, k, phrase, f) of the phrases of one partition with enough occurrences.
 
-    The runs of one phrase length are cut at common phrases into slices of
+    Phrases that are too rare by the sums of their hashes' slots go first.  What
+    is left of the runs of one phrase length is cut at common phrases into slices of
     about ``SLICE`` entries, which are merged one after the other.
     """
     found = []
@@ -336,7 +381,8 @@ def merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
     for run in frame["run"]:
         by_k.setdefault(run[0], []).append(run)
     for k, packed in sorted(by_k.items()):
-        for table in _slices([_unpack(r) for r in packed]):
+        runs = [Run(r) for r in packed]
+        for table in _slices(_often(runs) if k else [r.table() for r in runs]):
             sums = table.group_by(["lang", "phrase"]).aggregate([("f", "sum")])
             if k:
                 sums = sums.filter(pc.greater_equal(sums["f_sum"], LEAST))
@@ -350,9 +396,11 @@ def merge_runs(frame: pd.DataFrame) -> pd.DataFrame:
 
 def _slices(runs: list[pa.Table]):
     """Tables that hold every run's entries of one range of (lang, phrase)."""
+    runs = [r for r in runs if len(r)]
     total = sum(len(r) for r in runs)
     if total <= SLICE:
-        yield pa.concat_tables(runs)
+        if runs:
+            yield pa.concat_tables(runs)
         return
     step = max(1, total // (len(runs) * 16))
     sample = sorted({_key(r, i) for r in runs for i in range(0, len(r), step)})

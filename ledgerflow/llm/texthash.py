@@ -31,6 +31,21 @@ IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+
+def joined_hashes(data: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """64-bit hashes of words of so many bytes each (none empty), joined in ``data``."""
+    if not len(sizes):
+        return np.empty(0, dtype=np.uint64)
+    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
+    values = _VALUES[data] * _AT[place & (PLACES - 1)]
+    hashes = np.add.reduceat(values, offsets) + sizes.astype(np.uint64)
+    for i in np.flatnonzero(sizes > PLACES):
+        digest = hashlib.blake2b(data[offsets[i]:offsets[i] + sizes[i]].tobytes(), digest_size=8).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return mix64(hashes)
+
+
 def _piece_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and hashes of the words of one piece; a word ends at a break."""
     word = np.zeros(len(data) + 1, dtype=bool)
@@ -44,15 +59,7 @@ def _piece_words(data: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.n
     starts, ends = np.flatnonzero(start[:-1]), np.flatnonzero(stop) + 1
     if not len(starts):
         return starts, ends, np.empty(0, dtype=np.uint64)
-    sizes = ends - starts
-    offsets = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    place = np.arange(int(sizes.sum())) - np.repeat(offsets, sizes)
-    values = _VALUES[data[word[:-1]]] * _AT[place & (PLACES - 1)]
-    hashes = np.add.reduceat(values, offsets) + sizes.astype(np.uint64)
-    for i in np.flatnonzero(sizes > PLACES):
-        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8).digest()
-        hashes[i] = int.from_bytes(digest, "little")
-    return starts, ends, mix64(hashes)
+    return starts, ends, joined_hashes(data[word[:-1]], ends - starts)
 
 
 def _cut(data: np.ndarray, at: int) -> int:

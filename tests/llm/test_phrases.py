@@ -119,3 +119,20 @@ def test_a_task_spills_before_it_holds_much():
         runs += sum(b.num_rows for b in counter.enter("en", text))
         assert counter.trie.entries <= 1 << 18
     assert runs
+
+
+def test_rare_phrases_are_dropped_before_they_are_merged(monkeypatch):
+    # Nearly all phrases are rare: only few are put together as text, and none of the frequent ones is missed,
+    # even where a hash slot holds many phrases.
+    rng = random.Random(9)
+    words = [f"w{i}" for i in range(2000)]
+    rows = [(i, " ".join(rng.choices(words, k=60)) + " . so it goes", rng.choice(["en", ""])) for i in range(300)]
+    expected = {lang: {p: c for p, c in f.items() if c >= 10} for lang, f in counts_of(rows).items()}
+    for bits, most in ((22, 0.2), (10, 1), (3, 1)):
+        with monkeypatch.context() as patch:
+            merged_rows, slices = [], phrases._slices
+            patch.setattr(phrases, "_slices", lambda runs: slices([merged_rows.append(len(r)) or r for r in runs]))
+            out, _ = merged(rows, patch, SLOT_BITS=bits, ENTRIES=4000)
+        assert {lang: {p: c for p, c in f.items() if p and c} for lang, f in out.items()} == expected
+        if bits == 22:
+            assert sum(merged_rows) < most * sum(len(f) for f in counts_of(rows).values())
