@@ -47,8 +47,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids are staged between their two Python steps: one task with both holds two Python workers, which stay."""
     path, pattern = vocabulary()
-    return bpe.digests(bpe.encode_texts(docs, path, pattern), path, pattern, with_ids=True)
+    return bpe.digests(stage(bpe.encode_texts(docs, path, pattern), "pipeline-ids"), path, pattern, with_ids=True)
 
 
 STAGES = [

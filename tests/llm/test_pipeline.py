@@ -125,3 +125,11 @@ def test_copies_do_not_make_their_own_lines_boilerplate(spark, tables):
     left = {r.doc_id: r.text for r in steps["near_dedup"](spark, cleaned, folder).collect()}
     assert set(left) == {0, 1, 200, 201} | set(range(2, 90, 3))
     assert left[0] == "\n".join(exact) and left[1] == "\n".join(near)
+
+
+def test_no_task_of_the_last_stage_holds_two_python_workers(spark, tables):
+    """Python workers stay for later stages, so a task with two Python steps doubles their memory for all."""
+    folder, docs, _ = tables
+    encoded = corpus_pipeline.encode(spark, frame(spark, docs[:40]), folder)
+    plan = encoded._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("MapInArrow") == 1 and encoded.count() == 40
